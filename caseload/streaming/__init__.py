@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+The workflow is batch only -- monthly panels, monthly queues, one evaluation window. There is
+no stream source, watermark or state store to re-express, so nothing lives here.
+"""
