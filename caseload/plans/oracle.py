@@ -163,3 +163,138 @@ cte("cadence", ("cadence_all",))(f"""
          ELSE 'unused' END AS data_split
   FROM cadence_all
   WHERE target_month = CAST(transaction_month + INTERVAL 1 MONTH AS DATE)""")
+
+# --------------------------------------------------------------------------- scored panel
+cte("peers")("""
+  SELECT c.c_custkey AS o_custkey, c.c_mktsegment AS channel_peer,
+         substr(sha256(concat_ws('|', CAST(c.c_nationkey AS VARCHAR), c.c_mktsegment)), 1, 12) AS company_division_peer_public_id,
+         count(*) OVER (PARTITION BY substr(sha256(concat_ws('|', CAST(c.c_nationkey AS VARCHAR), c.c_mktsegment)), 1, 12))
+           AS company_division_peer_customer_count
+  FROM customer c""")
+_HZ = ("net_revenue", "order_count", "quantity", "discount_rate", "return_rate", "category_mix_shift")
+_PRIOR = f"OVER ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+
+
+def _hz(m: str) -> str:
+    src = {"return_rate": "return_line_rate"}.get(m, m)
+    x = f"CAST({src} AS DOUBLE)"
+    return (f"CASE WHEN stddev_samp({x}) {_PRIOR} > 1e-9 THEN ({x} - avg({x}) {_PRIOR}) / "
+            f"stddev_samp({x}) {_PRIOR} END AS {m}_vs_history_z")
+
+
+cte("scored_base", ("facts", "peers"))(f"""
+  SELECT f.*, p.channel_peer, p.company_division_peer_public_id, p.company_division_peer_customer_count,
+         {", ".join(_hz(m) for m in _HZ)},
+         row_number() OVER ({_W}) - 1 AS prior_rows,
+         CASE WHEN lag(CAST(net_revenue AS DOUBLE), 12) OVER ({_W}) > 0
+              THEN CAST(net_revenue AS DOUBLE) / lag(CAST(net_revenue AS DOUBLE), 12) OVER ({_W}) END AS net_revenue_yoy_ratio,
+         CASE WHEN lag(CAST(order_count AS DOUBLE), 12) OVER ({_W}) > 0
+              THEN CAST(order_count AS DOUBLE) / lag(CAST(order_count AS DOUBLE), 12) OVER ({_W}) END AS order_count_yoy_ratio,
+         ln(1 + net_revenue) AS rev_l,
+         ln(1 + CASE WHEN order_count > 0 THEN net_revenue / order_count ELSE 0.0 END) AS ov_l
+  FROM facts f LEFT JOIN peers p USING (o_custkey)""")
+cte("scored", ("scored_base",))("""
+  SELECT b.customer_public_id, b.transaction_month,
+         b.prior_rows < 6 AS sparse_history_flag,
+         ch.n < 5 AS sparse_peer_group_flag,
+         cd.n < 5 AS sparse_company_division_peer_group_flag,
+         b.company_division_peer_public_id,
+         CAST(b.company_division_peer_customer_count AS BIGINT) AS company_division_peer_customer_count,
+         b.order_count = 0 AS zero_order_month_flag,
+         b.net_revenue_vs_history_z, b.order_count_vs_history_z, b.quantity_vs_history_z,
+         b.discount_rate_vs_history_z, b.return_rate_vs_history_z, b.category_mix_shift_vs_history_z,
+         CASE WHEN ch.sd > 1e-9 THEN (b.rev_l - ch.mean) / ch.sd END AS net_revenue_vs_peer_z,
+         CASE WHEN cd.sd > 1e-9 THEN (b.ov_l - cd.mean) / cd.sd END AS order_value_vs_company_division_peer_z,
+         b.net_revenue_vs_history_z - ch.med_rev AS net_revenue_vs_peers_resid,
+         b.order_count_vs_history_z - ch.med_oc AS order_count_vs_peers_resid,
+         b.net_revenue_yoy_ratio, b.order_count_yoy_ratio,
+         greatest(abs(b.net_revenue_vs_history_z), abs(b.order_count_vs_history_z), abs(b.quantity_vs_history_z),
+                  abs(b.discount_rate_vs_history_z), abs(b.return_rate_vs_history_z),
+                  abs(b.category_mix_shift_vs_history_z)) AS baseline_anomaly_score
+  FROM scored_base b
+  LEFT JOIN (SELECT transaction_month, channel_peer, avg(rev_l) AS mean, stddev_samp(rev_l) AS sd, count(*) AS n,
+                    median(net_revenue_vs_history_z) AS med_rev, median(order_count_vs_history_z) AS med_oc
+             FROM scored_base GROUP BY transaction_month, channel_peer) ch
+    ON b.transaction_month = ch.transaction_month AND b.channel_peer IS NOT DISTINCT FROM ch.channel_peer
+  LEFT JOIN (SELECT transaction_month, company_division_peer_public_id, avg(ov_l) AS mean,
+                    stddev_samp(ov_l) AS sd, count(*) AS n
+             FROM scored_base GROUP BY transaction_month, company_division_peer_public_id) cd
+    ON b.transaction_month = cd.transaction_month
+   AND b.company_division_peer_public_id IS NOT DISTINCT FROM cd.company_division_peer_public_id""")
+
+
+# --------------------------------------------------------------------------- S2 frame
+def s2_ctes(min_peer_rows: int, bonus: float = 0.75, multiplier: float = 0.75):
+    """Register (once) the S2 CTE chain for a given peer-row threshold; returns the final CTE name."""
+    tag = f"s2_{min_peer_rows}"
+    if f"{tag}_scores" in CTES:
+        return f"{tag}_scores"
+    cte(f"{tag}_masks", ("scored",))(f"""
+  SELECT s.*,
+         transaction_month <= {D('train_end')} AND NOT coalesce(sparse_history_flag, true) AS fit_mask,
+         transaction_month BETWEEN {D('forward_start')} AND {D('forward_end')} AS forward,
+         NOT coalesce(sparse_history_flag, true) AS eligible
+  FROM scored s""")
+    cte(f"{tag}_resid", (f"{tag}_masks",))(f"""
+  SELECT m.*,
+         CASE WHEN m.net_revenue_vs_history_z - c.med_s IS NULL THEN NULL
+              ELSE least(greatest(m.net_revenue_vs_history_z - c.med_s, -10.0), 10.0) END AS cd_spend_residual,
+         CASE WHEN m.order_count_vs_history_z - c.med_o IS NULL THEN NULL
+              ELSE least(greatest(m.order_count_vs_history_z - c.med_o, -10.0), 10.0) END AS cd_order_residual,
+         CAST(coalesce(c.n, 0) AS BIGINT) AS cd_group_count
+  FROM {tag}_masks m LEFT JOIN (
+    SELECT transaction_month, company_division_peer_public_id, median(net_revenue_vs_history_z) AS med_s,
+           median(order_count_vs_history_z) AS med_o, count(net_revenue_vs_history_z) AS n
+    FROM {tag}_masks GROUP BY transaction_month, company_division_peer_public_id) c
+  ON m.transaction_month = c.transaction_month
+ AND m.company_division_peer_public_id IS NOT DISTINCT FROM c.company_division_peer_public_id""")
+    cte(f"{tag}_fb", (f"{tag}_resid",))(f"""
+  SELECT *,
+    CASE WHEN cd_usable THEN cd_spend_residual ELSE channel_spend END AS hybrid_spend,
+    CASE WHEN cd_usable THEN cd_order_residual ELSE channel_order END AS hybrid_order,
+    CASE WHEN cd_usable THEN order_value_vs_company_division_peer_z ELSE net_revenue_vs_peer_z END AS hybrid_peer_level,
+    (NOT cd_usable) AND channel_sparse AS hybrid_sparse,
+    CASE WHEN cd_usable THEN cd_spend_residual ELSE net_revenue_vs_history_z END AS company_division_spend,
+    CASE WHEN cd_usable THEN cd_order_residual ELSE order_count_vs_history_z END AS company_division_order,
+    order_value_vs_company_division_peer_z AS company_division_peer_level,
+    NOT cd_usable AS company_division_sparse,
+    net_revenue_vs_peer_z AS channel_peer_level
+  FROM (
+    SELECT *,
+      coalesce(cd_group_count >= {min_peer_rows} AND order_value_vs_company_division_peer_z IS NOT NULL
+               AND NOT coalesce(sparse_company_division_peer_group_flag, true), false) AS cd_usable,
+      coalesce(sparse_peer_group_flag, true) AS channel_sparse,
+      CASE WHEN NOT coalesce(sparse_peer_group_flag, true) THEN net_revenue_vs_peers_resid ELSE net_revenue_vs_history_z END AS channel_spend,
+      CASE WHEN NOT coalesce(sparse_peer_group_flag, true) THEN order_count_vs_peers_resid ELSE order_count_vs_history_z END AS channel_order
+    FROM {tag}_resid) x""")
+    yoy = []
+    for c in ("net_revenue_yoy_ratio", "order_count_yoy_ratio"):
+        v = f"CASE WHEN fit_mask AND {c} > 0 THEN ln({c}) END"
+        yoy.append(f"""median(abs({v})) AS {c}_mad, quantile_cont({v}, 0.75) AS {c}_q3,
+         quantile_cont({v}, 0.25) AS {c}_q1, stddev_pop({v}) AS {c}_sd, count({v}) AS {c}_n""")
+    cte(f"{tag}_yoyfit", (f"{tag}_fb",))(f"  SELECT {', '.join(yoy)} FROM {tag}_fb")
+    sc = []
+    for c in ("net_revenue_yoy_ratio", "order_count_yoy_ratio"):
+        mad, iqr = f"1.4826 * {c}_mad", f"({c}_q3 - {c}_q1) / 1.349"
+        sc.append(f"CASE WHEN {mad} > 0 THEN {mad} WHEN {iqr} > 0 THEN {iqr} WHEN {c}_sd > 0 THEN {c}_sd END AS {c}_scale")
+        sc.append(f"CASE WHEN {mad} > 0 THEN 'MAD' WHEN {iqr} > 0 THEN 'IQR' ELSE 'standard_deviation' END AS {c}_method")
+        sc.append(f"CAST({c}_n AS BIGINT) AS {c}_observations")
+    cte(f"{tag}_yoy", (f"{tag}_yoyfit",))(f"  SELECT {', '.join(sc)} FROM {tag}_yoyfit")
+
+    def clip10(e):
+        return f"CASE WHEN ({e}) IS NULL THEN NULL ELSE least(greatest({e}, -10.0), 10.0) END"
+
+    shared = [clip10(c) for c in ("quantity_vs_history_z", "discount_rate_vs_history_z",
+                                  "return_rate_vs_history_z", "category_mix_shift_vs_history_z")]
+    for c in ("net_revenue_yoy_ratio", "order_count_yoy_ratio"):
+        shared.append(clip10(f"CASE WHEN {c} > 0 THEN ln({c}) END / {c}_scale"))
+    scores = []
+    for s in ("channel", "company_division", "hybrid"):
+        sig = [f"{s}_spend", f"{s}_order", f"{s}_peer_level", *shared]
+        mx = "greatest(" + ", ".join(f"coalesce(abs({x}), 0.0)" for x in sig) + ")"
+        scores.append(f"round(({mx} + CAST(coalesce(zero_order_month_flag, false) AS DOUBLE) * {bonus}) * "
+                      f"CASE WHEN coalesce(sparse_history_flag, true) THEN {multiplier} ELSE 1.0 END, 9) AS {s}_s2_score")
+    cte(f"{tag}_scores", (f"{tag}_fb", f"{tag}_yoy"))(f"""
+  SELECT f.*, {', '.join(scores)}
+  FROM {tag}_fb f CROSS JOIN {tag}_yoy y""")
+    return f"{tag}_scores"

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from caseload.config import PanelConfig
 from caseload.functions.exprs import month_number, month_start, safe_div
+from caseload.operators.joins import null_safe_join
 from caseload.sources.contracts import ENGINEERED_COLUMNS
 from caseload.sources.tables import read_table
 
@@ -150,7 +151,7 @@ def scored_panel(facts: DataFrame, peers: DataFrame, cfg: PanelConfig = PanelCon
     df = facts.join(peers, "o_custkey", "left")
     cols = [F.col(c) for c in df.columns]
     for m in HIST_MEASURES:
-        x = F.col(m).cast("double")
+        x = F.col({"return_rate": "return_line_rate"}.get(m, m)).cast("double")
         mean = F.avg(x).over(prior)
         sd = F.stddev_samp(x).over(prior)
         cols.append(F.when(sd > SD_EPS, (x - mean) / sd).alias(f"{m}_vs_history_z"))
@@ -172,12 +173,8 @@ def scored_panel(facts: DataFrame, peers: DataFrame, cfg: PanelConfig = PanelCon
     cd = df.groupBy("transaction_month", "company_division_peer_public_id").agg(
         F.avg("_ov_l").alias("_cd_mean"), F.stddev_samp("_ov_l").alias("_cd_sd"),
         F.count(F.lit(1)).alias("_cd_rows"))
-    df = (df.join(ch, (df.transaction_month == ch.transaction_month)
-                  & df.channel_peer.eqNullSafe(ch.channel_peer), "left")
-            .drop(ch.transaction_month).drop(ch.channel_peer))
-    df = (df.join(cd, (df.transaction_month == cd.transaction_month)
-                  & df.company_division_peer_public_id.eqNullSafe(cd.company_division_peer_public_id), "left")
-            .drop(cd.transaction_month).drop(cd.company_division_peer_public_id))
+    df = null_safe_join(df, ch, ["transaction_month", "channel_peer"])
+    df = null_safe_join(df, cd, ["transaction_month", "company_division_peer_public_id"])
     hz = [F.abs(F.col(f"{m}_vs_history_z")) for m in HIST_MEASURES]
     return df.select(
         "customer_public_id", "transaction_month",
