@@ -40,15 +40,16 @@ def auc_ap(df: DataFrame, label: str, score: str, by: list[str] | None = None) -
     by = list(by or [])
     y = F.col(label).cast("double")
     d = value_prefix(df, score, {"pos": y, "neg": F.lit(1.0) - y}, by=by)
-    tot = d.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    tot = d.groupBy(*by).agg(F.sum("pos").alias("_tot_pos"), F.sum("neg").alias("_tot_neg"))
     d = d.join(F.broadcast(tot), by) if by else d.crossJoin(F.broadcast(tot))
-    tp_ge = F.col("P") - F.col("pos_below")
-    c_ge = F.col("P") + F.col("N") - F.col("pos_below") - F.col("neg_below")
+    P, N = F.col("_tot_pos"), F.col("_tot_neg")
+    tp_ge = P - F.col("pos_below")
+    c_ge = P + N - F.col("pos_below") - F.col("neg_below")
     return d.groupBy(*by).agg(
-        F.when((F.first("P") > 0) & (F.first("N") > 0),
+        F.when((F.max(P) > 0) & (F.max(N) > 0),
                F.sum(F.col("pos") * (F.col("neg_below") + F.lit(0.5) * F.col("neg")))
-               / (F.first("P") * F.first("N"))).alias("roc_auc"),
-        F.when(F.first("P") > 0, F.sum((F.col("pos") / F.col("P")) * (tp_ge / c_ge))).alias("average_precision"))
+               / (F.max(P) * F.max(N))).alias("roc_auc"),
+        F.when(F.max(P) > 0, F.sum((F.col("pos") / P) * (tp_ge / c_ge))).alias("average_precision"))
 
 
 def average_rank(df: DataFrame, value: str, out: str, by: list[str] | None = None) -> DataFrame:

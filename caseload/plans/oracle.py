@@ -298,3 +298,156 @@ def s2_ctes(min_peer_rows: int, bonus: float = 0.75, multiplier: float = 0.75):
   SELECT f.*, {', '.join(scores)}
   FROM {tag}_fb f CROSS JOIN {tag}_yoy y""")
     return f"{tag}_scores"
+
+
+# --------------------------------------------------------------------------- lens 2
+cte("pthr", ("cadence",))("""
+  SELECT quantile_cont(next_discount_rate, 0.9) AS discount_p90,
+         quantile_cont(next_distinct_product_count, 0.75) AS breadth_p75,
+         quantile_cont(next_order_count, 0.75) AS orders_p75
+  FROM cadence WHERE data_split = 'train' AND next_has_order = 1""")
+cte("lab", ("cadence", "pthr"))("""
+  SELECT c.*,
+    CASE WHEN next_return_line_rate > 0 THEN 'return_heavy'
+         WHEN next_discount_rate > t.discount_p90 THEN 'discount_heavy'
+         WHEN next_distinct_product_count >= t.breadth_p75 THEN 'broad'
+         WHEN next_order_count >= t.orders_p75 THEN 'multi_order'
+         ELSE 'typical' END AS next_active_pattern
+  FROM cadence c CROSS JOIN pthr t""")
+cte("mk", ("cadence",))("""
+  SELECT s.st AS current_has_order, (coalesce(a.s, 0) + 1.0) / (coalesce(a.n, 0) + 2.0) AS p_markov
+  FROM (VALUES (0), (1)) s(st)
+  LEFT JOIN (SELECT current_has_order, sum(next_has_order) AS s, count(*) AS n
+             FROM cadence WHERE data_split = 'train' GROUP BY current_has_order) a
+    ON a.current_has_order = s.st""")
+cte("gl", ("cadence",))("SELECT avg(CAST(next_has_order AS DOUBLE)) AS p_global FROM cadence WHERE data_split = 'train'")
+cte("pprior", ("lab",))("""
+  SELECT next_active_pattern AS pattern_class,
+         CAST(count(*) AS DOUBLE) / sum(count(*)) OVER () AS pattern_share
+  FROM lab WHERE data_split = 'train' AND next_has_order = 1 GROUP BY next_active_pattern""")
+cte("pmaj", ("pprior",))("SELECT pattern_class AS majority_pattern FROM pprior ORDER BY pattern_share DESC, pattern_class LIMIT 1")
+cte("hb0", ("lab", "mk", "gl", "pprior", "pmaj"))("""
+  SELECT l.customer_public_id, l.transaction_month AS feature_month, l.target_month, l.data_split,
+         l.next_has_order, coalesce(mk.p_markov, gl.p_global) AS p_next_order,
+         CAST(coalesce(mk.p_markov, gl.p_global) >= gl.p_global AS INTEGER) AS predicted_activity,
+         -ln(least(greatest(CASE WHEN l.next_has_order = 1 THEN coalesce(mk.p_markov, gl.p_global)
+                                 ELSE 1.0 - coalesce(mk.p_markov, gl.p_global) END, 1e-8), 1.0)) AS activity_surprisal,
+         CASE WHEN l.next_has_order = 1 THEN l.next_active_pattern ELSE 'not_active' END AS actual_active_pattern,
+         CASE WHEN l.next_has_order = 1 THEN pm.majority_pattern ELSE 'not_active' END AS predicted_active_pattern,
+         CASE WHEN l.next_has_order = 1 THEN -ln(least(greatest(coalesce(pp.pattern_share, 0.0), 1e-8), 1.0))
+              ELSE 0.0 END AS pattern_surprisal
+  FROM lab l LEFT JOIN mk ON l.current_has_order = mk.current_has_order
+  CROSS JOIN gl CROSS JOIN pmaj pm
+  LEFT JOIN pprior pp ON l.next_active_pattern = pp.pattern_class
+  WHERE l.data_split = 'forward'""")
+cte("hb", ("hb0",))("""
+  SELECT *, round(greatest(activity_surprisal, pattern_surprisal), 9) AS hurdle_surprisal_score,
+         hurdle_direction <> 'expected' AS hurdle_eligible
+  FROM (SELECT *,
+          CASE WHEN next_has_order = 0 AND predicted_activity = 1 THEN 'unexpected_inactivity'
+               WHEN next_has_order = 1 AND predicted_activity = 0 THEN 'unexpected_activity'
+               WHEN next_has_order = 1 AND predicted_activity = 1 AND actual_active_pattern <> predicted_active_pattern
+                    THEN 'unexpected_active_pattern'
+               ELSE 'expected' END AS hurdle_direction
+        FROM hb0) x""")
+
+
+def waterfill_cte(name: str, src: str, caps, score="hurdle_surprisal_score", direction="hurdle_direction",
+                  month="target_month", eligible="hurdle_eligible", prefix="hurdle"):
+    if name in CTES:
+        return name
+    flags = ", ".join(f"coalesce(w.fill_rank <= {k}, false) AS {prefix}_top_{k}" for k in caps)
+    cte(name, (src,))(f"""
+  SELECT s.*, {flags}
+  FROM {src} s LEFT JOIN (
+    SELECT customer_public_id, {month},
+           row_number() OVER (PARTITION BY {month} ORDER BY within_rank, dir_idx) AS fill_rank
+    FROM (SELECT customer_public_id, {month},
+                 row_number() OVER (PARTITION BY {month}, {direction} ORDER BY {score} DESC NULLS LAST, customer_public_id) AS within_rank,
+                 CASE {direction} WHEN 'unexpected_inactivity' THEN 0 WHEN 'unexpected_activity' THEN 1
+                                  WHEN 'unexpected_active_pattern' THEN 2 END AS dir_idx
+          FROM {src} WHERE {eligible}
+            AND {direction} IN ('unexpected_inactivity', 'unexpected_activity', 'unexpected_active_pattern')) r
+  ) w USING (customer_public_id, {month})""")
+    return name
+
+
+def merged_cte(pf: str, hq: str, caps) -> str:
+    if "mg" in CTES:
+        return "mg"
+    pflags = ", ".join(f"p.{s}_top_{k}" for s in ("channel", "company_division", "hybrid") for k in caps)
+    hflags = ", ".join(f"h.hurdle_top_{k}" for k in caps)
+    cte("mg", (pf, hq))(f"""
+  SELECT p.customer_public_id, p.transaction_month, p.channel_s2_score, p.company_division_s2_score,
+         p.hybrid_s2_score, {pflags}, h.target_month, h.feature_month, h.next_has_order, h.p_next_order,
+         h.hurdle_direction, h.hurdle_surprisal_score, h.hurdle_eligible, {hflags}
+  FROM {pf} p JOIN {hq} h ON p.customer_public_id = h.customer_public_id AND p.transaction_month = h.target_month
+  WHERE p.forward""")
+    return "mg"
+
+
+def episode_sql(flags_sql: str, lens: str) -> str:
+    """Gaps-and-islands episodes over a flag subquery (customer_public_id, transaction_month,
+    score, flag, signal_direction)."""
+    w = "PARTITION BY customer_public_id ORDER BY transaction_month"
+    mn = "(year(transaction_month) * 12 + month(transaction_month))"
+    return f"""
+SELECT customer_public_id, CAST(episode_number AS BIGINT) AS episode_number, min(transaction_month) AS first_month,
+       max(transaction_month) AS last_month, count(*) AS months_flagged,
+       (round(CAST(max(score) AS DOUBLE), 6) + 0.0) AS max_score,
+       arg_max(signal_direction, transaction_month) AS signal_direction, '{lens}' AS lens,
+       CASE WHEN count(*) = 1 THEN 'new' ELSE 'ongoing' END AS episode_status,
+       substr(sha256(concat_ws('|', '{lens}', customer_public_id, CAST(CAST(episode_number AS BIGINT) AS VARCHAR))), 1, 16) AS episode_id
+FROM (SELECT *, sum(CASE WHEN coalesce(gap <> 1, true) OR dchg THEN 1 ELSE 0 END)
+                  OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS episode_number
+      FROM (SELECT *, {mn} - lag({mn}) OVER ({w}) AS gap,
+                   signal_direction IS DISTINCT FROM lag(signal_direction) OVER ({w}) AS dchg
+            FROM ({flags_sql}) f0 WHERE flag) f1) f2
+GROUP BY customer_public_id, episode_number"""
+
+
+def pilot_ctes(mg: str, cap: int, targets, prefix: str) -> str:
+    if "alloc" in CTES:
+        return "alloc"
+    masks = {
+        "agreement_core": f"channel_top_{cap} AND hurdle_top_{cap}",
+        "channel_only": f"channel_top_{cap} AND NOT hurdle_top_{cap}",
+        "hurdle_only": f"hurdle_top_{cap} AND NOT channel_top_{cap}",
+        "peer_definition_disagreement": f"(channel_top_{cap} <> company_division_top_{cap}) OR (channel_top_{cap} <> hybrid_top_{cap})",
+        "background": f"NOT (channel_top_{cap} OR hurdle_top_{cap} OR company_division_top_{cap} OR hybrid_top_{cap})",
+    }
+    cte("lt", (mg,))(f"SELECT * FROM {mg} WHERE transaction_month = (SELECT max(transaction_month) FROM {mg})")
+
+    def draw(seed):
+        return (f"row_number() OVER (ORDER BY md5(concat_ws('|', '{seed}', customer_public_id, "
+                f"strftime(transaction_month, '%Y-%m-%d'))), customer_public_id)")
+
+    prev = []
+    for off, (name, n) in enumerate(targets):
+        excl = "".join(f" AND customer_public_id NOT IN (SELECT customer_public_id FROM st_{p})" for p in prev)
+        cte(f"st_{name}", ("lt", *[f"st_{p}" for p in prev]))(f"""
+  SELECT * EXCLUDE (d), '{name}' AS sampling_stratum FROM (
+    SELECT *, {draw(42 + off)} AS d FROM lt WHERE ({masks[name]}){excl}) x WHERE d <= {n}""")
+        prev.append(name)
+    total = sum(n for _, n in targets)
+    union = " UNION ALL ".join(f"SELECT * FROM st_{p}" for p in prev)
+    cte("alloc0", tuple(f"st_{p}" for p in prev))(f"  {union}")
+    cte("fill", ("lt", "alloc0"))(f"""
+  SELECT * EXCLUDE (d), 'capacity_fill' AS sampling_stratum FROM (
+    SELECT *, {draw(42 + 99)} AS d FROM lt
+    WHERE customer_public_id NOT IN (SELECT customer_public_id FROM alloc0)) x
+  WHERE d <= greatest({total} - (SELECT count(*) FROM alloc0), 0)""")
+    sizes = ", ".join(f"sum(CASE WHEN {m} THEN 1 ELSE 0 END) AS {n}" for n, m in masks.items())
+    cte("psizes", ("lt",))(f"  SELECT {sizes}, count(*) AS latest_rows FROM lt")
+    filled = " + ".join(f"least({n}, {t})" for n, t in targets)
+    probs = " UNION ALL ".join(
+        f"SELECT '{n}' AS sampling_stratum, least(1.0, {t}.0 / greatest(1, {n})) AS inclusion_probability FROM psizes"
+        for n, t in targets)
+    probs += (f" UNION ALL SELECT 'capacity_fill', least(1.0, greatest(0, {total} - ({filled})) / "
+              f"greatest(1, latest_rows - ({filled}))) FROM psizes")
+    cte("pprob", ("psizes",))(f"  {probs}")
+    cte("alloc", ("alloc0", "fill", "pprob"))(f"""
+  SELECT a.*, p.inclusion_probability,
+         substr(sha256(concat_ws('|', '{prefix}', a.customer_public_id, strftime(a.transaction_month, '%Y-%m'))), 1, 16) AS case_id
+  FROM (SELECT * FROM alloc0 UNION ALL SELECT * FROM fill) a LEFT JOIN pprob p USING (sampling_stratum)""")
+    return "alloc"

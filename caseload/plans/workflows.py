@@ -43,3 +43,79 @@ def peer_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
     return peer_frame(spark, sf_dir).where("forward").select(
         "customer_public_id", "transaction_month", *[f"{s}_s2_score" for s in STRATEGIES],
         *flag_columns(caps))
+
+
+# --------------------------------------------------------------------------- lens 2
+def labeled_cadence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from caseload.operators.baselines import with_pattern_labels
+    return with_pattern_labels(I.cadence(spark, sf_dir))
+
+
+def hurdle_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lens 2 with baseline probabilities: smoothed Markov P(active) cut at the train base rate,
+    class-prior pattern model. Deterministic, so the whole lens is oracle-checkable."""
+    from caseload.operators.baselines import apply_baselines, pattern_prior
+    from caseload.operators.hurdle import hurdle_predictions
+
+    def build():
+        cad = labeled_cadence(spark, sf_dir)
+        train = cad.where(F.col("data_split") == "train")
+        fwd = apply_baselines(cad.where(F.col("data_split") == "forward"), train)
+        shares, majority = pattern_prior(train)
+        fwd = (fwd.crossJoin(F.broadcast(majority))
+                  .join(F.broadcast(shares), F.col("next_active_pattern") == F.col("pattern_class"), "left")
+                  .withColumn("p_pattern_actual", F.coalesce("pattern_share", F.lit(0.0))))
+        return hurdle_predictions(fwd, p_col="p_markov", pattern_pred_col="majority_pattern",
+                                  pattern_p_actual_col="p_pattern_actual", threshold="p_global")
+    return materialized(spark, "hurdle_baseline", sf_dir, build)
+
+
+def hurdle_queue(spark: SparkSession, sf_dir: str, pred: DataFrame | None = None) -> DataFrame:
+    """Q3/Q4: monthly water-fill queues over eligible hurdle rows at every capacity."""
+    from caseload.operators.queues import attach_waterfill_flags
+    caps = capacities_for(sf_dir)
+    pred = pred if pred is not None else hurdle_baseline(spark, sf_dir)
+    return attach_waterfill_flags(pred, "hurdle_surprisal_score", "hurdle_direction", caps, "hurdle",
+                                  eligible=F.col("hurdle_eligible"), month="target_month")
+
+
+def merged_lenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q5: lens 1 forward sidecar joined one-to-one with the lens 2 queue on
+    (customer, transaction_month = target_month)."""
+    from caseload.operators.queues import validated_inner_join
+    caps = capacities_for(sf_dir)
+
+    def build():
+        peer = peer_forward(spark, sf_dir)
+        hq = hurdle_queue(spark, sf_dir).select(
+            F.col("customer_public_id").alias("h_customer_public_id"), "target_month", "feature_month",
+            "next_has_order", "p_next_order", "hurdle_direction", "hurdle_surprisal_score", "hurdle_eligible",
+            *[f"hurdle_top_{k}" for k in caps])
+        j = validated_inner_join(peer, hq, ["customer_public_id", "transaction_month"],
+                                 ["h_customer_public_id", "target_month"])
+        return j.drop("h_customer_public_id")
+    return materialized(spark, "merged_lenses", sf_dir, build)
+
+
+def lens_flags(merged: DataFrame, cap: int) -> tuple[DataFrame, DataFrame]:
+    """E-A5: flag views at one capacity; the channel lens has a constant direction."""
+    base = merged.select("customer_public_id", "transaction_month", F.col("channel_s2_score").alias("score"),
+                         F.col(f"channel_top_{cap}").alias("flag"), F.lit("baseline_deviation").alias("signal_direction"))
+    hur = merged.select("customer_public_id", "transaction_month", F.col("hurdle_surprisal_score").alias("score"),
+                        F.col(f"hurdle_top_{cap}").alias("flag"), F.col("hurdle_direction").alias("signal_direction"))
+    return base, hur
+
+
+def episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E-A1..E-A5 + Q10: episodes of both lenses at the middle capacity, stacked."""
+    from caseload.operators.episodes import episode_table
+    cap = capacities_for(sf_dir)[1]
+    base, hur = lens_flags(merged_lenses(spark, sf_dir), cap)
+    return episode_table(base, "s2_channel").unionByName(episode_table(hur, "hurdle_cadence"))
+
+
+def pilot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from caseload.operators.pilot import pilot_allocation
+    cap = capacities_for(sf_dir)[1]
+    return materialized(spark, "pilot_allocation", sf_dir,
+                        lambda: pilot_allocation(merged_lenses(spark, sf_dir), cap))
