@@ -44,3 +44,9 @@ def materialized(spark: SparkSession, name: str, sf_dir: str, build, partition_b
     df = spark.read.parquet(path)
     _MEMO[key] = df
     return df
+
+
+def stage_path(spark: SparkSession, name: str, sf_dir: str) -> str:
+    """A fresh path in the shared stage folder for an explicit sink."""
+    root = ensure_checkpoint_dir(spark)
+    return f"{root.rstrip('/')}/caseload-sinks/{spark.sparkContext.applicationId}/{name}-{_fingerprint(sf_dir)}"
