@@ -451,3 +451,46 @@ def pilot_ctes(mg: str, cap: int, targets, prefix: str) -> str:
          substr(sha256(concat_ws('|', '{prefix}', a.customer_public_id, strftime(a.transaction_month, '%Y-%m'))), 1, 16) AS case_id
   FROM (SELECT * FROM alloc0 UNION ALL SELECT * FROM fill) a LEFT JOIN pprob p USING (sampling_stratum)""")
     return "alloc"
+
+
+# --------------------------------------------------------------------------- dirty variants
+def _h(tag: str) -> str:
+    return f"substr(md5(concat_ws('|', customer_public_id, strftime(transaction_month, '%Y-%m-%d'), '{tag}')), 1, 1)"
+
+
+_NUM = ("net_revenue_vs_history_z", "order_count_vs_history_z", "net_revenue_vs_peer_z", "baseline_anomaly_score")
+_FLG = ("sparse_history_flag", "sparse_peer_group_flag", "sparse_company_division_peer_group_flag")
+cte("dirty0", ("scored",))(f"""
+  SELECT CASE WHEN {_h('k')} = '0' THEN NULL ELSE customer_public_id END AS customer_public_id,
+         CASE WHEN {_h('m')} = '1' THEN 'bad-month' ELSE strftime(transaction_month, '%Y-%m-%d') END AS transaction_month,
+         ('0x' || substr(md5(concat_ws('|', customer_public_id, strftime(transaction_month, '%Y-%m-%d'), 's')), 1, 12))::BIGINT AS ingest_seq,
+         {", ".join(f"CASE WHEN {_h('f')} = '2' THEN NULL ELSE {c} END AS {c}" for c in _FLG)},
+         CASE WHEN {_h('f')} = '3' THEN NULL ELSE zero_order_month_flag END AS zero_order_month_flag,
+         {", ".join(f"CASE WHEN {_h(f'n{i}')} = '4' THEN 'NaN' WHEN {_h(f'n{i}')} = '5' THEN 'n/a' ELSE CAST({c} AS VARCHAR) END AS {c}" for i, c in enumerate(_NUM))},
+         {_h('d')} = 'e' AS dup
+  FROM scored""")
+cte("dirty", ("dirty0",))("""
+  SELECT * EXCLUDE (dup) FROM dirty0
+  UNION ALL BY NAME
+  SELECT * EXCLUDE (dup) REPLACE (ingest_seq + 1 AS ingest_seq, 'n/a' AS order_count_vs_history_z)
+  FROM dirty0 WHERE dup""")
+
+
+def _coerce(c: str) -> str:
+    v = f"TRY_CAST({c} AS DOUBLE)"
+    return f"CASE WHEN isnan({v}) THEN NULL ELSE {v} END"
+
+
+cte("cleaned", ("dirty",))(f"""
+  SELECT customer_public_id, transaction_month, ingest_seq,
+         {", ".join(f"coalesce({c}, true) AS {c}, {c} IS NULL AS filled_{c}" for c in _FLG)},
+         coalesce(zero_order_month_flag, false) AS zero_order_month_flag,
+         zero_order_month_flag IS NULL AS filled_zero_order_month_flag,
+         {", ".join(f"{_coerce(c)} AS {c}, ({c} IS NOT NULL AND {_coerce(c)} IS NULL) AS coerced_{c}" for c in _NUM)}
+  FROM (SELECT * EXCLUDE (transaction_month),
+               CAST(date_trunc('month', try_strptime(transaction_month, '%Y-%m-%d')) AS DATE) AS transaction_month,
+               row_number() OVER (PARTITION BY customer_public_id, CAST(date_trunc('month', try_strptime(transaction_month, '%Y-%m-%d')) AS DATE)
+                                  ORDER BY ingest_seq DESC) AS rk
+        FROM dirty
+        WHERE customer_public_id IS NOT NULL AND try_strptime(transaction_month, '%Y-%m-%d') IS NOT NULL) d
+  WHERE rk = 1""")
