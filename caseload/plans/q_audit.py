@@ -1 +1,160 @@
-"""Registered queries."""
+"""Registered queries: audit jobs over the text tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from caseload.config import (ALLOWED_DIRECTORY_SUFFIXES, EXCLUDED_NAMES, EXCLUDED_SUFFIXES, FORBIDDEN_ARCHIVE_PARTS,
+                             FORBIDDEN_ARCHIVE_SUFFIXES, FORBIDDEN_OUTPUT_TOKENS, LOCAL_PATH_PATTERNS)
+from caseload.operators import audit as AU
+from caseload.plans.oracle import cte, with_ctes
+from caseload.sources.tables import read_table
+
+
+def texts(spark, sf_dir):
+    d = read_table(spark, sf_dir, "documents", ["doc_id", "text"]).select(F.lit("documents").alias("source"),
+                                                                         F.col("doc_id").alias("id"), "text")
+    c = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "text"]).select(
+        F.lit("conversations").alias("source"), (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "text")
+    p = read_table(spark, sf_dir, "pages", ["page_id", "html"]).select(F.lit("pages").alias("source"),
+                                                                      F.col("page_id").alias("id"), F.col("html").alias("text"))
+    return d.unionByName(c).unionByName(p)
+
+
+cte("texts")("""
+  SELECT 'documents' AS source, doc_id AS id, text FROM documents
+  UNION ALL SELECT 'conversations', conv_id * 1000 + turn, text FROM conversations
+  UNION ALL SELECT 'pages', page_id, html FROM pages""")
+
+
+def _in(values):
+    return "(" + ", ".join(f"'{v}'" for v in values) + ")"
+
+
+_TOK_VALUES = ", ".join(f"('{t}')" for t in FORBIDDEN_OUTPUT_TOKENS)
+_A1_SQL = with_ctes(f"""
+SELECT s.source, k.token, s.rows_scanned, coalesce(f.n, 0) AS rows_with_finding
+FROM (SELECT source, count(*) AS rows_scanned FROM texts GROUP BY source) s
+CROSS JOIN (VALUES {_TOK_VALUES}) k(token)
+LEFT JOIN (SELECT source, token, count(DISTINCT id) AS n FROM texts CROSS JOIN (VALUES {_TOK_VALUES}) t(token)
+           WHERE instr(lower(text), token) > 0 GROUP BY source, token) f USING (source, token)""", "texts")
+
+from caseload.plans.registry import query  # noqa: E402
+
+
+@query("a01_forbidden_token_scan", _A1_SQL)
+def a01_forbidden_token_scan(spark, sf_dir):
+    """A1: forbidden-token findings per source x token (lower-cased containment)."""
+    t = texts(spark, sf_dir)
+    return AU.findings_summary(t, AU.token_findings(t), "token", list(FORBIDDEN_OUTPUT_TOKENS))
+
+
+_PAT_VALUES = ", ".join(f"({i}, '{p}')" for i, p in enumerate(LOCAL_PATH_PATTERNS))
+
+
+@query("a02_local_path_scan", with_ctes(f"""
+SELECT s.source, CAST(k.pattern_id AS BIGINT) AS pattern_id, s.rows_scanned, coalesce(f.n, 0) AS rows_with_finding
+FROM (SELECT source, count(*) AS rows_scanned FROM texts GROUP BY source) s
+CROSS JOIN (VALUES {_PAT_VALUES}) k(pattern_id, pattern)
+LEFT JOIN (SELECT source, pattern_id, count(DISTINCT id) AS n FROM texts CROSS JOIN (VALUES {_PAT_VALUES}) t(pattern_id, pattern)
+           WHERE regexp_matches(text, pattern) GROUP BY source, pattern_id) f USING (source, pattern_id)""", "texts"))
+def a02_local_path_scan(spark, sf_dir):
+    """A2: machine-local path pattern findings per source x pattern."""
+    t = texts(spark, sf_dir)
+    return AU.findings_summary(t, AU.pattern_findings(t), "pattern_id", list(range(len(LOCAL_PATH_PATTERNS))))
+
+
+@query("a03_json_cell_scan", """
+SELECT event_type, count(*) AS rows, count(k) AS parsed_rows,
+       CAST(sum(CASE WHEN props IS NOT NULL AND k IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS failed_rows,
+       min(k) AS min_k, max(k) AS max_k, CAST(sum(k) AS BIGINT) AS sum_k
+FROM (SELECT event_type, props,
+             CASE WHEN json_valid(props) THEN TRY_CAST(json_extract(props, '$.k') AS BIGINT) END AS k FROM events) e
+GROUP BY event_type""")
+def a03_json_cell_scan(spark, sf_dir):
+    """A3: semi-structured JSON column parsed with an explicit schema, per event type."""
+    return AU.json_cells(read_table(spark, sf_dir, "events", ["event_type", "props"]))
+
+
+def _decision_sql(path):
+    parts = f"string_split({path}, '/')"
+    name = f"{parts}[-1]"
+    suffix = f"lower(regexp_extract({name}, '(\\.[^.]+)$', 1))"
+    return f"""CASE WHEN list_has_any({parts}, {list(FORBIDDEN_ARCHIVE_PARTS)}) THEN 'forbidden_part'
+            WHEN list_has_any({parts}, {list(EXCLUDED_NAMES)}) THEN 'excluded_name'
+            WHEN {name} = '.env' THEN 'env_file'
+            WHEN {suffix} IN {_in(FORBIDDEN_ARCHIVE_SUFFIXES)} THEN 'forbidden_suffix'
+            WHEN {suffix} IN {_in(EXCLUDED_SUFFIXES)} THEN 'excluded_suffix'
+            WHEN {suffix} NOT IN {_in(ALLOWED_DIRECTORY_SUFFIXES)} THEN 'suffix_not_allowed'
+            ELSE 'allowed' END""", suffix
+
+
+_DEC, _SUF = _decision_sql("path")
+
+
+@query("a04_inventory_filter", f"""
+SELECT suffix, decision, decision = 'allowed' AS allowed, count(*) AS paths FROM (
+  SELECT {_SUF} AS suffix, {_DEC} AS decision
+  FROM (SELECT regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1) AS path FROM pages) p) d
+GROUP BY 1, 2, 3""")
+def a04_inventory_filter(spark, sf_dir):
+    """A4: allow/deny decisions of the page paths by suffix, directory part and name."""
+    p = read_table(spark, sf_dir, "pages", ["url"]).select(AU.url_path().alias("path"))
+    d = AU.inventory_decision(p)
+    return d.groupBy("suffix", "decision", "allowed").agg(F.count(F.lit(1)).alias("paths"))
+
+
+@query("a05_duplicate_content", """
+SELECT sha256, count(*) AS copies, min(doc_id) AS first_doc_id FROM (SELECT doc_id, sha256(text) AS sha256 FROM documents) d
+GROUP BY sha256 HAVING count(*) > 1""")
+def a05_duplicate_content(spark, sf_dir):
+    """A5: duplicated members (documents with identical content hash)."""
+    inv = AU.content_inventory(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), "doc_id", "text")
+    return inv.groupBy("sha256").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_doc_id")) \
+        .where(F.col("copies") > 1)
+
+
+@query("a06_content_hash_inventory", """
+SELECT doc_id, text IS NOT NULL AS available, CAST(strlen(text) AS BIGINT) AS bytes, sha256(text) AS sha256 FROM documents""")
+def a06_content_hash_inventory(spark, sf_dir):
+    """Content-hash inventory (available, bytes, SHA-256) of every document."""
+    return AU.content_inventory(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), "doc_id", "text")
+
+
+@query("a07_inventory_reconciliation", """
+SELECT status, count(*) AS items FROM (
+  SELECT CASE WHEN l.doc_id IS NULL THEN 'missing' WHEN m.doc_id IS NULL THEN 'extra'
+              WHEN m.bytes IS DISTINCT FROM l.bytes THEN 'stale_size' ELSE 'ok' END AS status
+  FROM (SELECT d.doc_id, d.n_chars AS bytes FROM labels x JOIN documents d USING (doc_id)) m
+  FULL JOIN (SELECT doc_id, CAST(length(text) AS BIGINT) AS bytes FROM documents) l USING (doc_id)) s
+GROUP BY status""")
+def a07_inventory_reconciliation(spark, sf_dir):
+    """Recorded inventory (labelled documents with their declared size) reconciled with
+    the live documents: missing / extra / stale size / stale hash / ok counts."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "n_chars"])
+    lab = read_table(spark, sf_dir, "labels", ["doc_id"])
+    manifest = lab.join(docs, "doc_id").select("doc_id", F.col("n_chars").alias("bytes"), F.lit(None).cast("string").alias("sha256"))
+    live = docs.select("doc_id", F.char_length("text").cast("bigint").alias("bytes"), F.lit(None).cast("string").alias("sha256"))
+    return AU.reconcile(manifest, live, "doc_id").groupBy("status").agg(F.count(F.lit(1)).alias("items"))
+
+
+@query("a08_broken_links", """
+SELECT page_id, target, starts_with(target, '/') AS is_absolute FROM (
+  SELECT page_id, target, string_split(target, '#')[1] AS target_path FROM (
+    SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS target FROM pages) l
+  WHERE NOT (starts_with(target, 'http://') OR starts_with(target, 'https://') OR starts_with(target, '#')
+             OR starts_with(target, 'mailto:'))) x
+WHERE target_path NOT IN (SELECT DISTINCT regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1) FROM pages)""")
+def a08_broken_links(spark, sf_dir):
+    """Broken local link report over the page HTML (absolute targets flagged)."""
+    return AU.broken_links(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
+
+
+@query("a09_sequence_check", """
+SELECT conv_id, count(*) AS items,
+       CAST(sum(CASE WHEN turn <> expected THEN 1 ELSE 0 END) AS BIGINT) AS violations
+FROM (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS expected FROM conversations) c
+GROUP BY conv_id""")
+def a09_sequence_check(spark, sf_dir):
+    """Turn numbers of every conversation must run 0..n-1."""
+    return AU.sequence_check(read_table(spark, sf_dir, "conversations", ["conv_id", "turn"]), "conv_id", "turn")
