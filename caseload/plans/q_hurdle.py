@@ -12,19 +12,20 @@ from caseload.plans import workflows as W
 from caseload.plans.oracle import cte, with_ctes
 from caseload.plans.registry import B, R, query
 
-TRAIN = F.col("data_split") == "train"
+def _train():
+    return F.col("data_split") == "train"
 
 
 @query("m01_markov_baseline", with_ctes(f"SELECT {B('current_has_order')}, {R('p_markov')} FROM mk", "mk"))
 def m01_markov_baseline(spark, sf_dir):
     """M1: smoothed one-step Markov table fitted on train."""
-    return BL.markov_table(I.cadence(spark, sf_dir).where(TRAIN))
+    return BL.markov_table(I.cadence(spark, sf_dir).where(_train()))
 
 
 @query("m02_global_rate", with_ctes(f"SELECT {R('p_global')} FROM gl", "gl"))
 def m02_global_rate(spark, sf_dir):
     """M2: constant train activity rate."""
-    return BL.global_rate(I.cadence(spark, sf_dir).where(TRAIN))
+    return BL.global_rate(I.cadence(spark, sf_dir).where(_train()))
 
 
 @query("m03_pattern_thresholds", with_ctes(
@@ -59,7 +60,7 @@ cte("folds", ("fold_months",))("""
 @query("m05_expanding_folds", with_ctes(f"SELECT {B('fold')}, role, target_month FROM folds", "folds"))
 def m05_expanding_folds(spark, sf_dir):
     """M5: expanding-window folds over train target months (4 folds, array_split blocks)."""
-    return BL.expanding_folds(I.cadence(spark, sf_dir), TRAIN, 4)
+    return BL.expanding_folds(I.cadence(spark, sf_dir), _train(), 4)
 
 
 @query("m06_fold_boundaries", with_ctes("""
@@ -74,7 +75,7 @@ FROM folds JOIN (SELECT target_month, count(*) AS n FROM cadence WHERE data_spli
 GROUP BY fold""", "folds", "cadence"))
 def m06_fold_boundaries(spark, sf_dir):
     """M6: fold boundary table (months and rows, no customer ids)."""
-    return BL.fold_boundaries(I.cadence(spark, sf_dir), TRAIN, 4)
+    return BL.fold_boundaries(I.cadence(spark, sf_dir), _train(), 4)
 
 
 _PRED_SQL_COLS = []
@@ -102,7 +103,7 @@ def h07_direction_counts(spark, sf_dir):
 # --------------------------------------------------------------------------- E1-E8
 def forward_long(spark, sf_dir):
     cad = I.cadence(spark, sf_dir)
-    fwd = BL.apply_baselines(cad.where(F.col("data_split") == "forward"), cad.where(TRAIN))
+    fwd = BL.apply_baselines(cad.where(F.col("data_split") == "forward"), cad.where(_train()))
     return M.long_probabilities(fwd, "next_has_order", {"smoothed_activity_markov": "p_markov",
                                                         "global_activity_rate": "p_global"},
                                 keep=("customer_public_id",))
@@ -175,7 +176,7 @@ FROM e8""", "e8"))
 def e08_pattern_metrics(spark, sf_dir):
     """Stage-2 multiclass metrics on forward active rows (class-prior pattern model)."""
     cad = W.labeled_cadence(spark, sf_dir)
-    shares, majority = BL.pattern_prior(cad.where(TRAIN))
+    shares, majority = BL.pattern_prior(cad.where(_train()))
     fa = cad.where((F.col("data_split") == "forward") & (F.col("next_has_order") == 1))
     fa = fa.crossJoin(F.broadcast(majority)).join(F.broadcast(shares),
                                                    F.col("next_active_pattern") == F.col("pattern_class"), "left")
