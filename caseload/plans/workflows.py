@@ -47,8 +47,10 @@ def peer_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- lens 2
 def labeled_cadence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cadence panel with train-fitted pattern thresholds and labels (one stage, thresholds
+    computed once)."""
     from caseload.operators.baselines import with_pattern_labels
-    return with_pattern_labels(I.cadence(spark, sf_dir))
+    return materialized(spark, "labeled_cadence", sf_dir, lambda: with_pattern_labels(I.cadence(spark, sf_dir)))
 
 
 def hurdle_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,3 +121,74 @@ def pilot(spark: SparkSession, sf_dir: str) -> DataFrame:
     cap = capacities_for(sf_dir)[1]
     return materialized(spark, "pilot_allocation", sf_dir,
                         lambda: pilot_allocation(merged_lenses(spark, sf_dir), cap))
+
+
+# --------------------------------------------------------------------------- lens 2 with fitted models
+_MODEL_CACHE: dict = {}
+
+
+def hurdle_models(spark: SparkSession, sf_dir: str) -> dict:
+    """Fit logistic and boosting on train, champion rule on calibration, isotonic gate
+    on the last calibration month, Stage-2 pattern models; returns models and scalar metrics."""
+    from caseload.operators import metrics as M
+    from caseload.operators import models as ML
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _MODEL_CACHE:
+        return _MODEL_CACHE[key]
+    cal = DEFAULT_CALENDAR
+    cad = labeled_cadence(spark, sf_dir)
+    train = cad.where(F.col("data_split") == "train")
+    calib = cad.where(F.col("data_split") == "calibration")
+    if train.limit(1).count() == 0 or calib.limit(1).count() == 0:
+        raise ValueError("The train/calibration/forward split is incomplete")
+    train = train.persist()
+    n_train = train.count()
+    models = {"logistic": ML.fit(ML.logistic_pipeline(n_train), train),
+              "gradient_boosting": ML.fit(ML.boosting_pipeline(), train)}
+
+    def metrics(df, cols, window):
+        long = M.long_probabilities(df, "next_has_order", cols)
+        return [dict(r.asDict(), window=window) for r in M.binary_metrics(long).collect()]
+
+    scored_cal = calib
+    for name, m in models.items():
+        scored_cal = ML.positive_probability(m, scored_cal, f"p_{name}")
+    cal_rows = metrics(scored_cal, {n: f"p_{n}" for n in models}, "calibration")
+    selected = ML.champion({r["model"]: r["log_loss"] for r in cal_rows})
+    fit_rows = scored_cal.where(F.col("target_month") < F.lit(cal.calib_end))
+    check = scored_cal.where(F.col("target_month") == F.lit(cal.calib_end))
+    iso = ML.isotonic_calibrator(fit_rows, f"p_{selected}")
+    check = ML.apply_isotonic(iso, check, f"p_{selected}", "p_isotonic")
+    chk = {r["model"]: r for r in metrics(check, {f"{selected}_raw": f"p_{selected}",
+                                                  f"{selected}_isotonic": "p_isotonic"}, "calibration_check")}
+    use_iso = ML.isotonic_gate(chk[f"{selected}_raw"], chk[f"{selected}_isotonic"])
+    classes = sorted(r.next_active_pattern for r in train.where("next_has_order = 1")
+                     .select("next_active_pattern").distinct().collect())
+    pattern = ML.pattern_models(train.where("next_has_order = 1"), classes)
+    train.unpersist()
+    out = {"models": models, "selected": selected, "isotonic": iso, "use_isotonic": use_iso,
+           "operational": f"{selected}_{'isotonic' if use_iso else 'raw'}", "calibration_metrics": cal_rows,
+           "check_metrics": list(chk.values()), "pattern_models": pattern, "classes": classes, "n_train": n_train}
+    _MODEL_CACHE[key] = out
+    return out
+
+
+def hurdle_model_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lens 2 forward sidecar from the fitted, gated operational model and Stage-2 models."""
+    from caseload.operators import models as ML
+    from caseload.operators.hurdle import hurdle_predictions
+
+    def build():
+        h = hurdle_models(spark, sf_dir)
+        fwd = labeled_cadence(spark, sf_dir).where(F.col("data_split") == "forward")
+        sel = h["selected"]
+        fwd = ML.positive_probability(h["models"][sel], fwd, "p_raw")
+        if h["use_isotonic"]:
+            fwd = ML.apply_isotonic(h["isotonic"], fwd, "p_raw", "p_operational")
+        else:
+            fwd = fwd.withColumn("p_operational", F.col("p_raw"))
+        fwd = ML.pattern_probabilities(h["pattern_models"], fwd)
+        return hurdle_predictions(fwd, p_col="p_operational", pattern_pred_col="predicted_pattern",
+                                  pattern_p_actual_col="p_pattern_actual", threshold=0.5)
+    return materialized(spark, "hurdle_model_predictions", sf_dir, build)
