@@ -15,13 +15,17 @@ from pyspark.sql import functions as F
 
 
 def value_prefix(df: DataFrame, value: str, weights: dict[str, Column], *, by: list[str] | None = None,
-                 n_buckets: int = 256) -> DataFrame:
+                 n_buckets: int = 256, bounds_by: list[str] | None = None) -> DataFrame:
+    """``bounds_by`` (a subset of ``by``) shares one set of bucket bounds across groups that
+    hold the same values, e.g. bootstrap replicates of the same scores."""
     by = list(by or [])
+    bb = by if bounds_by is None else list(bounds_by)
     d = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(
         *[F.sum(w).alias(n) for n, w in weights.items()])
     qs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = d.groupBy(*by).agg(F.percentile_approx(value, qs, 10000).alias("_bounds"))
-    d = (d.join(F.broadcast(bounds), by, "left") if by else d.crossJoin(F.broadcast(bounds)))
+    src = d if bb == by else d.select(*bb, value).distinct()
+    bounds = src.groupBy(*bb).agg(F.percentile_approx(value, qs, 10000).alias("_bounds"))
+    d = (d.join(F.broadcast(bounds), bb, "left") if bb else d.crossJoin(F.broadcast(bounds)))
     d = d.withColumn("_bucket", F.size(F.filter(F.coalesce("_bounds", F.array().cast("array<double>")),
                                                lambda b: b < F.col(value)))).drop("_bounds")
     tot = d.groupBy(*by, "_bucket").agg(*[F.sum(n).alias(n) for n in weights])

@@ -13,7 +13,8 @@ from caseload.plans.stages import materialized
 
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialized(spark, "facts", sf_dir, lambda: P.monthly_facts(spark, sf_dir))
+    typed = materialized(spark, "typed_lines", sf_dir, lambda: P.typed_lines(spark, sf_dir))
+    return materialized(spark, "facts", sf_dir, lambda: P.monthly_facts(spark, sf_dir, typed=typed))
 
 
 def engineered(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,13 +34,11 @@ def _orders(spark, sf_dir) -> DataFrame:
                      month_start("o_orderdate").alias("transaction_month")))
 
 
-def monthly_facts(spark: SparkSession, sf_dir: str, cfg: PanelConfig = PanelConfig()) -> DataFrame:
-    """Dense customer-month facts (wide): panel measures + revenue/quantity/mix inputs."""
+def typed_lines(spark: SparkSession, sf_dir: str, cfg: PanelConfig = PanelConfig()) -> DataFrame:
+    """Order lines joined to their order's customer/month and part type, aggregated to the
+    (customer, month, part type) grain."""
     end = F.lit(cfg.calendar.panel_end)
     orders = _orders(spark, sf_dir).where(F.col("transaction_month") <= end)
-    order_month = orders.groupBy("o_custkey", "transaction_month").agg(
-        F.count(F.lit(1)).alias("order_count"),
-        F.countDistinct("order_date").alias("active_order_days"))
 
     li = read_table(spark, sf_dir, "lineitem",
                     ["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount",
@@ -49,8 +47,9 @@ def monthly_facts(spark: SparkSession, sf_dir: str, cfg: PanelConfig = PanelConf
     lines = (li.join(orders.select("o_orderkey", "o_custkey", "transaction_month"),
                      li.l_orderkey == orders.o_orderkey)
                .join(part, li.l_partkey == part.p_partkey, "left"))
-    per_part = lines.groupBy("o_custkey", "transaction_month", "l_partkey").agg(
-        F.max("p_type").alias("p_type"),
+    # p_type is a function of the part, so grouping by both keeps the part grain without a
+    # string aggregate (which would force a sort-based aggregation).
+    per_part = lines.groupBy("o_custkey", "transaction_month", "p_type", "l_partkey").agg(
         F.count(F.lit(1)).alias("lines"),
         F.sum("l_extendedprice").alias("gross"),
         F.sum(F.col("l_extendedprice") * F.col("l_discount")).alias("discount_amount"),
@@ -60,19 +59,42 @@ def monthly_facts(spark: SparkSession, sf_dir: str, cfg: PanelConfig = PanelConf
         F.sum(F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"), 1)
                .otherwise(0)).alias("return_lines"),
     )
-    line_month = per_part.groupBy("o_custkey", "transaction_month").agg(
-        F.sum("lines").alias("line_count"),
-        F.count("l_partkey").alias("distinct_product_count"),
+    # type grain: parts are disjoint across types, so distinct parts and the top part add up
+    typed = per_part.groupBy("o_custkey", "transaction_month", "p_type").agg(
+        F.sum("lines").alias("type_lines"), F.count("l_partkey").alias("parts"),
+        F.sum("gross").alias("gross"), F.sum("discount_amount").alias("discount_amount"),
+        F.sum("net").alias("net"), F.sum("quantity").alias("quantity"),
+        F.sum("promo_lines").alias("promo_lines"), F.sum("return_lines").alias("return_lines"),
+        F.max("net").alias("top_part_net"))
+    return typed
+
+
+def monthly_facts(spark: SparkSession, sf_dir: str, cfg: PanelConfig = PanelConfig(),
+                  typed: DataFrame | None = None) -> DataFrame:
+    """Dense customer-month facts (wide): panel measures + revenue/quantity/mix inputs.
+
+    ``typed`` is the (customer, month, part type) line aggregate; pass the materialized stage
+    so the big lines join runs once (it feeds both the monthly totals and the mix shift).
+    """
+    end = F.lit(cfg.calendar.panel_end)
+    orders = _orders(spark, sf_dir).where(F.col("transaction_month") <= end)
+    order_month = orders.groupBy("o_custkey", "transaction_month").agg(
+        F.count(F.lit(1)).alias("order_count"),
+        F.countDistinct("order_date").alias("active_order_days"))
+    if typed is None:
+        typed = typed_lines(spark, sf_dir, cfg)
+    line_month = typed.groupBy("o_custkey", "transaction_month").agg(
+        F.sum("type_lines").alias("line_count"),
+        F.sum("parts").alias("distinct_product_count"),
         F.sum("gross").alias("gross_revenue"),
         F.sum("discount_amount").alias("discount_amount"),
         F.sum("net").alias("net_revenue"),
         F.sum("quantity").alias("quantity"),
         F.sum("promo_lines").alias("promo_lines"),
         F.sum("return_lines").alias("return_lines"),
-        F.max("net").alias("top_part_net"),
+        F.max("top_part_net").alias("top_part_net"),
     )
-    mix = per_part.groupBy("o_custkey", "transaction_month", "p_type").agg(
-        F.sum("lines").alias("type_lines"))
+    mix = typed.select("o_custkey", "transaction_month", "p_type", "type_lines")
     shift = category_mix_shift(mix, line_month)
 
     first = order_month.groupBy("o_custkey").agg(F.min("transaction_month").alias("first_observed_month"))

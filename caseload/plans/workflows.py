@@ -144,8 +144,13 @@ def hurdle_models(spark: SparkSession, sf_dir: str) -> dict:
         raise ValueError("The train/calibration/forward split is incomplete")
     train = train.persist()
     n_train = train.count()
-    models = {"logistic": ML.fit(ML.logistic_pipeline(n_train), train),
-              "gradient_boosting": ML.fit(ML.boosting_pipeline(), train)}
+    from concurrent.futures import ThreadPoolExecutor
+    # independent fits are separate Spark jobs; submitting them from driver threads keeps the
+    # executors busy while each boosting round waits on its own small stages
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        lf = pool.submit(ML.fit, ML.logistic_pipeline(n_train), train)
+        gf = pool.submit(ML.fit, ML.boosting_pipeline(), train)
+        models = {"logistic": lf.result(), "gradient_boosting": gf.result()}
 
     def metrics(df, cols, window):
         long = M.long_probabilities(df, "next_has_order", cols)
