@@ -16,13 +16,18 @@ CUR = "customer_public_id"
 MONTH = "transaction_month"
 
 
-def deterministic_sample(pool: DataFrame, n, seed: int, partition_cols=()) -> DataFrame:
+def deterministic_sample(pool: DataFrame, n, seed: int, partition_cols=(), max_n: int | None = None) -> DataFrame:
     """N rows without replacement (whole pool when smaller), ordered by md5(seed|customer|month).
-    ``n`` is an int or a column (e.g. from a one-row count)."""
+    ``n`` is an int or a column (e.g. from a one-row count); with a column, ``max_n`` is a literal
+    upper bound so the draw still plans as a distributed top-n."""
     key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(CUR), F.date_format(MONTH, "yyyy-MM-dd")))
     w = Window.partitionBy(*partition_cols).orderBy(key, F.col(CUR)) if partition_cols else Window.orderBy(key, F.col(CUR))
-    lim = F.lit(int(n)) if isinstance(n, int) else n
-    return pool.withColumn("_draw", F.row_number().over(w)).where(F.col("_draw") <= lim).drop("_draw")
+    drawn = pool.withColumn("_draw", F.row_number().over(w))
+    if isinstance(n, int):
+        return drawn.where(F.col("_draw") <= n).drop("_draw")
+    if max_n is not None:
+        drawn = drawn.where(F.col("_draw") <= max_n)
+    return drawn.where(F.col("_draw") <= n).drop("_draw")
 
 
 def strata_masks(latest: DataFrame, cap: int) -> dict:
@@ -54,6 +59,9 @@ def pilot_allocation(merged: DataFrame, cap: int, targets=PILOT_TARGETS, prefix:
         if used is not None:
             pool = pool.join(F.broadcast(used), CUR, "left_anti")
         s = deterministic_sample(pool, target, RANDOM_STATE + offset).withColumn("sampling_stratum", F.lit(name))
+        # at most `target` rows: a reliable checkpoint keeps the next step's plan linear instead of
+        # re-deriving every earlier stratum inside each later exclusion
+        s = s.checkpoint(eager=True)
         parts.append(s)
         ids = s.select(CUR)
         used = ids if used is None else used.unionByName(ids)
@@ -63,7 +71,8 @@ def pilot_allocation(merged: DataFrame, cap: int, targets=PILOT_TARGETS, prefix:
     total = sum(t for _, t in targets)
     have = alloc.agg(F.count(F.lit(1)).alias("_have"))
     remaining = latest.join(F.broadcast(alloc.select(CUR)), CUR, "left_anti").crossJoin(F.broadcast(have))
-    fill = deterministic_sample(remaining, F.greatest(F.lit(total) - F.col("_have"), F.lit(0)), RANDOM_STATE + 99) \
+    fill = deterministic_sample(remaining, F.greatest(F.lit(total) - F.col("_have"), F.lit(0)), RANDOM_STATE + 99,
+                                max_n=total) \
         .drop("_have").withColumn("sampling_stratum", F.lit("capacity_fill"))
     alloc = alloc.unionByName(fill)
     # P5 inclusion probabilities from the pool sizes before exclusion
