@@ -183,3 +183,25 @@ def snk1_src2_episode_parquet(spark, sf_dir):
     path = stage_path(spark, "episodes_parquet", sf_dir)
     sinks.write_parquet(W.episodes(spark, sf_dir), path, partition_by=("lens",))
     return spark.read.parquet(path).select(*W.episodes(spark, sf_dir).columns)
+
+
+_P8_SQL = with_ctes(f"""
+SELECT 'episode_counts' AS section, lens || '|' || episode_status AS key, 'episodes' AS metric,
+       CAST(count(*) AS DOUBLE) AS value FROM ({_EPISODES}) e GROUP BY lens, episode_status
+UNION ALL
+SELECT 'repeat_customer_months_avoided', lens, 'months', CAST(sum(months_flagged) - count(*) AS DOUBLE)
+FROM ({_EPISODES}) e GROUP BY lens
+UNION ALL
+SELECT 'pilot_strata', sampling_stratum, 'cases', CAST(count(*) AS DOUBLE) FROM {ALLOC} GROUP BY sampling_stratum
+UNION ALL
+""" + " UNION ALL ".join(
+    f"SELECT 'capacity_overlap', '{k}', 'channel_vs_hurdle_jaccard', "
+    f"{R(f'CASE WHEN sum(CASE WHEN channel_top_{k} OR hurdle_top_{k} THEN 1 ELSE 0 END) > 0 THEN sum(CASE WHEN channel_top_{k} AND hurdle_top_{k} THEN 1 ELSE 0 END) / sum(CASE WHEN channel_top_{k} OR hurdle_top_{k} THEN 1 ELSE 0 END) END', 'v')} "
+    f"FROM {MG}" for k in CAPACITIES), MG, ALLOC)
+
+
+@query("p08_operational_metrics", _P8_SQL)
+def p08_operational_metrics(spark, sf_dir):
+    """The operational layer's metric record (overlap, episode counts, repeats avoided, strata)."""
+    from caseload.plans.entrypoints import run_operational_layer
+    return run_operational_layer(spark, sf_dir)[0]
