@@ -6,11 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str = "left") -> DataFrame:
-    """Equi-join where a NULL key matches a NULL key (a NULL peer group is its own group)."""
+def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str = "left", broadcast_right: bool = False) -> DataFrame:
+    """Equi-join where a NULL key matches a NULL key (a NULL peer group is its own group).
+
+    ``broadcast_right`` only for right sides with a proven bound (e.g. month x peer-cell
+    aggregates: months times a dimension's cardinality, independent of rows per cell)."""
     keys = list(keys)
     r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
                      *[c for c in right.columns if c not in keys])
+    if broadcast_right:
+        r = F.broadcast(r)
     cond = None
     for k in keys:
         c = F.col(k).eqNullSafe(F.col(f"__r_{k}"))

@@ -38,7 +38,7 @@ def peer_residuals(df: DataFrame, group_col: str = "company_division_peer_public
         F.median("net_revenue_vs_history_z").alias("_med_spend"),
         F.median("order_count_vs_history_z").alias("_med_order"),
         F.count("net_revenue_vs_history_z").alias("cd_group_count"))
-    j = null_safe_join(df, cells, ["transaction_month", group_col])
+    j = null_safe_join(df, cells, ["transaction_month", group_col], broadcast_right=True)
     return j.select(
         *df.columns,
         clip(F.col("net_revenue_vs_history_z") - F.col("_med_spend"), -10, 10).alias("cd_spend_residual"),

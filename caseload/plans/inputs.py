@@ -27,9 +27,9 @@ def cadence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialized(spark, "scored", sf_dir,
-                        lambda: P.scored_panel(facts(spark, sf_dir), P.customer_peers(spark, sf_dir),
-                                               PanelConfig()))
+    history = materialized(spark, "history", sf_dir,
+                           lambda: P.history_panel(facts(spark, sf_dir), P.customer_peers(spark, sf_dir), PanelConfig()))
+    return materialized(spark, "scored", sf_dir, lambda: P.scored_panel(history, PanelConfig()))
 
 
 def finalize(df: DataFrame) -> DataFrame:

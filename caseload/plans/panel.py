@@ -166,8 +166,9 @@ def customer_peers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.join(sizes, "company_division_peer_public_id", "left")
 
 
-def scored_panel(facts: DataFrame, peers: DataFrame, cfg: PanelConfig = PanelConfig()) -> DataFrame:
-    """The 21-column scored panel: history z, peer z, peer residuals, YoY ratios, flags."""
+def history_panel(facts: DataFrame, peers: DataFrame, cfg: PanelConfig = PanelConfig()) -> DataFrame:
+    """Per-customer window pass: history z of six measures, prior-row count, 12-row YoY ratios.
+    One Exchange + Sort + Window on the customer key; every partition holds whole customers."""
     w = Window.partitionBy("customer_public_id").orderBy("transaction_month")
     prior = w.rowsBetween(Window.unboundedPreceding, -1)
     df = facts.join(peers, "o_custkey", "left")
@@ -181,12 +182,18 @@ def scored_panel(facts: DataFrame, peers: DataFrame, cfg: PanelConfig = PanelCon
     for m in ("net_revenue", "order_count"):
         lag12 = F.lag(F.col(m).cast("double"), 12).over(w)
         cols.append(F.when(lag12 > 0, F.col(m).cast("double") / lag12).alias(f"{m}_yoy_ratio"))
-    df = df.select(*cols)
-    # Peer cells: (month, channel) and (month, company/division); aggregate + join (partial agg).
     rev = F.log1p(F.col("net_revenue"))
     order_value = F.log1p(F.when(F.col("order_count") > 0, F.col("net_revenue") / F.col("order_count"))
                           .otherwise(F.lit(0.0)))
-    df = df.withColumn("_rev_l", rev).withColumn("_ov_l", order_value)
+    return df.select(*cols, rev.alias("_rev_l"), order_value.alias("_ov_l"))
+
+
+def scored_panel(history: DataFrame, cfg: PanelConfig = PanelConfig()) -> DataFrame:
+    """The 21-column scored panel from the history stage: peer z, peer residuals, flags.
+
+    Peer cells are (month, channel) and (month, company/division): grouped aggregates with
+    partial aggregation, broadcast back (months x cells rows, a dimension-bounded size)."""
+    df = history
     ch = df.groupBy("transaction_month", "channel_peer").agg(
         F.avg("_rev_l").alias("_ch_mean"), F.stddev_samp("_rev_l").alias("_ch_sd"),
         F.count(F.lit(1)).alias("_ch_rows"),
@@ -195,8 +202,8 @@ def scored_panel(facts: DataFrame, peers: DataFrame, cfg: PanelConfig = PanelCon
     cd = df.groupBy("transaction_month", "company_division_peer_public_id").agg(
         F.avg("_ov_l").alias("_cd_mean"), F.stddev_samp("_ov_l").alias("_cd_sd"),
         F.count(F.lit(1)).alias("_cd_rows"))
-    df = null_safe_join(df, ch, ["transaction_month", "channel_peer"])
-    df = null_safe_join(df, cd, ["transaction_month", "company_division_peer_public_id"])
+    df = null_safe_join(df, ch, ["transaction_month", "channel_peer"], broadcast_right=True)
+    df = null_safe_join(df, cd, ["transaction_month", "company_division_peer_public_id"], broadcast_right=True)
     hz = [F.abs(F.col(f"{m}_vs_history_z")) for m in HIST_MEASURES]
     return df.select(
         "customer_public_id", "transaction_month",
