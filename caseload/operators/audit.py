@@ -16,7 +16,8 @@ def token_findings(texts: DataFrame, tokens=FORBIDDEN_OUTPUT_TOKENS) -> DataFram
     """A1: one finding per (source, id, token) where lower(text) contains the token."""
     spark = texts.sparkSession
     tok = spark.createDataFrame([(t,) for t in tokens], "token string")
-    return texts.crossJoin(F.broadcast(tok)).where(F.instr(F.lower("text"), F.col("token")) > 0) \
+    low = texts.select("source", "id", F.lower("text").alias("ltext"))  # once per text, not per token
+    return low.crossJoin(F.broadcast(tok)).where(F.instr(F.col("ltext"), F.col("token")) > 0) \
         .select("source", "id", "token")
 
 

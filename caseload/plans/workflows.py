@@ -127,13 +127,14 @@ def pilot(spark: SparkSession, sf_dir: str) -> DataFrame:
 _MODEL_CACHE: dict = {}
 
 
-def hurdle_models(spark: SparkSession, sf_dir: str) -> dict:
+def hurdle_models(spark: SparkSession, sf_dir: str, activity_models: dict | None = None,
+                  boosting_params: dict | None = None) -> dict:
     """Fit logistic and boosting on train, champion rule on calibration, isotonic gate
     on the last calibration month, Stage-2 pattern models; returns models and scalar metrics."""
     from caseload.operators import metrics as M
     from caseload.operators import models as ML
 
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, id(activity_models), repr(boosting_params))
     if key in _MODEL_CACHE:
         return _MODEL_CACHE[key]
     cal = DEFAULT_CALENDAR
@@ -147,10 +148,10 @@ def hurdle_models(spark: SparkSession, sf_dir: str) -> dict:
     from concurrent.futures import ThreadPoolExecutor
     # independent fits are separate Spark jobs; submitting them from driver threads keeps the
     # executors busy while each boosting round waits on its own small stages
+    candidates = ML.prepare_activity_models(activity_models, n_train=n_train, boosting_params=boosting_params)
     with ThreadPoolExecutor(max_workers=2) as pool:
-        lf = pool.submit(ML.fit, ML.logistic_pipeline(n_train), train)
-        gf = pool.submit(ML.fit, ML.boosting_pipeline(), train)
-        models = {"logistic": lf.result(), "gradient_boosting": gf.result()}
+        futures = {name: pool.submit(ML.fit, pipe, train) for name, pipe in candidates.items()}
+        models = {name: f.result() for name, f in futures.items()}
 
     def metrics(df, cols, window):
         long = M.long_probabilities(df, "next_has_order", cols)
