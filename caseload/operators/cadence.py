@@ -39,15 +39,25 @@ def current_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def rolling_columns(df: DataFrame) -> list:
-    """Rolling means/sd, months since active, inactive streak, 12-row lag."""
+def rolling_columns(df: DataFrame, frame: str = "rows") -> list:
+    """Rolling means/sd, months since active, inactive streak, 12-row lag.
+
+    ``frame='rows'`` (default) counts previous rows; ``frame='calendar'`` counts calendar
+    months (``rangeBetween`` on the month number), which differs only where a customer's
+    months have gaps."""
     w = _win()
+    if frame == "rows":
+        span = lambda n: w.rowsBetween(-(n - 1), 0)
+    elif frame == "calendar":
+        wc = Window.partitionBy(CUR).orderBy(month_number(MONTH))
+        span = lambda n: wc.rangeBetween(-(n - 1), 0)
+    else:
+        raise ValueError("frame must be 'rows' or 'calendar'")
     out = []
     for n in (3, 6, 12):
-        frame = w.rowsBetween(-(n - 1), 0)
-        out.append(F.avg("current_has_order").over(frame).alias(f"active_rate_{n}m"))
-        out.append(F.avg("current_order_count").over(frame).alias(f"order_count_mean_{n}m"))
-    out.append(F.stddev_samp("current_order_count").over(w.rowsBetween(-11, 0)).alias("order_count_sd_12m"))
+        out.append(F.avg("current_has_order").over(span(n)).alias(f"active_rate_{n}m"))
+        out.append(F.avg("current_order_count").over(span(n)).alias(f"order_count_mean_{n}m"))
+    out.append(F.stddev_samp("current_order_count").over(span(12)).alias("order_count_sd_12m"))
     mn = month_number(MONTH)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     # month numbers increase along the window, so the forward-filled last active month is a max
@@ -79,11 +89,12 @@ def split_label(target_col: str = "target_month", cal: SplitCalendar = DEFAULT_C
              .otherwise("unused"))
 
 
-def build_cadence_panel(engineered: DataFrame, cal: SplitCalendar = DEFAULT_CALENDAR) -> DataFrame:
+def build_cadence_panel(engineered: DataFrame, cal: SplitCalendar = DEFAULT_CALENDAR,
+                        frame: str = "rows") -> DataFrame:
     """As-of features at month t with targets at t+1; consecutive months only."""
     df = require_columns(engineered, ENGINEERED_COLUMNS, "Engineered panel")
     df = current_columns(df)
-    df = df.select(*df.columns, *rolling_columns(df))
+    df = df.select(*df.columns, *rolling_columns(df, frame))
     df = df.select(
         *df.columns,
         F.greatest(month_number(MONTH) - month_number("first_observed_month"), F.lit(0))

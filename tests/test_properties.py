@@ -75,3 +75,17 @@ def test_appending_later_months_keeps_earlier_features(spark):
     full = build_cadence_panel(eng).where(F.col("target_month") < cut)
     short = build_cadence_panel(eng.where(F.col("transaction_month") < cut))
     assert full.exceptAll(short).count() == 0
+
+
+def test_calendar_frame_equals_rows_without_gaps(spark):
+    from caseload.operators.cadence import build_cadence_panel
+    from caseload.plans import panel as P
+
+    eng = P.engineered_panel(P.monthly_facts(spark, "/root/testdata/sf0.001")).cache()
+    a = build_cadence_panel(eng, frame="rows")
+    b = build_cadence_panel(eng, frame="calendar")
+    assert a.exceptAll(b).count() == 0
+    # with a gap the two frames differ on the rows after it
+    gap = eng.where(~((eng.customer_public_id == eng.select("customer_public_id").first()[0])
+                      & (eng.transaction_month == F.lit("1999-06-01").cast("date"))))
+    assert build_cadence_panel(gap, frame="rows").exceptAll(build_cadence_panel(gap, frame="calendar")).count() > 0
