@@ -43,7 +43,7 @@ def x06_roc_points(spark, sf_dir):
 
 
 @query("x07_density_by_outcome", with_ctes(f"""
-SELECT c.outcome, c.bin, c.rows, {R('c.rows / (t.n * (1.0 / 40))', 'density')} FROM
+SELECT CAST(c.outcome AS BIGINT) AS outcome, c.bin, c.rows, {R('c.rows / (t.n * (1.0 / 40))', 'density')} FROM
   (SELECT y AS outcome, least(CAST(floor(p * 40) AS BIGINT), 39) AS bin, count(*) AS rows
    FROM flong WHERE model = 'smoothed_activity_markov' GROUP BY 1, 2) c
 JOIN (SELECT y AS outcome, count(*) AS n FROM flong WHERE model = 'smoothed_activity_markov' GROUP BY 1) t USING (outcome)""",
