@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseload.config import CASE_TOKEN_PREFIX, PILOT_TARGETS, RANDOM_STATE
+from caseload.session import ensure_checkpoint_dir
 
 CUR = "customer_public_id"
 MONTH = "transaction_month"
@@ -51,6 +52,7 @@ def latest_month(merged: DataFrame) -> DataFrame:
 def pilot_allocation(merged: DataFrame, cap: int, targets=PILOT_TARGETS, prefix: str = CASE_TOKEN_PREFIX) -> DataFrame:
     """Sequential strata without customer reuse, capacity fill, case tokens, inclusion
     probabilities (pool sizes before cross-stratum exclusion, as specified)."""
+    ensure_checkpoint_dir(merged.sparkSession)
     latest = latest_month(merged)
     masks = strata_masks(latest, cap)
     parts, used = [], None

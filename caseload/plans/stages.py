@@ -9,12 +9,14 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
 from caseload.session import ensure_checkpoint_dir
 
 _MEMO: dict[tuple, DataFrame] = {}
+_LOCK = threading.RLock()  # queries may be driven from several threads; build each stage once
 
 
 def _fingerprint(sf_dir: str) -> str:
@@ -32,9 +34,14 @@ def materialized(spark: SparkSession, name: str, sf_dir: str, build, partition_b
     """Build ``name`` for ``sf_dir`` once per application, store it as parquet, return a scan."""
     app = spark.sparkContext.applicationId
     key = (app, name, os.path.abspath(sf_dir))
-    hit = _MEMO.get(key)
-    if hit is not None:
-        return hit
+    with _LOCK:
+        hit = _MEMO.get(key)
+        if hit is not None:
+            return hit
+        return _build(spark, name, sf_dir, build, partition_by, key, app)
+
+
+def _build(spark, name, sf_dir, build, partition_by, key, app) -> DataFrame:
     root = ensure_checkpoint_dir(spark)
     path = f"{root.rstrip('/')}/caseload-stages/{app}/{name}-{_fingerprint(sf_dir)}"
     writer = build().write.mode("overwrite")

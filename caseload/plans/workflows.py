@@ -134,6 +134,15 @@ def hurdle_models(spark: SparkSession, sf_dir: str, activity_models: dict | None
     from caseload.operators import metrics as M
     from caseload.operators import models as ML
 
+    from caseload.plans.stages import _LOCK
+    with _LOCK:
+        return _hurdle_models(spark, sf_dir, activity_models, boosting_params)
+
+
+def _hurdle_models(spark, sf_dir, activity_models, boosting_params) -> dict:
+    from caseload.operators import metrics as M
+    from caseload.operators import models as ML
+
     key = (spark.sparkContext.applicationId, sf_dir, id(activity_models), repr(boosting_params))
     if key in _MODEL_CACHE:
         return _MODEL_CACHE[key]
