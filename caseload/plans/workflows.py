@@ -155,12 +155,17 @@ def _hurdle_models(spark, sf_dir, activity_models, boosting_params) -> dict:
     train = train.persist()
     n_train = train.count()
     from concurrent.futures import ThreadPoolExecutor
-    # independent fits are separate Spark jobs; submitting them from driver threads keeps the
-    # executors busy while each boosting round waits on its own small stages
     candidates = ML.prepare_activity_models(activity_models, n_train=n_train, boosting_params=boosting_params)
-    with ThreadPoolExecutor(max_workers=2) as pool:
+    classes = sorted(r.next_active_pattern for r in train.where("next_has_order = 1")
+                     .select("next_active_pattern").distinct().collect())
+    active = train.where("next_has_order = 1")
+    # all fits are independent Spark jobs; one pool lets their many small boosting stages overlap
+    with ThreadPoolExecutor(max_workers=len(candidates) + len(classes)) as pool:
         futures = {name: pool.submit(ML.fit, pipe, train) for name, pipe in candidates.items()}
+        pattern_futures = {c: pool.submit(ML.pattern_model, active, c) for c in classes}
         models = {name: f.result() for name, f in futures.items()}
+        pattern = {c: f.result() for c, f in pattern_futures.items()}
+    train.unpersist()
 
     def metrics(df, cols, window):
         long = M.long_probabilities(df, "next_has_order", cols)
@@ -178,10 +183,6 @@ def _hurdle_models(spark, sf_dir, activity_models, boosting_params) -> dict:
     chk = {r["model"]: r for r in metrics(check, {f"{selected}_raw": f"p_{selected}",
                                                   f"{selected}_isotonic": "p_isotonic"}, "calibration_check")}
     use_iso = ML.isotonic_gate(chk[f"{selected}_raw"], chk[f"{selected}_isotonic"])
-    classes = sorted(r.next_active_pattern for r in train.where("next_has_order = 1")
-                     .select("next_active_pattern").distinct().collect())
-    pattern = ML.pattern_models(train.where("next_has_order = 1"), classes)
-    train.unpersist()
     out = {"models": models, "selected": selected, "isotonic": iso, "use_isotonic": use_iso,
            "operational": f"{selected}_{'isotonic' if use_iso else 'raw'}", "calibration_metrics": cal_rows,
            "check_metrics": list(chk.values()), "pattern_models": pattern, "classes": classes, "n_train": n_train}
