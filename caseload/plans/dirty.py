@@ -1,6 +1,6 @@
 """Deterministic dirty variants of the scored panel, for the cleaning operators.
 
-Every defect is chosen by the first hex digit of an md5 over the row key, so the same rows are
+Every defect is chosen by one hex digit of a single md5 over the row key, so the same rows are
 dirty in every engine: NULL customer keys, unparseable month text, duplicate keys with a later
 ingest sequence, NULL flags, numbers as text including 'NaN' and 'n/a'.
 """
@@ -15,24 +15,18 @@ from caseload.operators.clean import SPARSE_FLAGS
 NUMERIC = ("net_revenue_vs_history_z", "order_count_vs_history_z", "net_revenue_vs_peer_z", "baseline_anomaly_score")
 
 
-def _h(tag: str):
-    return F.substring(F.md5(F.concat_ws("|", F.col("customer_public_id"),
-                                          F.date_format("transaction_month", "yyyy-MM-dd"), F.lit(tag))), 1, 1)
-
-
 def dirty_panel(scored: DataFrame) -> DataFrame:
-    base = scored.select(
-        F.when(_h("k") == "0", None).otherwise(F.col("customer_public_id")).alias("customer_public_id"),
-        F.when(_h("m") == "1", F.lit("bad-month")).otherwise(F.date_format("transaction_month", "yyyy-MM-dd"))
+    key = F.md5(F.concat_ws("|", F.col("customer_public_id"), F.date_format("transaction_month", "yyyy-MM-dd")))
+    base = scored.select("*", key.alias("_k")).select(
+        F.when(F.substring("_k", 1, 1) == "0", None).otherwise(F.col("customer_public_id")).alias("customer_public_id"),
+        F.when(F.substring("_k", 2, 1) == "1", F.lit("bad-month")).otherwise(F.date_format("transaction_month", "yyyy-MM-dd"))
          .alias("transaction_month"),
-        F.conv(F.substring(F.md5(F.concat_ws("|", F.col("customer_public_id"),
-                                             F.date_format("transaction_month", "yyyy-MM-dd"), F.lit("s"))), 1, 12),
-               16, 10).cast("bigint").alias("ingest_seq"),
-        *[F.when(_h("f") == "2", None).otherwise(F.col(c)).alias(c) for c in SPARSE_FLAGS],
-        F.when(_h("f") == "3", None).otherwise(F.col("zero_order_month_flag")).alias("zero_order_month_flag"),
-        *[F.when(_h(f"n{i}") == "4", F.lit("NaN")).when(_h(f"n{i}") == "5", F.lit("n/a"))
+        F.conv(F.substring("_k", 10, 12), 16, 10).cast("bigint").alias("ingest_seq"),
+        *[F.when(F.substring("_k", 3, 1) == "2", None).otherwise(F.col(c)).alias(c) for c in SPARSE_FLAGS],
+        F.when(F.substring("_k", 3, 1) == "3", None).otherwise(F.col("zero_order_month_flag")).alias("zero_order_month_flag"),
+        *[F.when(F.substring("_k", 4 + i, 1) == "4", F.lit("NaN")).when(F.substring("_k", 4 + i, 1) == "5", F.lit("n/a"))
            .otherwise(F.col(c).cast("string")).alias(c) for i, c in enumerate(NUMERIC)],
-        (_h("d") == "e").alias("_dup"))
+        (F.substring("_k", 8, 1) == "e").alias("_dup"))
     dup = base.where("_dup").withColumn("ingest_seq", F.col("ingest_seq") + 1).withColumn(
         "order_count_vs_history_z", F.lit("n/a"))
     return base.unionByName(dup).drop("_dup")

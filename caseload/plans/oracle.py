@@ -454,21 +454,24 @@ def pilot_ctes(mg: str, cap: int, targets, prefix: str) -> str:
 
 
 # --------------------------------------------------------------------------- dirty variants
-def _h(tag: str) -> str:
-    return f"substr(md5(concat_ws('|', customer_public_id, strftime(transaction_month, '%Y-%m-%d'), '{tag}')), 1, 1)"
+_K = "md5(concat_ws('|', customer_public_id, strftime(transaction_month, '%Y-%m-%d')))"
+
+
+def _h(pos: int) -> str:
+    return f"substr(k, {pos}, 1)"
 
 
 _NUM = ("net_revenue_vs_history_z", "order_count_vs_history_z", "net_revenue_vs_peer_z", "baseline_anomaly_score")
 _FLG = ("sparse_history_flag", "sparse_peer_group_flag", "sparse_company_division_peer_group_flag")
 cte("dirty0", ("scored",))(f"""
-  SELECT CASE WHEN {_h('k')} = '0' THEN NULL ELSE customer_public_id END AS customer_public_id,
-         CASE WHEN {_h('m')} = '1' THEN 'bad-month' ELSE strftime(transaction_month, '%Y-%m-%d') END AS transaction_month,
-         ('0x' || substr(md5(concat_ws('|', customer_public_id, strftime(transaction_month, '%Y-%m-%d'), 's')), 1, 12))::BIGINT AS ingest_seq,
-         {", ".join(f"CASE WHEN {_h('f')} = '2' THEN NULL ELSE {c} END AS {c}" for c in _FLG)},
-         CASE WHEN {_h('f')} = '3' THEN NULL ELSE zero_order_month_flag END AS zero_order_month_flag,
-         {", ".join(f"CASE WHEN {_h(f'n{i}')} = '4' THEN 'NaN' WHEN {_h(f'n{i}')} = '5' THEN 'n/a' ELSE CAST({c} AS VARCHAR) END AS {c}" for i, c in enumerate(_NUM))},
-         {_h('d')} = 'e' AS dup
-  FROM scored""")
+  SELECT CASE WHEN {_h(1)} = '0' THEN NULL ELSE customer_public_id END AS customer_public_id,
+         CASE WHEN {_h(2)} = '1' THEN 'bad-month' ELSE strftime(transaction_month, '%Y-%m-%d') END AS transaction_month,
+         ('0x' || substr(k, 10, 12))::BIGINT AS ingest_seq,
+         {", ".join(f"CASE WHEN {_h(3)} = '2' THEN NULL ELSE {c} END AS {c}" for c in _FLG)},
+         CASE WHEN {_h(3)} = '3' THEN NULL ELSE zero_order_month_flag END AS zero_order_month_flag,
+         {", ".join(f"CASE WHEN {_h(4 + i)} = '4' THEN 'NaN' WHEN {_h(4 + i)} = '5' THEN 'n/a' ELSE CAST({c} AS VARCHAR) END AS {c}" for i, c in enumerate(_NUM))},
+         {_h(8)} = 'e' AS dup
+  FROM (SELECT *, {_K} AS k FROM scored) s""")
 cte("dirty", ("dirty0",))("""
   SELECT * EXCLUDE (dup) FROM dirty0
   UNION ALL BY NAME
