@@ -70,3 +70,4 @@ def spearman(df: DataFrame, x: str, y: str, by: list[str] | None = None) -> Data
     both = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*by, x, y)
     r = average_rank(average_rank(both, x, "_rx", by), y, "_ry", by)
     return r.groupBy(*by).agg(F.corr("_rx", "_ry").alias("spearman"))
+

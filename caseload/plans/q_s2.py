@@ -191,18 +191,27 @@ _E13_SQL = " UNION ALL ".join(
 
 @query("e13_strategy_metrics", with_ctes(_E13_SQL, PF))
 def e13_strategy_metrics(spark, sf_dir):
-    """Forward rows, sparse rate, Spearman and Pearson vs the channel score."""
+    """Forward rows, sparse rate, Spearman and Pearson vs the channel score.
+
+    Strategy scores are never NULL (S8 maps missing signals to 0), so every pair uses all
+    forward rows and each score column is ranked once, then correlated with the channel ranks."""
+    from caseload.operators.ranking import average_rank
     f = pf(spark, sf_dir).where("forward")
-    out = None
+    ranked = f.select(*KEYS, *[f"{s}_s2_score" for s in STRATEGIES], *[f"{s}_sparse" for s in STRATEGIES])
     for s in STRATEGIES:
-        base = f.agg(F.count(F.lit(1)).alias("forward_rows"),
-                     F.avg(F.col(f"{s}_sparse").cast("double")).alias("sparse_peer_rate"),
-                     F.corr(f"{s}_s2_score", "channel_s2_score").alias("pearson_vs_channel"))
-        sp = spearman(f, f"{s}_s2_score", "channel_s2_score").withColumnRenamed("spearman", "spearman_vs_channel")
-        row = base.crossJoin(sp).select(F.lit(s).alias("strategy"), "forward_rows", "sparse_peer_rate",
-                                        "spearman_vs_channel", "pearson_vs_channel")
-        out = row if out is None else out.unionByName(row)
-    return out
+        ranked = average_rank(ranked, f"{s}_s2_score", f"_r_{s}")
+    aggs = [F.count(F.lit(1)).alias("forward_rows")]
+    for s in STRATEGIES:
+        aggs += [F.avg(F.col(f"{s}_sparse").cast("double")).alias(f"{s}__sparse_peer_rate"),
+                 F.corr(f"_r_{s}", "_r_channel").alias(f"{s}__spearman_vs_channel"),
+                 F.corr(f"{s}_s2_score", "channel_s2_score").alias(f"{s}__pearson_vs_channel")]
+    wide = ranked.agg(*aggs)
+    rows = F.explode(F.array(*[F.struct(F.lit(s).alias("strategy"), F.col("forward_rows").alias("forward_rows"),
+                                        F.col(f"{s}__sparse_peer_rate").alias("sparse_peer_rate"),
+                                        F.col(f"{s}__spearman_vs_channel").alias("spearman_vs_channel"),
+                                        F.col(f"{s}__pearson_vs_channel").alias("pearson_vs_channel"))
+                               for s in STRATEGIES]))
+    return wide.select(rows.alias("r")).select("r.*")
 
 
 @query("e11_e12_baseline_reproduction", with_ctes(
