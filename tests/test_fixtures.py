@@ -176,3 +176,24 @@ def test_f15_blinded_sample(spark):
     assert df.count() == 250
     assert "customer_public_id" not in df.columns and "sampling_stratum" not in df.columns
     assert "case_id" in df.columns
+
+
+def test_bootstrap_poisson_variant_agrees(spark):
+    from caseload.operators import baselines as BL
+    from caseload.operators.bootstrap import clustered_bootstrap
+    from caseload.plans import inputs as I
+
+    cad = I.cadence(spark, "/root/testdata/sf0.001")
+    fwd = BL.apply_baselines(cad.where(F.col("data_split") == "forward"), cad.where(F.col("data_split") == "train"))
+    kw = dict(cluster="customer_public_id", y="next_has_order", selected="p_markov", baseline="p_global",
+              baseline_name="g", resamples=200)
+    a = {r.metric: r for r in clustered_bootstrap(fwd, **kw).collect()}
+    b = {r.metric: r for r in clustered_bootstrap(fwd, method="poisson", **kw).collect()}
+    b2 = {r.metric: r for r in clustered_bootstrap(fwd, method="poisson", **kw).collect()}
+    assert b == b2
+    for m in ("log_loss", "roc_auc"):
+        assert a[m].point_difference == pytest.approx(b[m].point_difference)
+        # intervals overlap and have similar width
+        assert b[m].ci_low <= a[m].ci_high and a[m].ci_low <= b[m].ci_high
+        wa, wb = a[m].ci_high - a[m].ci_low, b[m].ci_high - b[m].ci_low
+        assert 0.5 < wb / wa < 2.0
