@@ -14,11 +14,9 @@ from caseload.config import (ALLOWED_DIRECTORY_SUFFIXES, EXCLUDED_NAMES, EXCLUDE
 
 def token_findings(texts: DataFrame, tokens=FORBIDDEN_OUTPUT_TOKENS) -> DataFrame:
     """A1: one finding per (source, id, token) where lower(text) contains the token."""
-    spark = texts.sparkSession
-    tok = spark.createDataFrame([(t,) for t in tokens], "token string")
-    low = texts.select("source", "id", F.lower("text").alias("ltext"))  # once per text, not per token
-    return low.crossJoin(F.broadcast(tok)).where(F.instr(F.col("ltext"), F.col("token")) > 0) \
-        .select("source", "id", "token")
+    low = F.lower("text")  # once per text; the fixed token list is filtered per row, no row expansion
+    hits = F.filter(F.array(*[F.lit(t) for t in tokens]), lambda t: F.instr(low, t) > 0)
+    return texts.select("source", "id", F.explode(hits).alias("token"))
 
 
 def pattern_findings(texts: DataFrame, patterns=LOCAL_PATH_PATTERNS) -> DataFrame:
