@@ -32,10 +32,12 @@ def apply_baselines(rows: DataFrame, train: DataFrame) -> DataFrame:
 
 def pattern_thresholds(panel: DataFrame) -> DataFrame:
     """M3: exact train-active quantiles (linear interpolation): discount p90, breadth p75, orders p75."""
+    from caseload.operators.ranking import exact_percentiles
     ta = panel.where((F.col("data_split") == "train") & (F.col("next_has_order") == 1))
-    return ta.agg(F.percentile("next_discount_rate", 0.9).alias("discount_p90"),
-                  F.percentile("next_distinct_product_count", 0.75).alias("breadth_p75"),
-                  F.percentile("next_order_count", 0.75).alias("orders_p75"))
+    # distributed exact quantiles: the train-active rows are one unbounded group
+    return (exact_percentiles(ta, "next_discount_rate", {"discount_p90": 0.9})
+            .crossJoin(exact_percentiles(ta, "next_distinct_product_count", {"breadth_p75": 0.75}))
+            .crossJoin(exact_percentiles(ta, "next_order_count", {"orders_p75": 0.75})))
 
 
 def pattern_label(thr_prefix: str = "") -> F.Column:

@@ -63,12 +63,13 @@ def describe(df: DataFrame, columns, name_col: str = "column") -> DataFrame:
     """Exact count, mean, sd, min, quartiles, p95, p99, max per column (long form)."""
     rows = F.explode(F.array(*[F.struct(F.lit(c).alias(name_col), F.col(c).cast("double").alias("v"))
                                for c in columns]))
+    from caseload.operators.ranking import exact_percentiles
     long = df.select(rows.alias("_r")).select(f"_r.{name_col}", "_r.v")
-    return long.groupBy(name_col).agg(
-        F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"), F.percentile("v", 0.25).alias("p25"), F.median("v").alias("median"),
-        F.percentile("v", 0.75).alias("p75"), F.percentile("v", 0.95).alias("p95"),
-        F.percentile("v", 0.99).alias("p99"), F.max("v").alias("max"))
+    basic = long.groupBy(name_col).agg(F.count("v").alias("count"), F.avg("v").alias("mean"),
+                                       F.stddev_samp("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max"))
+    pct = exact_percentiles(long, "v", {"p25": .25, "median": .5, "p75": .75, "p95": .95, "p99": .99}, by=[name_col])
+    return basic.join(pct, name_col).select(name_col, "count", "mean", "std", "min", "p25", "median", "p75", "p95",
+                                            "p99", "max")
 
 
 def stack_metrics(df: DataFrame, id_cols, metric_cols, name="metric", value="value") -> DataFrame:

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from caseload.operators.joins import null_safe_join
+
 
 def value_prefix(df: DataFrame, value: str, weights: dict[str, Column], *, by: list[str] | None = None,
                  n_buckets: int = 256, bounds_by: list[str] | None = None) -> DataFrame:
@@ -25,14 +27,14 @@ def value_prefix(df: DataFrame, value: str, weights: dict[str, Column], *, by: l
     qs = [i / n_buckets for i in range(1, n_buckets)]
     src = d if bb == by else d.select(*bb, value).distinct()
     bounds = src.groupBy(*bb).agg(F.percentile_approx(value, qs, 10000).alias("_bounds"))
-    d = (d.join(F.broadcast(bounds), bb, "left") if bb else d.crossJoin(F.broadcast(bounds)))
+    d = (null_safe_join(d, bounds, bb, "left", broadcast_right=True) if bb else d.crossJoin(F.broadcast(bounds)))
     d = d.withColumn("_bucket", F.size(F.filter(F.coalesce("_bounds", F.array().cast("array<double>")),
                                                lambda b: b < F.col(value)))).drop("_bounds")
     tot = d.groupBy(*by, "_bucket").agg(*[F.sum(n).alias(n) for n in weights])
     wo = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1) if by else \
         Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.select(*by, "_bucket", *[F.coalesce(F.sum(n).over(wo), F.lit(0)).alias(f"_off_{n}") for n in weights])
-    d = d.join(F.broadcast(offs), [*by, "_bucket"])
+    d = null_safe_join(d, offs, [*by, "_bucket"], "inner", broadcast_right=True)
     wb = Window.partitionBy(*by, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     return d.select(*by, value, *weights,
                     *[(F.coalesce(F.sum(n).over(wb), F.lit(0)) + F.col(f"_off_{n}")).alias(f"{n}_below")
@@ -45,7 +47,7 @@ def auc_ap(df: DataFrame, label: str, score: str, by: list[str] | None = None) -
     y = F.col(label).cast("double")
     d = value_prefix(df, score, {"pos": y, "neg": F.lit(1.0) - y}, by=by)
     tot = d.groupBy(*by).agg(F.sum("pos").alias("_tot_pos"), F.sum("neg").alias("_tot_neg"))
-    d = d.join(F.broadcast(tot), by) if by else d.crossJoin(F.broadcast(tot))
+    d = null_safe_join(d, tot, by, "inner", broadcast_right=True) if by else d.crossJoin(F.broadcast(tot))
     P, N = F.col("_tot_pos"), F.col("_tot_neg")
     tp_ge = P - F.col("pos_below")
     c_ge = P + N - F.col("pos_below") - F.col("neg_below")
@@ -61,7 +63,7 @@ def average_rank(df: DataFrame, value: str, out: str, by: list[str] | None = Non
     by = list(by or [])
     d = value_prefix(df, value, {"_n": F.lit(1)}, by=by)
     d = d.select(*by, value, (F.col("_n_below") + (F.col("_n") + F.lit(1)) / F.lit(2.0)).alias(out))
-    return df.join(d, [*by, value], "left")
+    return null_safe_join(df, d, [*by, value], "left")
 
 
 def spearman(df: DataFrame, x: str, y: str, by: list[str] | None = None) -> DataFrame:
@@ -71,3 +73,40 @@ def spearman(df: DataFrame, x: str, y: str, by: list[str] | None = None) -> Data
     r = average_rank(average_rank(both, x, "_rx", by), y, "_ry", by)
     return r.groupBy(*by).agg(F.corr("_rx", "_ry").alias("spearman"))
 
+
+
+def exact_percentiles(df: DataFrame, col: str, qs: dict[str, float], by: list[str] | None = None) -> DataFrame:
+    """Exact percentiles with linear interpolation (the ``percentile`` aggregate's definition),
+    distributed: value counts and their prefix sums come from ``value_prefix``; the two ranks
+    floor(h), ceil(h) with h = (n-1)q are located by a range condition against a tiny broadcast
+    target table. No group's values are buffered in one task. One row per group (NULLs when a
+    group has no values); one column per name in ``qs``."""
+    by = list(by or [])
+    d = value_prefix(df, col, {"_n": F.lit(1)}, by=by)
+    tot = d.groupBy(*by).agg(F.sum("_n").alias("_N"))
+    tgt = tot.select(*[F.col(b).alias(f"_t_{b}") for b in by], F.explode(F.array(*[
+        F.struct(F.lit(n).alias("_q"), ((F.col("_N") - 1) * F.lit(float(q))).alias("_h")) for n, q in qs.items()])).alias("_t")) \
+        .select(*[f"_t_{b}" for b in by], "_t._q", "_t._h", F.floor("_t._h").alias("_lo"), F.ceil("_t._h").alias("_hi"))
+    tgt = F.broadcast(tgt)
+    keys = [F.col(b).eqNullSafe(F.col(f"_t_{b}")) for b in by]
+
+    in_lo = (F.col("_n_below") <= F.col("_lo")) & (F.col("_lo") < F.col("_n_below") + F.col("_n"))
+    in_hi = (F.col("_n_below") <= F.col("_hi")) & (F.col("_hi") < F.col("_n_below") + F.col("_n"))
+    cond = in_lo | in_hi
+    for k in keys:
+        cond = cond & k
+    tk = [f"_t_{b}" for b in by]
+    j = d.select(*by, col, "_n", "_n_below").join(tgt, cond).select(
+        *tk, "_q", "_h", "_lo", F.when(in_lo, F.col(col)).alias("_xl"), F.when(in_hi, F.col(col)).alias("_xh"))
+    parts = j.groupBy(*tk, "_q", "_h", "_lo").agg(F.max("_xl").alias("_xlo"), F.max("_xh").alias("_xhi"))
+    val = F.col("_xlo") + (F.col("_h") - F.col("_lo")) * (F.col("_xhi") - F.col("_xlo"))
+    wide = parts.groupBy(*tk).agg(*[F.max(F.when(F.col("_q") == n, val)).alias(n) for n in qs])
+    if by:
+        groups = df.select(*by).distinct()
+        cond = None
+        for b in by:
+            c = F.col(b).eqNullSafe(F.col(f"_t_{b}"))
+            cond = c if cond is None else cond & c
+        return groups.join(F.broadcast(wide), cond, "left").select(*by, *qs)
+    one = df.sparkSession.range(1)
+    return one.join(wide, F.lit(True), "left").select(*qs)

@@ -82,13 +82,16 @@ def _logged(c: str) -> Column:
 
 def yoy_scales(df: DataFrame) -> DataFrame:
     """One-row fit of the robust YoY scale per ratio column (MAD about zero -> IQR -> sd)."""
-    aggs = []
+    from caseload.operators.ranking import exact_percentiles
+    fit = None
     for c in YOY:
         v = F.when(F.col("fit_mask"), _logged(c))
-        aggs += [F.median(F.abs(v)).alias(f"{c}_mad"), F.percentile(v, 0.75).alias(f"{c}_q3"),
-                 F.percentile(v, 0.25).alias(f"{c}_q1"), F.stddev_pop(v).alias(f"{c}_sd"),
-                 F.count(v).alias(f"{c}_n")]
-    fit = df.agg(*aggs)
+        x = df.select(v.alias("_v"), F.abs(v).alias("_a"))
+        # distributed exact quantiles (the fit rows are one unbounded group)
+        part = (x.agg(F.stddev_pop("_v").alias(f"{c}_sd"), F.count("_v").alias(f"{c}_n"))
+                 .crossJoin(exact_percentiles(x, "_a", {f"{c}_mad": 0.5}))
+                 .crossJoin(exact_percentiles(x, "_v", {f"{c}_q3": 0.75, f"{c}_q1": 0.25})))
+        fit = part if fit is None else fit.crossJoin(part)
     out = []
     for c in YOY:
         mad = F.lit(1.4826) * F.col(f"{c}_mad")

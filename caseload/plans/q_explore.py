@@ -23,11 +23,14 @@ SELECT hurdle_direction, count(*) AS count, {R('avg(p_next_order)', 'mean')}, {R
 FROM hb GROUP BY hurdle_direction""", "hb"))
 def x04_probability_by_direction(spark, sf_dir):
     """Grouped describe of P(next order) by hurdle direction."""
+    from caseload.operators.ranking import exact_percentiles
     p = F.col("p_next_order")
-    return W.hurdle_baseline(spark, sf_dir).groupBy("hurdle_direction").agg(
-        F.count(p).alias("count"), F.avg(p).alias("mean"), F.stddev_samp(p).alias("std"), F.min(p).alias("min"),
-        F.percentile(p, 0.25).alias("p25"), F.median(p).alias("median"), F.percentile(p, 0.75).alias("p75"),
-        F.max(p).alias("max"))
+    h = W.hurdle_baseline(spark, sf_dir)
+    basic = h.groupBy("hurdle_direction").agg(F.count(p).alias("count"), F.avg(p).alias("mean"),
+                                              F.stddev_samp(p).alias("std"), F.min(p).alias("min"), F.max(p).alias("max"))
+    pct = exact_percentiles(h, "p_next_order", {"p25": .25, "median": .5, "p75": .75}, by=["hurdle_direction"])
+    return basic.join(pct, "hurdle_direction").select("hurdle_direction", "count", "mean", "std", "min", "p25",
+                                                      "median", "p75", "max")
 
 
 @query("x06_roc_points", with_ctes(f"""

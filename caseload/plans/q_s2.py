@@ -242,8 +242,10 @@ def e14_score_distribution(spark, sf_dir):
     out = None
     for s in STRATEGIES:
         c = F.col(f"{s}_s2_score")
-        row = f.agg(F.lit(s).alias("strategy"), F.avg(c).alias("mean"), F.median(c).alias("median"),
-                    F.percentile(c, 0.95).alias("p95"), F.percentile(c, 0.99).alias("p99"), F.max(c).alias("max"))
+        from caseload.operators.ranking import exact_percentiles
+        row = f.agg(F.lit(s).alias("strategy"), F.avg(c).alias("mean"), F.max(c).alias("max")).crossJoin(
+            exact_percentiles(f, f"{s}_s2_score", {"median": .5, "p95": .95, "p99": .99})).select(
+            "strategy", "mean", "median", "p95", "p99", "max")
         out = row if out is None else out.unionByName(row)
     return out
 
@@ -269,7 +271,8 @@ def e15_tail_diagnostic(spark, sf_dir):
         (~F.col("cd_usable")).alias("max_score_uses_sparse_company_division_peer_cell"),
         F.col("company_division_peer_customer_count").alias("max_score_company_division_peer_customer_count"),
         F.col("cd_group_count").alias("max_score_peer_residual_rows"))
-    thr = f.agg(F.percentile("company_division_s2_score", 0.99).alias("thr"))
+    from caseload.operators.ranking import exact_percentiles
+    thr = exact_percentiles(f, "company_division_s2_score", {"thr": 0.99})
     tail = f.crossJoin(thr).where(F.col("company_division_s2_score") >= F.col("thr")).agg(
         F.count(F.lit(1)).alias("top_one_percent_rows"),
         F.avg((~F.col("cd_usable")).cast("double")).alias("top_one_percent_sparse_company_division_peer_cell_rate"))
