@@ -81,17 +81,27 @@ def _logged(c: str) -> Column:
 
 
 def yoy_scales(df: DataFrame) -> DataFrame:
-    """One-row fit of the robust YoY scale per ratio column (MAD about zero -> IQR -> sd)."""
+    """One-row fit of the robust YoY scale per ratio column (MAD about zero -> IQR -> sd).
+
+    All quantiles come from one distributed exact-percentile pass over a long table
+    (ratio, kind in {abs, raw}); the fit rows are one unbounded group, so nothing is buffered."""
     from caseload.operators.ranking import exact_percentiles
-    fit = None
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("ratio"), F.when(F.col("fit_mask"), _logged(c)).alias("v"))
+                                         for c in YOY])).alias("x")).select("x.ratio", "x.v")
+    kinds = long.select("ratio", F.explode(F.array(F.struct(F.lit("abs").alias("kind"), F.abs("v").alias("val")),
+                                                   F.struct(F.lit("raw").alias("kind"), F.col("v").alias("val")))).alias("y")) \
+        .select("ratio", "y.kind", "y.val")
+    pct = exact_percentiles(kinds, "val", {"p50": .5, "p75": .75, "p25": .25}, by=["ratio", "kind"])
+    moments = long.groupBy("ratio").agg(F.stddev_pop("v").alias("sd"), F.count("v").alias("n"))
+    cols = []
     for c in YOY:
-        v = F.when(F.col("fit_mask"), _logged(c))
-        x = df.select(v.alias("_v"), F.abs(v).alias("_a"))
-        # distributed exact quantiles (the fit rows are one unbounded group)
-        part = (x.agg(F.stddev_pop("_v").alias(f"{c}_sd"), F.count("_v").alias(f"{c}_n"))
-                 .crossJoin(exact_percentiles(x, "_a", {f"{c}_mad": 0.5}))
-                 .crossJoin(exact_percentiles(x, "_v", {f"{c}_q3": 0.75, f"{c}_q1": 0.25})))
-        fit = part if fit is None else fit.crossJoin(part)
+        sel = F.col("ratio") == c
+        cols += [F.max(F.when(sel & (F.col("kind") == "abs"), F.col("p50"))).alias(f"{c}_mad"),
+                 F.max(F.when(sel & (F.col("kind") == "raw"), F.col("p75"))).alias(f"{c}_q3"),
+                 F.max(F.when(sel & (F.col("kind") == "raw"), F.col("p25"))).alias(f"{c}_q1")]
+    mom = [F.max(F.when(F.col("ratio") == c, F.col("sd"))).alias(f"{c}_sd") for c in YOY] + \
+          [F.max(F.when(F.col("ratio") == c, F.col("n"))).alias(f"{c}_n") for c in YOY]
+    fit = pct.agg(*cols).crossJoin(moments.agg(*mom))
     out = []
     for c in YOY:
         mad = F.lit(1.4826) * F.col(f"{c}_mad")
@@ -99,7 +109,8 @@ def yoy_scales(df: DataFrame) -> DataFrame:
         sd = F.col(f"{c}_sd")
         scale = F.when(mad > 0, mad).when(iqr > 0, iqr).when(sd > 0, sd)
         method = F.when(mad > 0, "MAD").when(iqr > 0, "IQR").otherwise("standard_deviation")
-        out += [scale.alias(f"{c}_scale"), method.alias(f"{c}_method"), F.col(f"{c}_n").alias(f"{c}_observations")]
+        out += [scale.alias(f"{c}_scale"), method.alias(f"{c}_method"),
+                F.coalesce(F.col(f"{c}_n"), F.lit(0)).alias(f"{c}_observations")]
     return fit.select(*out)
 
 
@@ -125,6 +136,9 @@ def peer_strategy_frame(scored: DataFrame, cfg: S2Config = S2Config(), min_peer_
     """S1-S11 over all rows: masks, residuals, fallbacks and the three strategy scores."""
     df = require_columns(scored, PEER_INPUT_COLUMNS)
     df = masks(df, cal)
+    # the YoY fit needs only the fit mask and the ratios: read them from the masked input, not
+    # from the residual/fallback frame (its quantile passes would recompute those joins)
+    scales = yoy_scales(df.select("fit_mask", *YOY))
     df = peer_residuals(df)
     df = fallbacks(df, min_peer_rows)
-    return strategy_scores(df, yoy_scales(df), cfg)
+    return strategy_scores(df, scales, cfg)
