@@ -21,13 +21,13 @@ from caseload.llm.common import SPACES, stash, text_or_empty
 SYMBOLS = "#*$%&|<>"  # fixed value of the contract
 LEAST_WORDS = 50
 FEATURES = ("f_length", "f_word", "f_symbols", "f_dup_lines", "f_repeats")
-FLOORS = (0.5, 0.15, 0.5, 0.5, 0.5)
+FLOORS = (0.5, 0.15, 0.3, 1.0, 1.0)
 CORE = 0.75
 LEAST_ROWS = 200
 STEPS = 8
 SETTLED = 1e-3  # relative change of every determinant
 CHI2_MEDIAN = 4.351  # of five squared standard normals
-CUTOFF = 60.0
+CUTOFF = 40.0
 
 
 def text_counts(text: Column) -> dict[str, Column]:

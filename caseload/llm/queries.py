@@ -18,6 +18,24 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2048 tokens."""
+    import public_tokenizers
+
+    from caseload.llm.packing import pack
+
+    return pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), 2048)
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    from caseload.llm.toxicity import toxicity
+
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    out = toxicity(documents(spark, sf_dir).select("doc_id", "text"), labels)
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secret spans of every document, scanned once per distinct text."""
     from caseload.llm.secrets import scan_secrets, span_text
@@ -53,7 +71,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sharding, op5_secrets, op6_line_dedup, op9_quality_rules, op10_warc)
+    f.__name__: f for f in (op1_sharding, op2_best_fit_packing, op3_toxicity, op5_secrets, op6_line_dedup, op9_quality_rules, op10_warc)
 }
 
 SQL: dict[str, str] = {}
