@@ -36,6 +36,13 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "score", "predicted")
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document: three-word shingles, similarity 0.9."""
+    from caseload.llm.jaccard import jaccard_components
+
+    return jaccard_components(documents(spark, sf_dir), words=3, num=90, den=100)
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secret spans of every document, scanned once per distinct text."""
     from caseload.llm.secrets import scan_secrets, span_text
@@ -71,7 +78,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sharding, op2_best_fit_packing, op3_toxicity, op5_secrets, op6_line_dedup, op9_quality_rules, op10_warc)
+    f.__name__: f for f in (op1_sharding, op2_best_fit_packing, op3_toxicity, op4_jaccard_join, op5_secrets, op6_line_dedup, op9_quality_rules, op10_warc)
 }
 
 SQL: dict[str, str] = {}
