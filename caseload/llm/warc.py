@@ -1,6 +1,6 @@
 """WARC archives with revisit resolution.
 
-Headers (payload digest, page id, size) are shuffled by digest; the smallest page id of a digest is
+Headers (payload digest, page id, row number) are shuffled by digest; the smallest page id of a digest is
 the response, all others become revisits that name it. Archives are written by Spark's own text
 writer (each row is one record, the line separator is the record separator), so a lost executor or a
 repeated task leaves no torn file and any Hadoop file system will do. Reading parses by
@@ -17,10 +17,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseload.llm.common import scratch, text_or_empty
+from caseload.llm.common import scratch, stash, text_or_empty
 
 CRLF = "\r\n"
-ARCHIVE_BYTES = 32 << 20  # payload bytes of one archive file
+ARCHIVE_BYTES = 32 << 20  # payload bytes of one archive file, on average
+SENT_ROWS = 1_000_000  # of 24 bytes
 # fixed values of the WARC 1.1 format
 VERSION = "WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -37,28 +38,40 @@ def digest32(payload: Column) -> Column:
     return F.translate(F.concat(*groups), HEX32, BASE32)
 
 
-def resolve(pages: DataFrame, least_bytes: int = 0, id_col: str = "page_id", url_col: str = "url",
-            payload_col: str = "html") -> DataFrame:
-    """row, page_id, url, payload, payload_bytes, payload_digest, record_type, refers_to of every row of ``pages``.
-
-    Null payloads are empty. Of rows with equal payloads of at least ``least_bytes`` the one with the
-    smallest (page_id, row number) is the response; smaller payloads are all responses. Null page ids
-    come after all others. Only headers are shuffled for the choice; a payload that very many pages
-    share is reduced to one row in each task first."""
+def _rows(pages: DataFrame, id_col: str, url_col: str, payload_col: str) -> DataFrame:
     payload = text_or_empty(F.col(f"`{payload_col}`"))
-    rows = pages.select(
+    return pages.select(
         F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").cast("long").alias("page_id"),
         F.col(f"`{url_col}`").cast("string").alias("url"), payload.alias("payload"),
         F.octet_length(payload).cast("long").alias("payload_bytes"), digest32(payload).alias("payload_digest"))
-    first = rows.where(F.col("payload_bytes") >= least_bytes).groupBy("payload_digest").agg(
+
+
+def revisits(rows: DataFrame, least_bytes: int) -> DataFrame:
+    """row, refers_to, refers_to_row of the rows that revisit another; written once, payloads stay where they are."""
+    heads = stash(rows.where(F.col("payload_bytes") >= least_bytes).select("row", "page_id", "payload_digest"), "warc-heads")
+    first = heads.groupBy("payload_digest").agg(
         F.min(F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", "row")).alias("origin"), F.count("*").alias("n"))
-    origins = first.where(F.col("n") > 1).select("payload_digest", "origin")  # a digest of its own needs no partner
-    joined = rows.join(origins, "payload_digest", "left")
-    revisit = F.col("origin").isNotNull() & (F.col("payload_bytes") >= least_bytes) & (F.col("origin.row") != F.col("row"))
-    return joined.select(
-        "row", "page_id", "url", "payload", "payload_bytes", "payload_digest",
-        F.when(revisit, "revisit").otherwise("response").alias("record_type"),
-        F.when(revisit, F.col("origin.page_id")).alias("refers_to"), F.when(revisit, F.col("origin.row")).alias("refers_to_row"))
+    shared = first.where(F.col("n") > 1).select("payload_digest", "origin")  # a digest of its own needs no partner
+    found = heads.join(shared, "payload_digest").where(F.col("origin.row") != F.col("row"))
+    return stash(found.select("row", F.col("origin.page_id").alias("refers_to"), F.col("origin.row").alias("refers_to_row")), "warc-revisits")
+
+
+def resolve(pages: DataFrame, least_bytes: int = 0, id_col: str = "page_id", url_col: str = "url",
+            payload_col: str = "html", sent_rows: int = SENT_ROWS) -> DataFrame:
+    """row, page_id, url, payload, payload_bytes, payload_digest, record_type, refers_to, refers_to_row of ``pages``.
+
+    Null payloads are empty. Of rows with equal payloads of at least ``least_bytes`` the one with the
+    smallest (page_id, row number) is the response; smaller payloads are all responses. Null page ids
+    come after all others. Only headers are shuffled for the choice; a payload that very many pages
+    share is reduced to one row in each task first. Up to ``sent_rows`` revisits are sent to the tasks
+    that hold the payloads; beyond that both sides are shuffled by row number."""
+    rows = _rows(pages, id_col, url_col, payload_col)
+    heads = revisits(rows, least_bytes)
+    if heads.count() <= sent_rows:
+        joined = rows.join(F.broadcast(heads), "row", "left")
+    else:
+        joined = rows.join(heads, "row", "left")
+    return joined.withColumn("record_type", F.when(F.col("refers_to_row").isNotNull(), "revisit").otherwise("response"))
 
 
 def _record_id(row: Column) -> Column:
@@ -92,11 +105,10 @@ def record(resolved: DataFrame, date: str) -> DataFrame:
 def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, date: str = "2024-01-01T00:00:00Z",
                    compression: str = "gzip", **cols: str) -> None:
     """Write a deduplicated archive of ``pages`` to folder ``path``: files of about ``ARCHIVE_BYTES``."""
-    size = pages.agg(F.sum(F.octet_length(F.col(f"`{cols.get('payload_col', 'html')}`")))).first()[0] or 0
-    files = max(1, -(-size // ARCHIVE_BYTES))
-    resolved = resolve(pages, least_bytes, **cols)
-    record(resolved.repartition(files, F.xxhash64("row")), date).write.option("lineSep", CRLF + CRLF).option(
-        "compression", compression).text(path)
+    size, n = pages.agg(F.sum(F.octet_length(F.col(f"`{cols.get('payload_col', 'html')}`"))), F.count("*")).first()
+    per_file = max(1, n * ARCHIVE_BYTES // max(1, size or 0))
+    record(resolve(pages, least_bytes, **cols), date).write.option("lineSep", CRLF + CRLF).option(
+        "maxRecordsPerFile", per_file).option("compression", compression).text(path)
 
 
 def parse(data: bytes) -> Iterator[tuple]:
