@@ -61,6 +61,13 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document under the hierarchical Pitman-Yor model and the unigram base."""
+    from caseload.llm.hpylm import score
+
+    return score(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every (document, benchmark item) where the document holds the item, verbatim or reworded."""
     from caseload.llm.decontam import contaminated
@@ -85,7 +92,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sharding, op2_best_fit_packing, op3_toxicity, op4_jaccard_join, op5_secrets, op6_line_dedup, op8_decontamination, op9_quality_rules, op10_warc)
+    f.__name__: f for f in (op1_sharding, op2_best_fit_packing, op3_toxicity, op4_jaccard_join, op5_secrets, op6_line_dedup, op7_lm_scoring, op8_decontamination, op9_quality_rules, op10_warc)
 }
 
 SQL: dict[str, str] = {}
