@@ -181,7 +181,7 @@ def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def link_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100) -> tuple[DataFrame, DataFrame]:
-    """(id, n, sid of every row of ``docs`` (id, text); sid, label of every set that may link to another)."""
+    """(id, code, n, sid of every row of ``docs`` (id, text); sid, label of every set that may link to another)."""
     table = stash(sketches(docs, words, num, den), "jaccard-sketches")
     reps = table.where(F.size("keys") > 0).groupBy("sid").agg(
         F.min(F.struct("id", "code")).alias("rep"), F.first("keys").alias("keys"))
@@ -238,7 +238,21 @@ def link_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 1
             F.struct((F.col("ring") + 1).alias("ring"), F.lit(False).alias("native")))).alias("x"))
         split = rings.select(F.xxhash64("key", "p", "x.ring").alias("key"), "sid", F.col("x.native").alias("native"))
         now = stash(_open(split, labels), "jaccard-open")
-    return table.select("id", "n", "sid"), labels
+    return table.select("id", "code", "n", "sid"), labels
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
+
+
+def _component_ids(rows: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """id, code, n, component_id of every row (id, text)."""
+    table, labels = link_components(rows, words, num, den)
+    firsts = table.where(F.col("sid").isNotNull()).groupBy("sid").agg(F.min("id").alias("first")).join(labels, "sid", "left")
+    firsts = stash(firsts.withColumn("label", F.coalesce("label", "sid")), "jaccard-firsts")
+    least = firsts.groupBy("label").agg(F.min("first").alias("component_id"))
+    out = table.join(firsts.join(least, "label").select("sid", "component_id"), "sid", "left")
+    return out.select("id", "code", "n", F.when(F.col("sid").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100, id_col: str = "doc_id",
@@ -250,12 +264,20 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int
     by links. Rows without words (null and empty texts) link with nothing and are their own component.
     Repeated rows are returned each; null ids are never a component's id unless it has no other; an empty
     table gives no rows; other columns are ignored."""
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    table, labels = link_components(rows, words, num, den)
-    firsts = table.where(F.col("sid").isNotNull()).groupBy("sid").agg(F.min("id").alias("first")).join(labels, "sid", "left")
-    firsts = stash(firsts.withColumn("label", F.coalesce("label", "sid")), "jaccard-firsts")
-    least = firsts.groupBy("label").agg(F.min("first").alias("component_id"))
-    named = firsts.join(least, "label").select("sid", "component_id")
-    out = table.join(named, "sid", "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                      F.when(F.col("sid").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+    out = _component_ids(_rows(docs, id_col, text_col), words, num, den)
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+
+
+def keep_one(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, unchanged, whose id is that of their component: one document of each group.
+
+    Rows that repeat an id and a text are one document and stay or go together; so are rows without an
+    id and with one text. Rows without words all stay."""
+    rows = _rows(docs, id_col, text_col)
+    gone = _component_ids(rows, words, num, den).where(~F.col("id").eqNullSafe(F.col("component_id"))).select(
+        F.col("id").alias("gone_id"), F.col("code").alias("gone_code")).distinct()
+    gone = stash(gone, "jaccard-gone")
+    gone = F.broadcast(gone) if gone.count() <= SENT_ROWS else gone
+    code = F.xxhash64(F.col(f"`{text_col}`"))
+    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("gone_id")) & code.eqNullSafe(F.col("gone_code"))
+    return docs.join(gone, same, "left_anti")

@@ -13,6 +13,14 @@ from pyspark.sql import functions as F
 from caseload.llm.common import documents, stash
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents predicted toxic go; the model learns from the labelled training rows among ``docs``."""
+    from caseload.llm.toxicity import toxicity as scored
+
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return scored(docs, labels).where(F.col("predicted") == 0).select(*docs.columns)
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go; every document stays, with its shorter text and its new length."""
     from caseload.llm.linededup import dedup_lines
@@ -21,7 +29,36 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.select(*docs.columns)
 
 
-STAGES = [("line_dedup", line_dedup)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by five-word shingles at similarity 0.8, the one with the smallest id stays."""
+    from caseload.llm.jaccard import keep_one
+
+    return keep_one(docs, words=5, num=80, den=100)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, verbatim or reworded, go."""
+    from caseload.llm.decontam import decontaminate
+
+    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left, packed into sequences of at most 2048 tokens: one row per piece."""
+    import public_tokenizers
+
+    from caseload.llm.packing import pack
+
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"), 2048)
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("line_dedup", line_dedup),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("packing", packing),
+]
 
 #: Model fitting, graph search and packing have no SQL; the stages are tested against plain Python.
 ORACLE_SQL = None
