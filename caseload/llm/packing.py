@@ -5,15 +5,16 @@ long as a sequence are sequences of their own. All other pieces are dealt evenly
 each partition is packed best-fit decreasing. Dual feasible functions of its lengths give a lower bound
 on the bins it needs; a partition whose bin count equals the bound is certified. Partitions with a gap
 give the pieces of their unfilled bins to an exchange, together with every partition's unfilled bins
-that rounding up may have cost; the exchange is dealt anew and packed again, for as long as the bins
-become fewer and the bound over all lengths is not met.
+that rounding up may have cost; the exchange is dealt anew, to partitions of twice the size, and packed
+again, for as long as the bins become fewer and the bound over all lengths is not met.
 
 Only (id, piece, start, length, checksum) rows travel, never token ids, and a partition holds about
-``PART_ROWS`` rows of them whatever the input.
+``PART_ROWS`` rows of them, at most ``2 ** (ROUNDS - 1)`` times that in an exchange, whatever the input.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -28,40 +29,88 @@ CAPACITY = 2048
 END_ID = 0
 PART_ROWS = 20_000
 ROUNDS = 4
-CACHED_WORDS = 300_000
+CACHED_WORDS = 600_000
+GROUP_CHARS = 1_000_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+#: A chunk of lower-case Latin letters and signs after them: the tokenizer splits between the two, and neither
+#: part depends on the other. Apostrophes are left out: with letters they make tokens of their own.
+_PLAIN = re.compile("([a-zß-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
+
+
 class WordIds(dict):
-    """Token ids (packed little-endian) of a white-space free chunk; bounded, filled by the tokenizer.
+    """Token ids (packed little-endian) of chunks without white space; bounded, filled by the tokenizer.
 
     The tokenizer lower-cases and drops white space, and no token spans it, so chunks are independent.
-    A chunk of ASCII letters and one final stop or comma is two chunks for it as well."""
+    New plain words are encoded together in one text and told apart by the tokens that end a word."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
-    def __missing__(self, chunk: bytes) -> bytes:
-        if len(self) >= CACHED_WORDS:
+    def encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def add(self, chunks: set[bytes]) -> None:
+        if len(self) + len(chunks) > CACHED_WORDS:
             self.clear()
-        if len(chunk) > 2 and chunk[-1] in b".," and 97 <= chunk[-2] <= 122:
-            ids = self[chunk[:-1]] + self[chunk[-1:]]
+        parts, words, rest = {}, set(), set()
+        for chunk in chunks:
+            text = chunk.decode("utf-8")
+            if m := _PLAIN.fullmatch(text):
+                parts[chunk] = m.groups()
+                words.add(m[1])
+                if m[2]:
+                    rest.add(m[2])
+            else:
+                rest.add(text)
+        known = {w: ids for w in words if (ids := self.get(w.encode())) is not None}
+        known |= {w: self.encode(w).tobytes() for w in rest}
+        new = [w for w in words if w not in known]
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, "<u4")
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) == len(new):
+            raw, at = ids.tobytes(), 0
+            for w, stop in zip(new, (4 * stops).tolist()):
+                known[w] = self[w.encode()] = raw[at:stop]
+                at = stop
         else:
-            ids = np.array(self.tokenizer.encode(chunk.decode("utf-8"), add_special_tokens=False).ids, "<u4").tobytes()
-        self[chunk] = ids
-        return ids
-
-    def text(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        raw = text.encode("utf-8")
-        if b"<|" not in raw:  # special tokens are matched before lower-casing
-            raw = raw.lower()
-        return b"".join(map(self.__getitem__, raw.split()))
+            known |= {w: self.encode(w).tobytes() for w in new}
+        for chunk in chunks:
+            if chunk in parts:
+                word, signs = parts[chunk]
+                self[chunk] = known[word] + known[signs] if signs else known[word]
+            else:
+                self[chunk] = known[chunk.decode("utf-8")]
+
+    def texts(self, texts: list[str | None]) -> Iterator[bytes]:
+        """The packed ids of each text, computed in groups of about ``GROUP_CHARS``."""
+        group, size = [], 0
+        for text in texts:
+            raw = (text or "").encode("utf-8")
+            if b"<|" not in raw:  # special tokens are matched before lower-casing
+                raw = raw.lower()
+            group.append(raw.split())
+            size += len(raw)
+            if size > GROUP_CHARS:
+                yield from self._join(group)
+                group, size = [], 0
+        yield from self._join(group)
+
+    def _join(self, group: list[list[bytes]]) -> Iterator[bytes]:
+        if missing := set().union(*group) - self.keys():
+            self.add(missing)
+            if missing := set().union(*group) - self.keys():  # the cache was emptied
+                self.add(missing)
+        for chunks in group:
+            yield b"".join(map(self.__getitem__, chunks))
 
 
 def tokenized(docs: DataFrame, path: str, capacity: int, with_ids: bool) -> DataFrame:
@@ -72,8 +121,8 @@ def tokenized(docs: DataFrame, path: str, capacity: int, with_ids: bool) -> Data
         words = WordIds(path)
         for batch in batches:
             rows = []
-            for doc, text in zip(batch["id"], batch["text"]):
-                ids = words.text(text) + end
+            for doc, ids in zip(batch["id"], words.texts(list(batch["text"]))):
+                ids += end
                 n = len(ids) // 4
                 for piece, start in enumerate(range(0, n, capacity)):
                     part = ids[4 * start:4 * (start + capacity)]
@@ -163,7 +212,7 @@ def pack_pieces(pieces: DataFrame, capacity: int, part_rows: int = PART_ROWS) ->
         # unfilled bins: of partitions with a gap, and what each partition lost by rounding up
         loose = now.where("unfilled")
         before = loose.select("sequence_id").distinct().count()
-        again = _packed(loose.select(*PIECES_NAMES, "salt"), capacity, turn, part_rows)
+        again = _packed(loose.select(*PIECES_NAMES, "salt"), capacity, turn, part_rows << turn)
         after = again.select("sequence_id").distinct().count()
         if after >= before:
             break
