@@ -15,7 +15,7 @@ Order: by a 63-bit hash of the text, so any block holds a like share. Heavy grou
 1/``HEAVY`` of all bytes or rows; at most ``2 * HEAVY`` exist) are first spread over the shards,
 largest first onto the least loaded, and stand in the order where their shard's run begins; else a
 large group in a bad place would leave the run before it short. Groups whose 63-bit hashes are
-equal travel together.
+equal travel together. A group as large as the mean of what is left has a shard to itself.
 """
 
 from __future__ import annotations
@@ -127,13 +127,14 @@ def _block_sums(groups: DataFrame, wanted: list[Element], heavy_keys: list[int])
     return {(r.width, r.block): (r.bytes, r.n) for r in rows}
 
 
-def plan_cuts(groups: DataFrame, heavies: list[tuple], light: int, shards: int) -> tuple[int, list[int], dict[int, int]]:
+def plan_cuts(groups: DataFrame, heavies: list[tuple], light: int, shards: int, left_out: list[tuple] = ()) -> tuple[int, list[int], dict[int, int]]:
     """Smallest capacity, the ``shards - 1`` cut keys of the light groups, and the shard of each heavy group.
 
-    ``groups``: key, bytes. ``heavies``: (key, bytes, rows). ``light``: bytes of all other groups."""
+    ``groups``: key, bytes. ``heavies``: (key, bytes, rows). ``light``: bytes of all other groups.
+    ``left_out``: groups that have shards of their own."""
     blocks = 1 << BLOCK_BITS
     placed, starts = _spread(heavies, light, shards, blocks)
-    heavy_keys = [h[0] for h in heavies]
+    heavy_keys = [h[0] for h in [*heavies, *left_out]]
     width = KEY_BITS - BLOCK_BITS
     sums = _block_sums(groups, [], heavy_keys)
     elements: list[Element] = []
@@ -188,7 +189,7 @@ def shard(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: s
     Returns ``id_col``, size (UTF-8 bytes + 1), text_crc32, shard, slot. Null texts have no bytes
     and stand in one group with empty texts; null and repeated ids are rows like any other; equal
     texts always share a shard; an empty table gives no rows; other columns are ignored.
-    A shard with a group larger than the mean is as large as that group: groups are never split.
+    Groups are never split, so a shard may be as large as a group that is larger than the mean.
     """
     spark = docs.sparkSession
     text = text_or_empty(F.col(f"`{text_col}`"))
@@ -200,8 +201,13 @@ def shard(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: s
     total = groups.agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n")).first()
     all_bytes, n = total.bytes or 0, total.n or 0
     heavies = [tuple(r) for r in groups.where((F.col("bytes") > all_bytes // HEAVY) | (F.col("n") > n // HEAVY + 1))
-               .orderBy(F.desc("bytes"), "key").select("key", "bytes", "n").collect()] if n > HEAVY else []
-    _, cuts, shard_of = plan_cuts(groups, heavies, all_bytes - sum(h[1] for h in heavies), shards)
+               .orderBy(F.desc("bytes"), "key").select("key", "bytes", "n").collect()]
+    alone, rest = 0, all_bytes  # groups of at least the mean of what is left have a shard each, at the end of the order
+    while shards - alone > 1 and alone < len(heavies) and heavies[alone][1] * (shards - alone) >= rest:
+        rest -= heavies[alone][1]
+        alone += 1
+    _, cuts, placed = plan_cuts(groups, heavies[alone:], all_bytes - sum(h[1] for h in heavies), shards - alone, heavies[:alone])
+    shard_of = {i: shards - alone + i for i in range(alone)} | {alone + i: s for i, s in placed.items()}
 
     # slots: rows per block of a shard, offsets over the (bounded) blocks, row numbers inside a block
     bits = max(6, min(16, (n // ROWS_PER_SLOT_BLOCK).bit_length() + 4))
