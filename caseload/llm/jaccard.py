@@ -12,11 +12,11 @@ first partition is made in projections of the space, in which the metric is coar
    replicated to the class below. Small classes use pairs of shingles instead of slices.
 2. Stars. The best connected set of a region is its pivot; every set is compared with the pivot it
    shares most regions with. Components of the links found close most regions at once.
-3. Recursion. A region that still holds more than one component takes a document pivot p, computes
-   d(x, p) exactly, and splits into rings of width t. By the triangle inequality linked sets lie in the
-   same or neighbouring rings, so each set is replicated to the next ring and rings are regions again.
-   Regions of at most ``LEAF`` sets compare their sets of different components directly; regions that
-   ``TURNS`` pivots did not close are compared in blocks, so nothing is given up.
+3. Cells. The sets of the regions that still hold several components form the Voronoi cells of their
+   pivots. All of a cell are compared with its pivot p, and the join is repeated inside the cell in
+   coordinates that start at p: there near copies differ by their few changes alone, most of which no
+   other set of the cell shares. Triangle-inequality windows and the prefix rule on these differences
+   leave only pairs that may link (``_cell_pairs``), which are compared exactly.
 
 Equal sets are one set throughout. Comparisons are exact on 64-bit shingle hashes. A pair could be missed
 only if hashing put all shingles of a set into D of its slices (under 1e-9 for the smallest sets that use
@@ -35,9 +35,6 @@ from pyspark.sql import functions as F
 from caseload.llm.common import stash
 from caseload.llm.graph import components
 
-LEAF = 24
-TURNS = 5
-BLOCK = 256
 GROWTH = 1.5  # of the size classes
 SPARE = 1.4  # slices for each difference that may spoil one
 PAIR_CLASS = 6  # classes with at most so many differences use pairs of shingles
@@ -162,6 +159,28 @@ def _compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", common.alias("common"), (F.size("sa") + F.size("sb") - common).alias("total"))
 
 
+def _excess(cells: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """p, sid, e, room of those distinct ``cells`` (p, sid) that may link to another set of the cell of p.
+
+    With x' the symmetric difference of x and the pivot, |x ^ y| = |x'| + |y'| - 2 |x' & y'|, so x and y link
+    if and only if e(x) + e(y) <= 2 (den + num) |x' & y'| with e(x) = (den + num) |x'| - (den - num) |x|. At most the
+    elements of x' that another difference of the cell holds as well can be in x' & y'; with s(x) of them,
+    e(y) <= room(x) = 2 (den + num) s(x) - e(x), and likewise with x and y exchanged."""
+    pivot = sets.select(F.col("sid").alias("p"), F.col("shingles").alias("sp"))
+    both = cells.join(sets, "sid").join(pivot, "p")
+    change = F.concat(F.array_except("shingles", "sp"), F.array_except("sp", "shingles"))
+    moved = stash(both.select("p", "sid", F.size("shingles").alias("n"), change.alias("change")), "jaccard-changes")
+    each = moved.select("p", "sid", F.explode("change").alias("g"))
+    common = each.groupBy("p", "g").agg(F.count("*").alias("held")).where(F.col("held") > 1)
+    shared = each.join(common, ["p", "g"]).groupBy("p", "sid").agg(F.count("*").alias("s"))
+    e = (den + num) * F.size("change") - (den - num) * F.col("n")
+    got = moved.select("p", "sid", e.cast("long").alias("e")).join(shared, ["p", "sid"], "left").select(
+        "p", "sid", "e", (2 * (den + num) * F.coalesce("s", F.lit(0)) - F.col("e")).alias("room"))
+    got = stash(got, "jaccard-excess")
+    ends = got.groupBy("p").agg(F.min("e").alias("least"), F.max("room").alias("most"))
+    return got.join(ends, "p").where((F.col("e") <= F.col("most")) & (F.col("least") <= F.col("room"))).select("p", "sid", "e", "room")
+
+
 def _relabel(labels: DataFrame, edges: DataFrame) -> DataFrame:
     """``labels`` (sid, label) after merging the components that ``edges`` (a, b) join."""
     a = labels.select(F.col("sid").alias("a"), F.col("label").alias("u"))
@@ -171,13 +190,56 @@ def _relabel(labels: DataFrame, edges: DataFrame) -> DataFrame:
     return stash(merged.select("sid", F.coalesce("root", "label").alias("label")), "jaccard-labels")
 
 
-def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """key, sid, native, label, size of the regions that hold several components and a native set.
-
-    A set that was replicated from the ring before is not native; two such sets meet in their own ring."""
-    named = members.join(labels, "sid")
-    held = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("native").alias("any"), F.count("*").alias("size"))
-    return named.join(held.where((F.col("low") != F.col("high")) & F.col("any")).select("key", "size"), "key")
+def _differences(cells: DataFrame, sets: DataFrame) -> DataFrame:
+    """p, sid, n, m, change: for distinct ``cells`` (p, sid), the size of the set and its differences from the pivot."""
+    pivot = sets.select(F.col("sid").alias("p"), F.col("shingles").alias("sp"))
+    both = cells.join(sets, "sid").join(pivot, "p")
+    change = F.concat(F.array_except("shingles", "sp"), F.array_except("sp", "shingles"))
+    return both.select("p", "sid", F.size("shingles").cast("long").alias("n"), change.alias("change")).withColumn("m", F.size("change").cast("long"))
+
+
+def _cell_pairs(cells: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) that may link inside Voronoi cells: with the set nearest to linking anything, and all others.
+
+    ``cells``: p, sid, n, m, change, label, inner (the set is in its pivot's component). Symmetric difference
+    is translation invariant: with x' the difference of x and p, |x ^ y| = |x'| + |y'| - 2 |x' & y'|. So x and y
+    link if and only if e(x) + e(y) <= 2 (den + num) |x' & y'|, where e(x) = (den + num) |x'| - (den - num) |x|. If
+    e(x) + e(y) <= 0 no common difference is needed; then x links to the cell's set of least e as well, and that
+    pair is tried first. Otherwise x' and y' share differences, and by the prefix rule one of them is among the
+    first |x'| - o + 1 of x (o: least overlap over all partners), rarest in the cell first. Windows by the
+    triangle inequality, ||x'| - |y'|| <= |x ^ y|, bound the partners of each set."""
+    e = F.expr(f"{den + num} * m - {den - num} * n")
+    rows = cells.withColumn("e", e)
+    nearest = rows.groupBy("p").agg(F.min(F.struct("e", "sid", "label")).alias("near"))
+    rows = rows.join(nearest, "p")
+    first = rows.where(~F.col("inner") & (F.col("label") != F.col("near.label"))).select("sid", F.col("near.sid").alias("other"))
+
+    # a set that surely links to the nearest one (which is then an inner one) is an inner one as well
+    rows = rows.withColumn("inner", F.col("inner") | (F.col("e") + F.col("near.e") <= 0))
+    least = rows.groupBy("p").agg(F.min(F.when(~F.col("inner"), F.col("e"))).alias("least_out"), F.min(F.when(F.col("inner"), F.col("e"))).alias("least_in"))
+    rows = rows.join(least.where(F.col("least_out").isNotNull()), "p")
+    length = lambda other: F.greatest(F.lit(0), F.least(F.col("m"), F.col("m") + 1 - F.greatest(
+        F.lit(1), F.ceil((F.col("e") + F.col(other)) / (2.0 * (den + num)) - 1e-9))))
+    # outer sets meet outer and inner ones, inner sets meet outer ones alone
+    rows = rows.withColumn("to_out", length("least_out")).withColumn("to_in", F.when(F.col("inner") | F.col("least_in").isNull(), 0).otherwise(length("least_in")))
+    rows = stash(rows.where(F.greatest("to_out", "to_in") > 0).select("p", "sid", "n", "m", "label", "inner", "to_out", "to_in", "change"), "jaccard-changes")
+    each = rows.select("p", "sid", F.explode("change").alias("g"))
+    held = each.groupBy("p", "g").agg(F.count("*").alias("held"))
+    order = each.join(held, ["p", "g"]).groupBy("p", "sid").agg(F.sort_array(F.collect_list(F.struct("held", "g"))).alias("order"))
+    ahead = rows.drop("change").join(order, ["p", "sid"]).withColumn("order", F.slice("order", 1, F.greatest("to_out", "to_in").cast("int")))
+    entry = stash(ahead.select("p", "sid", "n", "m", "label", "inner", "to_out", "to_in", F.posexplode("order").alias("at", "x")).where(
+        F.col("x.held") > 1).select("p", F.col("x.g").alias("g"), "sid", "n", "m", "label", "inner", "to_out", "to_in", "at"), "jaccard-entries")
+    one = entry.where(~F.col("inner")).select("p", "g", *[F.col(c).alias(c + "1") for c in ("sid", "n", "m", "label", "to_out", "to_in", "at")])
+    two = entry.select("p", "g", *[F.col(c).alias(c + "2") for c in ("sid", "n", "m", "label", "inner", "to_out", "at")])
+    window = F.expr(f"{den + num} * abs(m1 - m2) <= {den - num} * (n1 + n2)")
+    reach = (F.col("at2") < F.col("to_out2")) & F.when(F.col("inner2"), F.col("at1") < F.col("to_in1")).otherwise(
+        (F.col("at1") < F.col("to_out1")) & (F.col("sid1") < F.col("sid2")))
+    found = one.join(two, ["p", "g"]).where((F.col("label1") != F.col("label2")) & window & reach)
+    return first.select(*pair_of("sid", "other")).distinct(), found.select(*pair_of("sid1", "sid2")).distinct()
+
+
+def pair_of(x: str, y: str) -> tuple:
+    return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
 
 
 def link_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100) -> tuple[DataFrame, DataFrame]:
@@ -205,39 +267,22 @@ def link_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 1
     tested = stash(_compare(best, sets), "jaccard-tested")
     labels = _relabel(labels, linked(tested))
 
-    now = stash(_open(members.select("key", "sid", F.lit(True).alias("native")), labels), "jaccard-open")
-    for turn in range(TURNS + 1):
-        if now.isEmpty():
-            break
-        leaf = now.where(F.col("size") <= LEAF)
-        big = now.where(F.col("size") > LEAF)
-        if turn == TURNS:  # what no pivot closed: blocks of every two parts of a region
-            parts = F.ceil(F.col("size") / BLOCK).cast("long")
-            own = F.pmod(F.xxhash64("sid"), parts)
-            cut = big.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
-            leaf = leaf.unionByName(cut.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"),
-                                               "sid", "native", "label", "size"))
-        a = leaf.select("key", F.col("sid").alias("a"), F.col("label").alias("la"), F.col("native").alias("na"))
-        b = leaf.select("key", F.col("sid").alias("b"), F.col("label").alias("lb"), F.col("native").alias("nb"))
-        pairs = a.join(b, "key").where((F.col("la") != F.col("lb")) & (F.col("a") < F.col("b")) & (F.col("na") | F.col("nb"))).select("a", "b")
-        if turn < TURNS:
-            top = big.join(degrees, "sid").groupBy("key").agg(F.max(F.struct("native", "degree", "sid")).alias("top")).select("key", F.col("top.sid").alias("p"))
-            big = stash(big.join(top, "key").where(F.col("sid") != F.col("p")).select("key", "sid", "native", "p"), "jaccard-big")
-            pairs = pairs.unionByName(big.select(F.least("p", "sid").alias("a"), F.greatest("p", "sid").alias("b")))
-        known = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "common", "total")
-        fresh = _compare(pairs.distinct().join(known, ["a", "b"], "left_anti"), sets)
-        tested = stash(known.unionByName(fresh), "jaccard-tested")
-        labels = _relabel(labels, linked(tested))
-        if turn == TURNS:
+    # cells: the sets of the regions that still hold several components, around their regions' pivots
+    for nth in range(2):  # labels after the links to pivots, then the pairs inside cells
+        named = members.select("key", "sid").join(labels, "sid")
+        still = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("key")
+        cells = stash(named.join(still, "key").join(pivots.select("key", F.col("a").alias("p")), "key").where("sid != p").select(
+            "p", "sid", "label").distinct(), "jaccard-cells")
+        if nth:
             break
-        # rings around the pivot, in exact integers: floor(d / t)
-        at = big.select("*", F.least("p", "sid").alias("a"), F.greatest("p", "sid").alias("b")).join(tested, ["a", "b"])
-        ring = F.expr(f"((total - common) * {den}) div (total * {den - num})")
-        rings = at.withColumn("ring", ring).select("key", "p", "sid", F.explode(F.array(
-            F.struct(F.col("ring").alias("ring"), F.lit(True).alias("native")),
-            F.struct((F.col("ring") + 1).alias("ring"), F.lit(False).alias("native")))).alias("x"))
-        split = rings.select(F.xxhash64("key", "p", "x.ring").alias("key"), "sid", F.col("x.native").alias("native"))
-        now = stash(_open(split, labels), "jaccard-open")
+        known = tested.select(*pair_of("a", "b"))
+        fresh = cells.select(*pair_of("p", "sid")).distinct().join(known, ["a", "b"], "left_anti")
+        labels = _relabel(labels, linked(_compare(fresh, sets)))
+    own = labels.select(F.col("sid").alias("p"), F.col("label").alias("p_label"))
+    inside = cells.join(own, "p").withColumn("inner", F.col("label") == F.col("p_label")).drop("p_label")
+    near, rest = _cell_pairs(_differences(cells.select("p", "sid"), sets).join(inside, ["p", "sid"]), num, den)
+    pairs = stash(near.unionByName(rest).distinct(), "jaccard-pairs")
+    labels = _relabel(labels, linked(_compare(pairs, sets)))
     return table.select("id", "code", "n", "sid"), labels
 
 

@@ -37,7 +37,7 @@ def line_dedup(docs: list[tuple], least_chars: int = 40, least_docs: int = 5) ->
         for x in (t or "").split("\n"):
             if len(key(x)) >= least_chars:
                 held[key(x)].add(i)
-    order = lambda i: (i is not None, i)
+    order = lambda i: (i is not None, i or 0)
     lost = {k: max(v, key=order) for k, v in held.items() if len(v) >= least_docs}
     out = []
     for i, t in docs:
