@@ -26,10 +26,16 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_stash(spark: SparkSession, path: str) -> None:
-    """Delete a scratch table through Spark's own file system layer."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+def rereadable(df: DataFrame, name: str) -> DataFrame:
+    """``df`` itself if it only scans, filters and projects files, else a written copy: row numbers and
+    partition numbers are then the same whenever it is read."""
+    plans, plain = [df._jdf.queryExecution().optimizedPlan()], True
+    while plans:
+        plan = plans.pop()
+        children = plan.children()
+        plain &= plan.nodeName().split()[0] in ("Project", "Filter", "LogicalRelation", "Relation", "LocalRelation")
+        plans += [children.apply(i) for i in range(children.size())]
+    return df if plain else stash(df, name)
 
 
 def inline(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseload.llm.common import scratch, stash, text_or_empty
+from caseload.llm.common import rereadable, scratch, stash, text_or_empty
 
 CRLF = "\r\n"
 ARCHIVE_BYTES = 32 << 20  # payload bytes of one archive file, on average
@@ -65,7 +65,8 @@ def resolve(pages: DataFrame, least_bytes: int = 0, id_col: str = "page_id", url
     come after all others. Only headers are shuffled for the choice; a payload that very many pages
     share is reduced to one row in each task first. Up to ``sent_rows`` revisits are sent to the tasks
     that hold the payloads; beyond that both sides are shuffled by row number."""
-    rows = _rows(pages, id_col, url_col, payload_col)
+    names = (id_col, url_col, payload_col)
+    rows = _rows(rereadable(pages.select(*[F.col(f"`{c}`") for c in names]), "warc-pages"), *names)
     heads = revisits(rows, least_bytes)
     if heads.count() <= sent_rows:
         joined = rows.join(F.broadcast(heads), "row", "left")
