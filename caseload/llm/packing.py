@@ -17,19 +17,21 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain, compress, repeat
+from operator import is_
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseload.llm.common import stash
+from caseload.llm.common import stash, worker_object
 
 CAPACITY = 2048
 END_ID = 0
 PART_ROWS = 20_000
 ROUNDS = 4
-CACHED_WORDS = 600_000
+CACHED_WORDS = 1_000_000
 GROUP_CHARS = 1_000_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -40,6 +42,10 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PLAIN = re.compile("([a-zß-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
 
 
+#: A stop or comma that ends a chunk after a Latin letter is a chunk of its own: far fewer chunks are distinct.
+_STOP = re.compile(rb"(?:(?<=[a-z])|(?<=\xc3[\xa0-\xb6\xb8-\xbf]))([.,])(?=[ \n]|\Z)")
+
+
 class WordIds(dict):
     """Token ids (packed little-endian) of chunks without white space; bounded, filled by the tokenizer.
 
@@ -55,40 +61,36 @@ class WordIds(dict):
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
-    def encode(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+    def encode(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def add_words(self, words: list[bytes]) -> None:
+        """Words of letters alone: one token that ends a word for each."""
+        if not words:
+            return
+        ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(words).decode("utf-8")], add_special_tokens=False)[0].ids, "<u4")
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) == len(words):
+            raw, stops = ids.tobytes(), (4 * stops).tolist()
+            self.update(zip(words, map(raw.__getitem__, map(slice, [0, *stops[:-1]], stops))))
+        else:
+            self.update((w, self.encode(w.decode("utf-8"))) for w in words)
 
     def add(self, chunks: set[bytes]) -> None:
         if len(self) + len(chunks) > CACHED_WORDS:
             self.clear()
-        parts, words, rest = {}, set(), set()
-        for chunk in chunks:
-            text = chunk.decode("utf-8")
-            if m := _PLAIN.fullmatch(text):
-                parts[chunk] = m.groups()
-                words.add(m[1])
-                if m[2]:
-                    rest.add(m[2])
-            else:
-                rest.add(text)
-        known = {w: ids for w in words if (ids := self.get(w.encode())) is not None}
-        known |= {w: self.encode(w).tobytes() for w in rest}
-        new = [w for w in words if w not in known]
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, "<u4")
-        stops = np.flatnonzero(self.ends[ids]) + 1
-        if len(stops) == len(new):
-            raw, at = ids.tobytes(), 0
-            for w, stop in zip(new, (4 * stops).tolist()):
-                known[w] = self[w.encode()] = raw[at:stop]
-                at = stop
-        else:
-            known |= {w: self.encode(w).tobytes() for w in new}
-        for chunk in chunks:
-            if chunk in parts:
-                word, signs = parts[chunk]
-                self[chunk] = known[word] + known[signs] if signs else known[word]
+        words, parts, rest = {c for c in chunks if c.isalpha()}, [], set()
+        for chunk in chunks - words:
+            if m := _PLAIN.fullmatch(chunk.decode("utf-8")):
+                word, signs = m[1].encode("utf-8"), m[2].encode("utf-8")
+                parts.append((chunk, word, signs))
+                words.add(word)
+                rest.add(signs)
             else:
-                self[chunk] = known[chunk.decode("utf-8")]
+                rest.add(chunk)
+        self.add_words(list(words - self.keys()))
+        self.update((x, self.encode(x.decode("utf-8"))) for x in rest - self.keys())
+        self.update((chunk, self[word] + self[signs]) for chunk, word, signs in parts if signs)
 
     def texts(self, texts: list[str | None]) -> Iterator[bytes]:
         """The packed ids of each text, computed in groups of about ``GROUP_CHARS``."""
@@ -97,7 +99,7 @@ class WordIds(dict):
             raw = (text or "").encode("utf-8")
             if b"<|" not in raw:  # special tokens are matched before lower-casing
                 raw = raw.lower()
-            group.append(raw.split())
+            group.append(_STOP.sub(rb" \1", raw).split())
             size += len(raw)
             if size > GROUP_CHARS:
                 yield from self._join(group)
@@ -105,12 +107,14 @@ class WordIds(dict):
         yield from self._join(group)
 
     def _join(self, group: list[list[bytes]]) -> Iterator[bytes]:
-        if missing := set().union(*group) - self.keys():
-            self.add(missing)
-            if missing := set().union(*group) - self.keys():  # the cache was emptied
-                self.add(missing)
-        for chunks in group:
-            yield b"".join(map(self.__getitem__, chunks))
+        got = [list(map(self.get, chunks)) for chunks in group]
+        for _ in range(2):  # again if the cache was emptied in between
+            new = [k for k, ids in enumerate(got) if None in ids]
+            if new:
+                self.add(set(chain.from_iterable(compress(group[k], map(is_, got[k], repeat(None))) for k in new)))
+                for k in new:
+                    got[k] = list(map(self.get, group[k]))
+        yield from map(b"".join, got)
 
 
 def tokenized(docs: DataFrame, path: str, capacity: int, with_ids: bool) -> DataFrame:
@@ -118,7 +122,7 @@ def tokenized(docs: DataFrame, path: str, capacity: int, with_ids: bool) -> Data
     end = np.array([END_ID], "<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = WordIds(path)
+        words = worker_object(f"word ids {path}", lambda: WordIds(path))
         for batch in batches:
             rows = []
             for doc, ids in zip(batch["id"], words.texts(list(batch["text"]))):
