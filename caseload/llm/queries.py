@@ -95,4 +95,96 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_sharding, op2_best_fit_packing, op3_toxicity, op4_jaccard_join, op5_secrets, op6_line_dedup, op7_lm_scoring, op8_decontamination, op9_quality_rules, op10_warc)
 }
 
-SQL: dict[str, str] = {}
+_SPACES = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+#: ASCII lower case of an expression.
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')".format
+
+OP6_SQL = f"""
+WITH lines AS (
+  SELECT doc_id, unnest(line) AS line, generate_subscripts(line, 1) AS nth
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS line FROM documents)
+), keyed AS (
+  SELECT *, {_LOWER(f"trim(line, {_SPACES})")} AS key FROM lines
+), losing AS (
+  SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+)
+SELECT k.doc_id, count(*) AS n_lines, count(*) FILTER (WHERE l.key IS NOT NULL AND l.keeper <> k.doc_id) AS n_dropped,
+       sha256(coalesce(string_agg(k.line, chr(10) ORDER BY k.nth) FILTER (WHERE l.key IS NULL OR l.keeper = k.doc_id), '')) AS kept_sha256
+FROM keyed k LEFT JOIN losing l ON k.key = l.key
+GROUP BY k.doc_id
+"""
+
+
+def _any_case(word: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+
+_NAMES = "|".join(_any_case(w) for w in ("password", "passwd", "secret", "token")) + "|" + _any_case("api") + "_?" + _any_case("key")
+_KINDS = [
+    ("assign", f"""({_NAMES})["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    ("access", "AKIA[A-Z0-9]+", 0, 20),
+    ("hex", "[0-9a-f]+", 0, 24),
+]
+# the n-th match begins after the pieces and matches before it
+OP5_SQL = "WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), found AS (\n" + "\nUNION ALL\n".join(
+    f"""SELECT doc_id, {i} AS nth, '{kind}' AS kind, start, start + len(m) AS stop FROM (
+  SELECT doc_id, unnest(ms) AS m, unnest(gs) AS g,
+         unnest(list_transform(range(1, len(ms) + 1), lambda k: list_sum(list_transform(ps[1:k], lambda p: len(p)))::BIGINT
+                + coalesce(list_sum(list_transform(ms[1:k - 1], lambda p: len(p))), 0)::BIGINT)) AS start
+  FROM (SELECT doc_id, regexp_extract_all(t, '{pattern}') AS ms, regexp_extract_all(t, '{pattern}', {group}) AS gs,
+               string_split_regex(t, '{pattern}') AS ps FROM texts WHERE regexp_matches(t, '{pattern}'))
+) WHERE len(g) >= {least}""" for i, (kind, pattern, group, least) in enumerate(_KINDS)) + """
+)
+SELECT t.doc_id, """ + ", ".join(f"count(*) FILTER (WHERE kind = '{k[0]}') AS n_{k[0]}" for k in _KINDS) + """,
+       sha256(coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, nth), '')) AS base_sha256,
+       coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, nth), '') AS spans
+FROM texts t LEFT JOIN found f ON t.doc_id = f.doc_id
+GROUP BY t.doc_id
+"""
+
+OP10_SQL = """
+WITH sums AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS sha FROM pages
+), firsts AS (
+  SELECT sha, min(page_id) AS origin FROM sums GROUP BY sha
+)
+SELECT s.page_id, s.payload_bytes::BIGINT AS payload_bytes,
+       list_aggregate(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + (((('0x' || substr(s.sha, 1 + 10 * (k // 8), 10))::BIGINT >> (35 - 5 * (k % 8))::BIGINT) & 31))::BIGINT, 1)), 'string_agg', '') AS payload_digest,
+       CASE WHEN f.origin = s.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN f.origin <> s.page_id THEN f.origin END AS refers_to
+FROM sums s JOIN firsts f ON s.sha = f.sha
+"""
+
+OP4_SQL = f"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, list_filter(string_split_regex({_LOWER("coalesce(text, '')")}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+         ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM texts
+), classes AS (
+  SELECT min(doc_id) AS rep, len(any_value(s)) AS n, list_sort(s) AS s FROM sets WHERE len(s) > 0 GROUP BY list_sort(s)
+), grams AS (
+  SELECT rep, n, unnest(s) AS g FROM classes
+), links AS (
+  SELECT a.rep AS u, b.rep AS v FROM grams a JOIN grams b ON a.g = b.g AND a.rep < b.rep AND 100 * a.n >= 90 * b.n AND 100 * b.n >= 90 * a.n
+  GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), edges AS (
+  SELECT u, v FROM links UNION ALL SELECT v, u FROM links
+), reach AS (
+  SELECT rep AS u, rep AS root FROM classes
+  UNION SELECT e.v, r.root FROM reach r JOIN edges e ON r.u = e.u
+), roots AS (
+  SELECT u, min(root) AS root FROM reach GROUP BY u
+)
+SELECT d.doc_id, len(d.s)::BIGINT AS n_shingles, coalesce(r.root, d.doc_id) AS component_id
+FROM sets d LEFT JOIN classes c ON len(d.s) > 0 AND list_sort(d.s) = c.s LEFT JOIN roots r ON c.rep = r.u
+"""
+
+#: DuckDB SQL. The others use what SQL has not: fitted models, tokenizers, CRC-32, iterative estimates.
+SQL: dict[str, str] = {
+    "op4_jaccard_join": OP4_SQL,
+    "op5_secrets": OP5_SQL,
+    "op6_line_dedup": OP6_SQL,
+    "op10_warc": OP10_SQL,
+}
