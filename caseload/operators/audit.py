@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseload.config import (ALLOWED_DIRECTORY_SUFFIXES, EXCLUDED_NAMES, EXCLUDED_SUFFIXES, FORBIDDEN_ARCHIVE_PARTS,
-                             FORBIDDEN_ARCHIVE_SUFFIXES, FORBIDDEN_OUTPUT_TOKENS, LOCAL_PATH_PATTERNS)
+                             FORBIDDEN_ARCHIVE_SUFFIXES, FORBIDDEN_OUTPUT_TOKENS)
 
 
 def token_findings(texts: DataFrame, tokens=FORBIDDEN_OUTPUT_TOKENS) -> DataFrame:
@@ -19,7 +19,7 @@ def token_findings(texts: DataFrame, tokens=FORBIDDEN_OUTPUT_TOKENS) -> DataFram
     return texts.select("source", "id", F.explode(hits).alias("token"))
 
 
-def pattern_findings(texts: DataFrame, patterns=LOCAL_PATH_PATTERNS) -> DataFrame:
+def pattern_findings(texts: DataFrame, patterns) -> DataFrame:
     """A2: one finding per (source, id, pattern index) matching a machine-local path pattern."""
     arr = F.array(*[F.struct(F.lit(i).alias("pattern_id"), F.col("text").rlike(p).alias("hit"))
                     for i, p in enumerate(patterns)])
@@ -32,7 +32,7 @@ def findings_summary(texts: DataFrame, findings: DataFrame, key: str, keys) -> D
     spark = texts.sparkSession
     srcs = texts.groupBy("source").agg(F.count(F.lit(1)).alias("rows_scanned"))
     ks = spark.createDataFrame([(k,) for k in keys], f"{key} {'string' if isinstance(keys[0], str) else 'bigint'}")
-    cnt = findings.groupBy("source", key).agg(F.countDistinct("id").alias("rows_with_finding"))
+    cnt = findings.groupBy("source", key).agg(F.count(F.lit(1)).alias("rows_with_finding"))  # a row has one finding for each key
     return srcs.crossJoin(F.broadcast(ks)).join(cnt, ["source", key], "left").select(
         "source", key, "rows_scanned", F.coalesce("rows_with_finding", F.lit(0)).alias("rows_with_finding"))
 
@@ -72,9 +72,8 @@ def url_path(url_col: str = "url") -> F.Column:
     return F.regexp_extract(F.col(url_col), r"^[a-z]+://[^/?#]+([^?#]*)", 1)
 
 
-def duplicate_names(df: DataFrame, name_col: str) -> DataFrame:
-    """A5: names present more than once."""
-    return df.groupBy(name_col).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
+def url_host(url_col: str = "url") -> F.Column:
+    return F.lower(F.regexp_extract(F.col(url_col), r"^[a-z]+://([^/?#]+)", 1))
 
 
 def content_inventory(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -84,28 +83,42 @@ def content_inventory(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def reconcile(manifest: DataFrame, live: DataFrame, key: str) -> DataFrame:
-    """Full outer join of a recorded inventory (key, bytes, sha256) and the live one."""
-    m = manifest.select(key, F.col("bytes").alias("m_bytes"), F.col("sha256").alias("m_sha"))
-    lv = live.select(key, F.col("bytes").alias("l_bytes"), F.col("sha256").alias("l_sha"))
-    j = m.join(lv, key, "full")
-    status = (F.when(F.col("l_bytes").isNull() & F.col("l_sha").isNull() & F.col("m_sha").isNotNull(), "missing")
-               .when(F.col("m_bytes").isNull() & F.col("m_sha").isNull(), "extra")
-               .when(~F.col("m_bytes").eqNullSafe(F.col("l_bytes")), "stale_size")
-               .when(F.col("m_sha").isNotNull() & ~F.col("m_sha").eqNullSafe(F.col("l_sha")), "stale_hash")
-               .otherwise("ok"))
-    return j.select(key, status.alias("status"))
+    """Full outer join of a recorded inventory (key, bytes, sha256) and the live one. Presence decides
+    missing and extra; sizes and hashes are compared where they were recorded."""
+    m = manifest.select(key, F.lit(True).alias("recorded"), F.col("bytes").alias("m_bytes"), F.col("sha256").alias("m_sha"))
+    lv = live.select(key, F.lit(True).alias("present"), F.col("bytes").alias("l_bytes"), F.col("sha256").alias("l_sha"))
+    differs = lambda a, b: F.col(a).isNotNull() & ~F.col(a).eqNullSafe(F.col(b))
+    status = (F.when(F.col("present").isNull(), "missing").when(F.col("recorded").isNull(), "extra")
+               .when(differs("m_bytes", "l_bytes"), "stale_size").when(differs("m_sha", "l_sha"), "stale_hash").otherwise("ok"))
+    return m.join(lv, key, "full").select(key, status.alias("status"))
 
 
 def broken_links(pages: DataFrame) -> DataFrame:
-    """Href targets; external/anchor/mail skipped; absolute flagged; existence checked
-    against the known page paths (left anti join)."""
-    links = pages.select("page_id", F.explode(F.regexp_extract_all("html", F.lit(r'href="([^"]*)"'), 1)).alias("target"))
-    local = links.where(~(F.col("target").startswith("http://") | F.col("target").startswith("https://")
-                          | F.col("target").startswith("#") | F.col("target").startswith("mailto:")))
-    local = local.withColumn("target_path", F.split("target", "#").getItem(0))
-    known = pages.select(url_path().alias("target_path")).distinct()
-    broken = local.join(known, "target_path", "left_anti")
-    return broken.select("page_id", "target", F.col("target").startswith("/").alias("is_absolute"))
+    """Links that lead to a host of the table but to none of its pages (left anti join on host and path).
+
+    Targets resolve as a browser does: host and scheme given, host given, from the root, or from the page's
+    folder, with dot segments folded; query and fragment do not count. Anchors, queries of the same page,
+    other schemes and hosts outside the table are left out."""
+    links = pages.select("page_id", url_host().alias("page_host"), url_path().alias("page_path"),
+                         F.explode(F.regexp_extract_all("html", F.lit(r'href="([^"]*)"'), 1)).alias("target"))
+    plain = F.regexp_extract("target", r"^([^?#]*)", 1)
+    links = links.withColumn("plain", plain).where((F.col("plain") != "") & ~F.col("target").rlike(r"^(?!https?:)[A-Za-z][A-Za-z0-9+.-]*:"))
+    outside = F.col("plain").rlike(r"^(https?:)?//")
+    host = F.when(outside, F.lower(F.regexp_extract("plain", r"^(?:https?:)?//([^/]+)", 1))).otherwise(F.col("page_host"))
+    folder = F.regexp_extract("page_path", r"^(.*/)", 1)
+    path = (F.when(outside, F.regexp_extract("plain", r"^(?:https?:)?//[^/]+(.*)$", 1))
+             .when(F.col("plain").startswith("/"), F.col("plain")).otherwise(F.concat(folder, F.col("plain"))))
+    known = pages.select(url_host().alias("host"), _folded(url_path()).alias("path")).distinct()
+    there = links.select("page_id", "target", host.alias("host"), _folded(path).alias("path")).join(known.select("host").distinct(), "host", "left_semi")
+    return there.join(known, ["host", "path"], "left_anti").select("page_id", "target", F.col("target").startswith("/").alias("is_absolute"))
+
+
+def _folded(path: F.Column) -> F.Column:
+    """A path without . and .. segments; a last empty segment stays (it names a folder)."""
+    none = F.array().cast("array<string>")
+    parts = F.aggregate(F.split(F.regexp_replace(path, "^/", ""), "/"), none, lambda acc, x: F.when(x == ".", acc).when(
+        x == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(F.concat(acc, F.array(x))))
+    return F.concat(F.lit("/"), F.array_join(parts, "/"))
 
 
 def sequence_check(df: DataFrame, group: str, seq: str, start: int = 0) -> DataFrame:

@@ -17,16 +17,12 @@ from caseload.operators.joins import null_safe_join
 
 
 def value_prefix(df: DataFrame, value: str, weights: dict[str, Column], *, by: list[str] | None = None,
-                 n_buckets: int = 256, bounds_by: list[str] | None = None) -> DataFrame:
-    """``bounds_by`` (a subset of ``by``) shares one set of bucket bounds across groups that
-    hold the same values, e.g. bootstrap replicates of the same scores."""
-    by = list(by or [])
-    bb = by if bounds_by is None else list(bounds_by)
+                 n_buckets: int = 256) -> DataFrame:
+    by = bb = list(by or [])
     d = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(
         *[F.sum(w).alias(n) for n, w in weights.items()])
     qs = [i / n_buckets for i in range(1, n_buckets)]
-    src = d if bb == by else d.select(*bb, value).distinct()
-    bounds = src.groupBy(*bb).agg(F.percentile_approx(value, qs, 10000).alias("_bounds"))
+    bounds = d.groupBy(*bb).agg(F.percentile_approx(value, qs, 10000).alias("_bounds"))
     d = (null_safe_join(d, bounds, bb, "left", broadcast_right=True) if bb else d.crossJoin(F.broadcast(bounds)))
     d = d.withColumn("_bucket", F.size(F.filter(F.coalesce("_bounds", F.array().cast("array<double>")),
                                                lambda b: b < F.col(value)))).drop("_bounds")
@@ -41,6 +37,31 @@ def value_prefix(df: DataFrame, value: str, weights: dict[str, Column], *, by: l
                       for n in weights])
 
 
+def cell_medians(df: DataFrame, cells: list[str], columns: list[str], buckets: int = 64) -> DataFrame:
+    """Exact medians of ``columns`` in every cell (one row per cell, NULL cells included), no cell in one task.
+
+    Distinct values are counted with partial sums and split by approximate bounds into ``buckets`` a cell;
+    bucket totals tell which one or two buckets hold the middle ranks, and only those are ordered."""
+    long = df.select(*cells, F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in columns])).alias("x"))
+    counts = long.where(F.col("x.v").isNotNull()).groupBy(*cells, F.col("x.c").alias("c"), F.col("x.v").alias("v")).agg(F.count("*").alias("n"))
+    keys = [*cells, "c"]
+    bounds = counts.groupBy(*keys).agg(F.percentile_approx("v", [i / buckets for i in range(1, buckets)], 1000).alias("bounds"))
+    placed = null_safe_join(counts, bounds, keys).withColumn("bucket", F.size(F.filter("bounds", lambda b: b < F.col("v")))).drop("bounds")
+    totals = placed.groupBy(*keys, "bucket").agg(F.sum("n").alias("held"))  # at most ``buckets`` rows a cell and column
+    order = Window.partitionBy(*keys)
+    before = order.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    ranks = totals.select(*keys, "bucket", "held", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("offset"), F.sum("held").over(order).alias("size"))
+    low, high = F.floor((F.col("size") - 1) / 2), F.ceil((F.col("size") - 1) / 2)
+    middle = ranks.select(*keys, "bucket", "held", "offset", low.alias("low"), high.alias("high")).where(
+        (F.col("offset") <= F.col("high")) & (F.col("offset") + F.col("held") > F.col("low"))).drop("held")
+    inside = Window.partitionBy(*keys, "bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = null_safe_join(placed, middle, [*keys, "bucket"], "inner").withColumn("upto", F.col("offset") + F.sum("n").over(inside))
+    holds = lambda rank: (F.col(rank) < F.col("upto")) & (F.col(rank) >= F.col("upto") - F.col("n"))
+    found = upto.groupBy(*keys).agg(F.max(F.when(holds("low"), F.col("v"))).alias("a"), F.max(F.when(holds("high"), F.col("v"))).alias("b"))
+    wide = found.groupBy(*cells).agg(*[F.max(F.when(F.col("c") == c, (F.col("a") + F.col("b")) / 2)).alias(f"median_{c}") for c in columns])
+    return null_safe_join(df.select(*cells).distinct(), wide, cells, "left")
+
+
 def auc_ap(df: DataFrame, label: str, score: str, by: list[str] | None = None) -> DataFrame:
     """Exact ROC-AUC (ties half credit) and average precision (step sum over thresholds)."""
     by = list(by or [])

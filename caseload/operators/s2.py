@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from caseload.config import DEFAULT_CALENDAR, S2_HISTORY_SIGNALS, S2Config, SplitCalendar
 from caseload.functions.exprs import clip
 from caseload.operators.joins import null_safe_join
+from caseload.operators.ranking import cell_medians
 from caseload.sources.contracts import PEER_INPUT_COLUMNS, require_columns
 
 STRATEGIES = ("channel", "company_division", "hybrid")
@@ -34,11 +35,12 @@ def masks(df: DataFrame, cal: SplitCalendar = DEFAULT_CALENDAR) -> DataFrame:
 
 def peer_residuals(df: DataFrame, group_col: str = "company_division_peer_public_id") -> DataFrame:
     """Value - exact median within (month, peer group), clipped +-10, plus non-null count."""
-    cells = df.groupBy("transaction_month", group_col).agg(
-        F.median("net_revenue_vs_history_z").alias("_med_spend"),
-        F.median("order_count_vs_history_z").alias("_med_order"),
-        F.count("net_revenue_vs_history_z").alias("cd_group_count"))
-    j = null_safe_join(df, cells, ["transaction_month", group_col], broadcast_right=True)
+    keys = ["transaction_month", group_col]
+    counts = df.groupBy(*keys).agg(F.count("net_revenue_vs_history_z").alias("cd_group_count"))
+    medians = cell_medians(df, keys, ["net_revenue_vs_history_z", "order_count_vs_history_z"])
+    cells = null_safe_join(counts, medians, keys, "left").withColumnsRenamed(
+        {"median_net_revenue_vs_history_z": "_med_spend", "median_order_count_vs_history_z": "_med_order"})
+    j = null_safe_join(df, cells, keys)
     return j.select(
         *df.columns,
         clip(F.col("net_revenue_vs_history_z") - F.col("_med_spend"), -10, 10).alias("cd_spend_residual"),

@@ -11,8 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseload.operators.clean import SPARSE_FLAGS
+from caseload.sources.contracts import PEER_INPUT_COLUMNS
 
-NUMERIC = ("net_revenue_vs_history_z", "order_count_vs_history_z", "net_revenue_vs_peer_z", "baseline_anomaly_score")
+# the 14 numeric columns of the contract, and for each a hex digit that no other defect uses
+NUMERIC = ("company_division_peer_customer_count", *PEER_INPUT_COLUMNS[8:])
+DIGITS = (4, 5, 6, 7, 9, *range(22, 31))
 
 
 def dirty_panel(scored: DataFrame) -> DataFrame:
@@ -24,8 +27,8 @@ def dirty_panel(scored: DataFrame) -> DataFrame:
         F.conv(F.substring("_k", 10, 12), 16, 10).cast("bigint").alias("ingest_seq"),
         *[F.when(F.substring("_k", 3, 1) == "2", None).otherwise(F.col(c)).alias(c) for c in SPARSE_FLAGS],
         F.when(F.substring("_k", 3, 1) == "3", None).otherwise(F.col("zero_order_month_flag")).alias("zero_order_month_flag"),
-        *[F.when(F.substring("_k", 4 + i, 1) == "4", F.lit("NaN")).when(F.substring("_k", 4 + i, 1) == "5", F.lit("n/a"))
-           .otherwise(F.col(c).cast("string")).alias(c) for i, c in enumerate(NUMERIC)],
+        *[F.when(F.substring("_k", i, 1) == "4", F.lit("NaN")).when(F.substring("_k", i, 1) == "5", F.lit("n/a"))
+           .otherwise(F.col(c).cast("string")).alias(c) for i, c in zip(DIGITS, NUMERIC)],
         (F.substring("_k", 8, 1) == "e").alias("_dup"))
     dup = base.where("_dup").withColumn("ingest_seq", F.col("ingest_seq") + 1).withColumn(
         "order_count_vs_history_z", F.lit("n/a"))

@@ -8,6 +8,7 @@ not generated from the Spark plans.
 from __future__ import annotations
 
 from caseload.config import DEFAULT_CALENDAR as CAL
+from caseload.sources.contracts import PEER_INPUT_COLUMNS
 
 D = CAL.sql_date
 CTES: dict[str, tuple[str, tuple[str, ...]]] = {}
@@ -34,7 +35,7 @@ def with_ctes(final_sql: str, *names: str) -> str:
         visit(n)
     if not order:
         return final_sql
-    body = ",\n".join(f"{n} AS (\n{CTES[n][0]}\n)" for n in order)
+    body = ",\n".join(f"{n} AS MATERIALIZED (\n{CTES[n][0]}\n)" for n in order)
     return f"WITH {body}\n{final_sql}"
 
 
@@ -43,8 +44,7 @@ cte("orders_m")(f"""
   SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS order_date,
          CAST(date_trunc('month', o_orderdate) AS DATE) AS transaction_month
   FROM orders
-  WHERE o_custkey IS NOT NULL AND o_orderdate IS NOT NULL
-    AND CAST(date_trunc('month', o_orderdate) AS DATE) <= {D('panel_end')}""")
+  WHERE o_custkey IS NOT NULL AND o_orderdate IS NOT NULL""")
 cte("order_month", ("orders_m",))("""
   SELECT o_custkey, transaction_month, count(*) AS order_count,
          count(DISTINCT order_date) AS active_order_days
@@ -92,9 +92,10 @@ cte("spine", ("order_month",))(f"""
   SELECT o_custkey, first_observed_month, CAST(m AS DATE) AS transaction_month
   FROM (SELECT o_custkey, first_observed_month,
                unnest(generate_series(CAST(first_observed_month AS TIMESTAMP),
-                                      CAST({D('panel_end')} AS TIMESTAMP), INTERVAL 1 MONTH)) AS m
+                                      CAST(panel_end AS TIMESTAMP), INTERVAL 1 MONTH)) AS m
         FROM (SELECT o_custkey, min(transaction_month) AS first_observed_month
-              FROM order_month GROUP BY o_custkey) f) s""")
+              FROM order_month GROUP BY o_custkey) f
+        CROSS JOIN (SELECT max(transaction_month) AS panel_end FROM order_month) e) s""")
 cte("facts", ("spine", "order_month", "line_month", "mix_shift"))("""
   SELECT CAST(s.o_custkey AS VARCHAR) AS customer_public_id, s.o_custkey, s.transaction_month,
          s.first_observed_month,
@@ -461,7 +462,8 @@ def _h(pos: int) -> str:
     return f"substr(k, {pos}, 1)"
 
 
-_NUM = ("net_revenue_vs_history_z", "order_count_vs_history_z", "net_revenue_vs_peer_z", "baseline_anomaly_score")
+_NUM = ("company_division_peer_customer_count", *PEER_INPUT_COLUMNS[8:])
+_NUM_AT = (4, 5, 6, 7, 9, *range(22, 31))  # hex digits that no other defect uses
 _FLG = ("sparse_history_flag", "sparse_peer_group_flag", "sparse_company_division_peer_group_flag")
 cte("dirty0", ("scored",))(f"""
   SELECT CASE WHEN {_h(1)} = '0' THEN NULL ELSE customer_public_id END AS customer_public_id,
@@ -469,7 +471,7 @@ cte("dirty0", ("scored",))(f"""
          ('0x' || substr(k, 10, 12))::BIGINT AS ingest_seq,
          {", ".join(f"CASE WHEN {_h(3)} = '2' THEN NULL ELSE {c} END AS {c}" for c in _FLG)},
          CASE WHEN {_h(3)} = '3' THEN NULL ELSE zero_order_month_flag END AS zero_order_month_flag,
-         {", ".join(f"CASE WHEN {_h(4 + i)} = '4' THEN 'NaN' WHEN {_h(4 + i)} = '5' THEN 'n/a' ELSE CAST({c} AS VARCHAR) END AS {c}" for i, c in enumerate(_NUM))},
+         {", ".join(f"CASE WHEN {_h(i)} = '4' THEN 'NaN' WHEN {_h(i)} = '5' THEN 'n/a' ELSE CAST({c} AS VARCHAR) END AS {c}" for i, c in zip(_NUM_AT, _NUM))},
          {_h(8)} = 'e' AS dup
   FROM (SELECT *, {_K} AS k FROM scored) s""")
 cte("dirty", ("dirty0",))("""

@@ -6,7 +6,7 @@ Plan shape (one big shuffle-join, then only reduced data moves):
   part attached by ``partkey`` (broadcast only when AQE measures it under the threshold);
 * partial (map-side) aggregation to (customer, month, part), then to (customer, month):
   a customer holding a third of all lines is reduced before any shuffle on customer;
-* spine = months from each customer's first order month to the panel end (``sequence``
+* spine = months from each customer's first order month to the last order month of the data (``sequence``
   + ``explode``), left-joined to the monthly facts;
 * per-customer windows over at most (panel months) rows each -- bounded partitions.
 """
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from caseload.config import PanelConfig
 from caseload.functions.exprs import month_number, month_start, safe_div
 from caseload.operators.joins import null_safe_join
+from caseload.operators.ranking import cell_medians
 from caseload.sources.contracts import ENGINEERED_COLUMNS
 from caseload.sources.tables import read_table
 
@@ -37,9 +38,7 @@ def _orders(spark, sf_dir) -> DataFrame:
 def typed_lines(spark: SparkSession, sf_dir: str, cfg: PanelConfig = PanelConfig()) -> DataFrame:
     """Order lines joined to their order's customer/month and part type, aggregated to the
     (customer, month, part type) grain."""
-    end = F.lit(cfg.calendar.panel_end)
-    orders = _orders(spark, sf_dir).where(F.col("transaction_month") <= end)
-
+    orders = _orders(spark, sf_dir)
     li = read_table(spark, sf_dir, "lineitem",
                     ["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount",
                      "l_returnflag", "l_linestatus"])
@@ -76,8 +75,7 @@ def monthly_facts(spark: SparkSession, sf_dir: str, cfg: PanelConfig = PanelConf
     ``typed`` is the (customer, month, part type) line aggregate; pass the materialized stage
     so the big lines join runs once (it feeds both the monthly totals and the mix shift).
     """
-    end = F.lit(cfg.calendar.panel_end)
-    orders = _orders(spark, sf_dir).where(F.col("transaction_month") <= end)
+    orders = _orders(spark, sf_dir)
     order_month = orders.groupBy("o_custkey", "transaction_month").agg(
         F.count(F.lit(1)).alias("order_count"),
         F.countDistinct("order_date").alias("active_order_days"))
@@ -98,9 +96,10 @@ def monthly_facts(spark: SparkSession, sf_dir: str, cfg: PanelConfig = PanelConf
     shift = category_mix_shift(mix, line_month)
 
     first = order_month.groupBy("o_custkey").agg(F.min("transaction_month").alias("first_observed_month"))
-    spine = first.select(
+    last = order_month.agg(F.max("transaction_month").alias("panel_end"))  # one row: the panel ends with the data
+    spine = first.crossJoin(F.broadcast(last)).select(
         "o_custkey", "first_observed_month",
-        F.explode(F.sequence("first_observed_month", end, F.expr("INTERVAL 1 MONTH")))
+        F.explode(F.sequence("first_observed_month", "panel_end", F.expr("INTERVAL 1 MONTH")))
          .alias("transaction_month"))
     keys = ["o_custkey", "transaction_month"]
     panel = (spine.join(order_month, keys, "left").join(line_month, keys, "left")
@@ -192,18 +191,20 @@ def scored_panel(history: DataFrame, cfg: PanelConfig = PanelConfig()) -> DataFr
     """The 21-column scored panel from the history stage: peer z, peer residuals, flags.
 
     Peer cells are (month, channel) and (month, company/division): grouped aggregates with
-    partial aggregation, broadcast back (months x cells rows, a dimension-bounded size)."""
+    partial aggregation and distributed medians, joined back by cell (Spark sizes the join)."""
     df = history
     ch = df.groupBy("transaction_month", "channel_peer").agg(
         F.avg("_rev_l").alias("_ch_mean"), F.stddev_samp("_rev_l").alias("_ch_sd"),
-        F.count(F.lit(1)).alias("_ch_rows"),
-        F.median("net_revenue_vs_history_z").alias("_ch_med_rev_z"),
-        F.median("order_count_vs_history_z").alias("_ch_med_oc_z"))
+        F.count(F.lit(1)).alias("_ch_rows"))
+    cells = ["transaction_month", "channel_peer"]
+    medians = cell_medians(df, cells, ["net_revenue_vs_history_z", "order_count_vs_history_z"])
+    ch = null_safe_join(ch, medians, cells, "left").withColumnsRenamed(
+        {"median_net_revenue_vs_history_z": "_ch_med_rev_z", "median_order_count_vs_history_z": "_ch_med_oc_z"})
     cd = df.groupBy("transaction_month", "company_division_peer_public_id").agg(
         F.avg("_ov_l").alias("_cd_mean"), F.stddev_samp("_ov_l").alias("_cd_sd"),
         F.count(F.lit(1)).alias("_cd_rows"))
-    df = null_safe_join(df, ch, ["transaction_month", "channel_peer"], broadcast_right=True)
-    df = null_safe_join(df, cd, ["transaction_month", "company_division_peer_public_id"], broadcast_right=True)
+    df = null_safe_join(df, ch, cells)
+    df = null_safe_join(df, cd, ["transaction_month", "company_division_peer_public_id"])
     hz = [F.abs(F.col(f"{m}_vs_history_z")) for m in HIST_MEASURES]
     return df.select(
         "customer_public_id", "transaction_month",
@@ -223,7 +224,3 @@ def scored_panel(history: DataFrame, cfg: PanelConfig = PanelConfig()) -> DataFr
         "net_revenue_yoy_ratio", "order_count_yoy_ratio",
         F.greatest(*hz).alias("baseline_anomaly_score"),
     )
-
-
-def month_num_col(c="transaction_month"):
-    return month_number(c)

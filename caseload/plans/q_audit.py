@@ -11,20 +11,36 @@ from caseload.plans.oracle import cte, with_ctes
 from caseload.sources.tables import read_table
 
 
+# Marks put into rows chosen by the md5 of their key, so that every token, pattern and decision occurs.
+_MARKS = [f" {t.upper()} " for t in FORBIDDEN_OUTPUT_TOKENS] + [" /home/ann/x ", r" D:\\work ", " file:///srv/x "]
+
+
+def _planted(key, text):
+    """``text`` with a mark if the first two hex digits of the key's md5 name one."""
+    digit = F.conv(F.substring(F.md5(key), 1, 2), 16, 10).cast("int")
+    return F.concat(text, F.coalesce(F.get(F.array(*[F.lit(m) for m in _MARKS]), digit), F.lit("")))
+
+
+def _planted_sql(key, text):
+    marks = "[" + ", ".join(f"'{m}'" for m in _MARKS) + "]"
+    return f"{text} || coalesce({marks}[('0x' || substr(md5({key}), 1, 2))::INT + 1], '')"
+
+
 def texts(spark, sf_dir):
     d = read_table(spark, sf_dir, "documents", ["doc_id", "text"]).select(F.lit("documents").alias("source"),
-                                                                         F.col("doc_id").alias("id"), "text")
+                                                                         F.col("doc_id").cast("string").alias("id"), "text")
     c = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "text"]).select(
-        F.lit("conversations").alias("source"), (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "text")
+        F.lit("conversations").alias("source"), F.concat_ws("/", "conv_id", "turn").alias("id"), "text")
     p = read_table(spark, sf_dir, "pages", ["page_id", "html"]).select(F.lit("pages").alias("source"),
-                                                                      F.col("page_id").alias("id"), F.col("html").alias("text"))
-    return d.unionByName(c).unionByName(p)
+                                                                      F.col("page_id").cast("string").alias("id"), F.col("html").alias("text"))
+    return d.unionByName(c).unionByName(p).withColumn("text", _planted(F.concat_ws("|", "source", "id"), F.col("text")))
 
 
-cte("texts")("""
-  SELECT 'documents' AS source, doc_id AS id, text FROM documents
-  UNION ALL SELECT 'conversations', conv_id * 1000 + turn, text FROM conversations
-  UNION ALL SELECT 'pages', page_id, html FROM pages""")
+cte("texts")(f"""
+  SELECT source, id, {_planted_sql("source || '|' || id", "text")} AS text FROM (
+    SELECT 'documents' AS source, CAST(doc_id AS VARCHAR) AS id, text FROM documents
+    UNION ALL SELECT 'conversations', conv_id || '/' || turn, text FROM conversations
+    UNION ALL SELECT 'pages', CAST(page_id AS VARCHAR), html FROM pages) t""")
 
 
 def _in(values):
@@ -61,7 +77,7 @@ LEFT JOIN (SELECT source, pattern_id, count(DISTINCT id) AS n FROM texts CROSS J
 def a02_local_path_scan(spark, sf_dir):
     """A2: machine-local path pattern findings per source x pattern."""
     t = texts(spark, sf_dir)
-    return AU.findings_summary(t, AU.pattern_findings(t), "pattern_id", list(range(len(LOCAL_PATH_PATTERNS))))
+    return AU.findings_summary(t, AU.pattern_findings(t, LOCAL_PATH_PATTERNS), "pattern_id", list(range(len(LOCAL_PATH_PATTERNS))))
 
 
 @query("a03_json_cell_scan", """
@@ -90,16 +106,21 @@ def _decision_sql(path):
 
 
 _DEC, _SUF = _decision_sql("path")
+# ends put on paths chosen by the md5 of the page id: every decision occurs
+_ENDS = ["/notes.md", "/run.py", "/__pycache__/m.py", "/.DS_Store", "/data.parquet", "/m.pyo", "/.cache/x.md", "/readme.txt"]
+_ENDS_SQL = f"coalesce({_ENDS}[('0x' || substr(md5(CAST(page_id AS VARCHAR)), 1, 1))::INT + 1], '')"
 
 
 @query("a04_inventory_filter", f"""
 SELECT suffix, decision, decision = 'allowed' AS allowed, count(*) AS paths FROM (
   SELECT {_SUF} AS suffix, {_DEC} AS decision
-  FROM (SELECT regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1) AS path FROM pages) p) d
+  FROM (SELECT regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1) || {_ENDS_SQL} AS path FROM pages) p) d
 GROUP BY 1, 2, 3""")
 def a04_inventory_filter(spark, sf_dir):
     """A4: allow/deny decisions of the page paths by suffix, directory part and name."""
-    p = read_table(spark, sf_dir, "pages", ["url"]).select(AU.url_path().alias("path"))
+    digit = F.conv(F.substring(F.md5(F.col("page_id").cast("string")), 1, 1), 16, 10).cast("int")
+    end = F.coalesce(F.get(F.array(*[F.lit(x) for x in _ENDS]), digit), F.lit(""))
+    p = read_table(spark, sf_dir, "pages", ["page_id", "url"]).select(F.concat(AU.url_path(), end).alias("path"))
     d = AU.inventory_decision(p)
     return d.groupBy("suffix", "decision", "allowed").agg(F.count(F.lit(1)).alias("paths"))
 
@@ -122,32 +143,63 @@ def a06_content_hash_inventory(spark, sf_dir):
 
 
 @query("a07_inventory_reconciliation", """
+WITH live AS (
+  SELECT doc_id, CAST(strlen(text) AS BIGINT) AS bytes, sha256(text) AS sha256 FROM documents
+), recorded AS (
+  SELECT CASE WHEN h = '2' THEN -1 - doc_id ELSE doc_id END AS doc_id, CASE h WHEN '0' THEN bytes + 1 WHEN '3' THEN NULL ELSE bytes END AS bytes,
+         CASE h WHEN '1' THEN sha256(sha256) WHEN '3' THEN NULL ELSE sha256 END AS sha256
+  FROM (SELECT l.*, substr(md5(CAST(l.doc_id AS VARCHAR)), 1, 1) AS h FROM live l WHERE doc_id IN (SELECT doc_id FROM labels)) x
+)
 SELECT status, count(*) AS items FROM (
-  SELECT CASE WHEN l.doc_id IS NULL THEN 'missing' WHEN m.doc_id IS NULL THEN 'extra'
-              WHEN m.bytes IS DISTINCT FROM l.bytes THEN 'stale_size' ELSE 'ok' END AS status
-  FROM (SELECT d.doc_id, d.n_chars AS bytes FROM labels x JOIN documents d USING (doc_id)) m
-  FULL JOIN (SELECT doc_id, CAST(length(text) AS BIGINT) AS bytes FROM documents) l USING (doc_id)) s
+  SELECT CASE WHEN l.doc_id IS NULL THEN 'missing' WHEN m.doc_id IS NULL THEN 'extra' WHEN m.bytes <> l.bytes THEN 'stale_size'
+              WHEN m.sha256 <> l.sha256 THEN 'stale_hash' ELSE 'ok' END AS status
+  FROM recorded m FULL JOIN live l ON m.doc_id = l.doc_id) s
 GROUP BY status""")
 def a07_inventory_reconciliation(spark, sf_dir):
-    """Recorded inventory (labelled documents with their declared size) reconciled with
-    the live documents: missing / extra / stale size / stale hash / ok counts."""
-    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "n_chars"])
-    lab = read_table(spark, sf_dir, "labels", ["doc_id"])
-    manifest = lab.join(docs, "doc_id").select("doc_id", F.col("n_chars").alias("bytes"), F.lit(None).cast("string").alias("sha256"))
-    live = docs.select("doc_id", F.char_length("text").cast("bigint").alias("bytes"), F.lit(None).cast("string").alias("sha256"))
-    return AU.reconcile(manifest, live, "doc_id").groupBy("status").agg(F.count(F.lit(1)).alias("items"))
-
-
-@query("a08_broken_links", """
-SELECT page_id, target, starts_with(target, '/') AS is_absolute FROM (
-  SELECT page_id, target, string_split(target, '#')[1] AS target_path FROM (
-    SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS target FROM pages) l
-  WHERE NOT (starts_with(target, 'http://') OR starts_with(target, 'https://') OR starts_with(target, '#')
-             OR starts_with(target, 'mailto:'))) x
-WHERE target_path NOT IN (SELECT DISTINCT regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1) FROM pages)""")
+    """A recorded inventory of the labelled documents, with sizes, hashes and ids spoilt in rows chosen by
+    md5, reconciled with the live documents: missing / extra / stale size / stale hash / ok counts."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    live = AU.content_inventory(docs, "doc_id", "text").select("doc_id", "bytes", "sha256")
+    h = F.substring(F.md5(F.col("doc_id").cast("string")), 1, 1)
+    recorded = live.join(read_table(spark, sf_dir, "labels", ["doc_id"]).distinct(), "doc_id", "left_semi").select(
+        F.when(h == "2", -1 - F.col("doc_id")).otherwise(F.col("doc_id")).alias("doc_id"),
+        F.when(h == "0", F.col("bytes") + 1).when(h != "3", F.col("bytes")).alias("bytes"),
+        F.when(h == "1", F.sha2("sha256", 256)).when(h != "3", F.col("sha256")).alias("sha256"))
+    return AU.reconcile(recorded, live, "doc_id").groupBy("status").agg(F.count(F.lit(1)).alias("items"))
+
+
+_HOST, _PATH = "lower(regexp_extract(url, '^[a-z]+://([^/?#]+)', 1))", "regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1)"
+
+
+@query("a08_broken_links", f"""
+WITH page AS (
+  SELECT page_id, {_HOST} AS host, {_PATH} AS path, substr(md5(CAST(page_id AS VARCHAR)), 1, 1) AS h, html FROM pages
+), link AS (
+  SELECT page_id, host, path, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS target FROM page
+  UNION ALL SELECT page_id, host, path, path FROM page WHERE h = '0'
+  UNION ALL SELECT page_id, host, path, string_split(path, '/')[-1] FROM page WHERE h = '1'
+  UNION ALL SELECT page_id, host, path, 'no-such-page.html' FROM page WHERE h = '2'
+  UNION ALL SELECT page_id, host, path, 'http://' || host || path || '?again=1' FROM page WHERE h = '3'
+), plain AS (
+  SELECT page_id, target, host, path, regexp_extract(target, '^([^?#]*)', 1) AS p FROM link
+  WHERE target NOT LIKE 'mailto:%' AND target NOT LIKE 'javascript:%' AND target NOT LIKE 'tel:%' AND target NOT LIKE 'data:%'
+), resolved AS (
+  SELECT page_id, target, CASE WHEN p LIKE 'http%://%' THEN lower(regexp_extract(p, '^https?://([^/]+)', 1)) ELSE host END AS host,
+         CASE WHEN p LIKE 'http%://%' THEN regexp_extract(p, '^https?://[^/]+(.*)$', 1) WHEN p LIKE '/%' THEN p
+              ELSE regexp_extract(path, '^(.*/)', 1) || p END AS path
+  FROM plain WHERE p <> ''
+)
+SELECT page_id, target, starts_with(target, '/') AS is_absolute FROM resolved r
+WHERE host IN (SELECT host FROM page)
+  AND NOT EXISTS (SELECT 1 FROM page k WHERE k.host = r.host AND k.path = r.path)""")
 def a08_broken_links(spark, sf_dir):
-    """Broken local link report over the page HTML (absolute targets flagged)."""
-    return AU.broken_links(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
+    """Broken links to the table's own hosts; pages chosen by md5 get links to themselves (from the root, from
+    their folder, with host and query) and to a page that does not exist."""
+    pages = read_table(spark, sf_dir, "pages", ["page_id", "url", "html"])
+    h = F.substring(F.md5(F.col("page_id").cast("string")), 1, 1)
+    own = (F.when(h == "0", AU.url_path()).when(h == "1", F.element_at(F.split(AU.url_path(), "/"), -1)).when(h == "2", "no-such-page.html")
+            .when(h == "3", F.concat(F.lit("http://"), AU.url_host(), AU.url_path(), F.lit("?again=1"))))
+    return AU.broken_links(pages.withColumn("html", F.concat("html", F.coalesce(F.concat(F.lit('<a href="'), own, F.lit('">')), F.lit("")))))
 
 
 @query("a09_sequence_check", """

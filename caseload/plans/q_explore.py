@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from caseload.config import CAPACITIES, PILOT_TARGETS, capacities_for
+from caseload.config import CAPACITIES, PILOT_TARGETS
 from caseload.operators import explore as X
 from caseload.operators import metrics as M
 from caseload.plans import workflows as W

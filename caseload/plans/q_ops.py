@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from caseload.config import CAPACITIES, CASE_TOKEN_PREFIX, PILOT_TARGETS, capacities_for
+from caseload.config import CAPACITIES, CASE_TOKEN_PREFIX, PILOT_TARGETS
 from caseload.operators import episodes as EP
 from caseload.operators import pilot as PL
 from caseload.operators.queues import jaccard
@@ -27,7 +27,7 @@ HFLAGS = [f"hurdle_top_{k}" for k in CAPACITIES]
     f"FROM {HQ} WHERE hurdle_top_{max(CAPACITIES)}", HQ))
 def q03_q04_waterfill_queue(spark, sf_dir):
     """Q3/Q4: direction-fair monthly water-fill queue (rows selected at the largest capacity)."""
-    caps = capacities_for(sf_dir)
+    caps = CAPACITIES
     q = W.hurdle_queue(spark, sf_dir)
     return q.where(F.col(f"hurdle_top_{max(caps)}")).select(
         "customer_public_id", "target_month", "hurdle_direction", "hurdle_surprisal_score",
@@ -43,7 +43,7 @@ _MG_COLS = ["customer_public_id", "transaction_month", "target_month", "hurdle_d
     f"{R('channel_s2_score')}, {R('hurdle_surprisal_score')}, channel_top_{CAP}, hurdle_top_{CAP} FROM {MG}", MG))
 def q05_lens_join(spark, sf_dir):
     """Q5: validated one-to-one inner join of both lenses (month = target month)."""
-    cap = capacities_for(sf_dir)[1]
+    cap = CAPACITIES[1]
     return W.merged_lenses(spark, sf_dir).select(*_MG_COLS[:6], f"channel_top_{cap}", f"hurdle_top_{cap}")
 
 
@@ -61,7 +61,7 @@ def q08_lens_overlap(spark, sf_dir):
     """Q6/Q8: lens overlap per capacity (Jaccard, rows per lens, shared rows)."""
     m = W.merged_lenses(spark, sf_dir)
     out = None
-    for k in capacities_for(sf_dir):
+    for k in CAPACITIES:
         a, b = F.col(f"channel_top_{k}"), F.col(f"hurdle_top_{k}")
         cnt = lambda c: F.sum(F.when(c, 1).otherwise(0)).cast("bigint")
         row = m.agg(F.lit(k).cast("bigint").alias("capacity_per_month"), jaccard(a, b).alias("channel_vs_hurdle_jaccard"),
@@ -86,7 +86,7 @@ FROM {MG} GROUP BY transaction_month"""
 def q09_set_algebra_strata(spark, sf_dir):
     """Q9: agreement / only / disagreement / background flag algebra, counted per month."""
     m = W.merged_lenses(spark, sf_dir)
-    masks = PL.strata_masks(m, capacities_for(sf_dir)[1])
+    masks = PL.strata_masks(m, CAPACITIES[1])
     return m.groupBy("transaction_month").agg(
         *[F.sum(F.when(v, 1).otherwise(0)).cast("bigint").alias(k) for k, v in masks.items()])
 
@@ -148,7 +148,7 @@ _KEY_COLS = ["case_id", "customer_public_id", "transaction_month", "sampling_str
 @query("p02_p05_pilot_allocation", with_ctes(f"SELECT {', '.join(_KEY_COLS)} FROM {ALLOC}", ALLOC))
 def p02_p05_pilot_allocation(spark, sf_dir):
     """P1-P5 + Q12: stratified pilot with sequential customer exclusion, fill, tokens, probabilities."""
-    return PL.allocation_key(W.pilot(spark, sf_dir), capacities_for(sf_dir)[1])
+    return PL.allocation_key(W.pilot(spark, sf_dir), CAPACITIES[1])
 
 
 _BLIND_SQL = with_ctes(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from caseload.config import CADENCE_FEATURES, capacities_for, CAPACITIES
+from caseload.config import CADENCE_FEATURES, CAPACITIES
 from caseload.operators.cadence import TARGETS
 from caseload.operators.episodes import episode_table
 from caseload.operators.queues import attach_topk_flags
@@ -99,7 +99,7 @@ def cadence_gap_flags(spark, sf_dir, capacity: int):
 
 
 def flagship(spark, sf_dir):
-    cap = capacities_for(sf_dir)[1]
+    cap = CAPACITIES[1]
     return episode_table(cadence_gap_flags(spark, sf_dir, cap), "cadence_gap")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from caseload.config import CAPACITIES, capacities_for
+from caseload.config import CAPACITIES
 from caseload.operators import metrics as M
 from caseload.operators.queues import jaccard, monthly_topk_ranks
 from caseload.operators.ranking import spearman
@@ -115,7 +115,7 @@ def s13_peer_forward(spark, sf_dir):
 def q01_topk_queue(spark, sf_dir):
     """Q1: deterministic monthly top-K queue (score desc, NULL last, customer asc)."""
     f = pf(spark, sf_dir)
-    caps = capacities_for(sf_dir)
+    caps = CAPACITIES
     r = monthly_topk_ranks(f, "channel_s2_score", max(caps), eligible=F.col("eligible") & F.col("forward"))
     return r.join(f.select(*KEYS, "channel_s2_score"), list(KEYS))
 
@@ -131,7 +131,7 @@ _Q2_SQL = " UNION ALL ".join(
 def q02_flag_matrix(spark, sf_dir):
     """Q2: flagged rows and months for every strategy x capacity."""
     f = pf(spark, sf_dir)
-    caps = capacities_for(sf_dir)
+    caps = CAPACITIES
     st = F.explode(F.array(*[F.struct(F.lit(s).alias("strategy"), F.lit(k).cast("bigint").alias("capacity_per_month"),
                                       F.col(f"{s}_top_{k}").alias("flag")) for s in STRATEGIES for k in caps]))
     return f.select(KEYS[1], st.alias("x")).select(KEYS[1], "x.*").groupBy("strategy", "capacity_per_month").agg(
@@ -157,7 +157,7 @@ def _q7_sql():
 def q07_capacity_overlap(spark, sf_dir):
     """Q6/Q7: pooled Jaccard, changed rows and mean monthly Jaccard per capacity x comparison."""
     f = pf(spark, sf_dir)
-    caps = capacities_for(sf_dir)
+    caps = CAPACITIES
     out = None
     for k in caps:
         for s in ("company_division", "hybrid"):
@@ -261,12 +261,12 @@ SELECT {R('m.company_division_s2_score', 'max_score')},
           (SELECT quantile_cont(company_division_s2_score, 0.99) FROM {PF} WHERE forward))
          AS top_one_percent_sparse_company_division_peer_cell_rate
 FROM (SELECT * FROM {PF} WHERE forward
-      ORDER BY company_division_s2_score DESC NULLS LAST, transaction_month, customer_public_id LIMIT 1) m""", PF))
+      ORDER BY company_division_s2_score DESC NULLS LAST, customer_public_id, transaction_month LIMIT 1) m""", PF))
 def e15_tail_diagnostic(spark, sf_dir):
     """The max company/division row (key tie-break) and the top-1 % rows' sparse rate."""
     f = pf(spark, sf_dir).where("forward")
-    # tie-break: earliest month, then smallest customer id
-    top = f.orderBy(F.desc_nulls_last("company_division_s2_score"), KEYS[1], KEYS[0]).limit(1).select(
+    # tie-break: smallest customer id, then earliest month
+    top = f.orderBy(F.desc_nulls_last("company_division_s2_score"), KEYS[0], KEYS[1]).limit(1).select(
         F.col("company_division_s2_score").alias("max_score"),
         (~F.col("cd_usable")).alias("max_score_uses_sparse_company_division_peer_cell"),
         F.col("company_division_peer_customer_count").alias("max_score_company_division_peer_customer_count"),

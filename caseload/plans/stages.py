@@ -8,7 +8,6 @@ sidecar files. The folder is ``spark.checkpoint.dir`` (shared storage on a clust
 from __future__ import annotations
 
 import hashlib
-import os
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,21 +18,23 @@ _MEMO: dict[tuple, DataFrame] = {}
 _LOCK = threading.RLock()  # queries may be driven from several threads; build each stage once
 
 
-def _fingerprint(sf_dir: str) -> str:
-    parts = [os.path.abspath(sf_dir)]
-    try:
-        for name in sorted(os.listdir(sf_dir)):
-            st = os.stat(os.path.join(sf_dir, name))
-            parts.append(f"{name}:{st.st_size}:{int(st.st_mtime)}")
-    except OSError:
-        pass
-    return hashlib.sha1("|".join(parts).encode()).hexdigest()[:12]
+def settings_key(*settings) -> str:
+    """Short digest of the settings a stage depends on, for its name."""
+    return hashlib.sha1(repr(settings).encode()).hexdigest()[:10]
+
+
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Digest of the input folder's listing, through the file system that Spark reads it with."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = [f"{s.getPath()}:{s.getLen()}:{s.getModificationTime()}" for s in fs.listStatus(path)]
+    return hashlib.sha1("|".join(sorted(files)).encode()).hexdigest()[:12]
 
 
 def materialized(spark: SparkSession, name: str, sf_dir: str, build, partition_by=None) -> DataFrame:
     """Build ``name`` for ``sf_dir`` once per application, store it as parquet, return a scan."""
     app = spark.sparkContext.applicationId
-    key = (app, name, os.path.abspath(sf_dir))
+    key = (app, name, sf_dir, _fingerprint(spark, sf_dir))
     with _LOCK:
         hit = _MEMO.get(key)
         if hit is not None:
@@ -43,7 +44,7 @@ def materialized(spark: SparkSession, name: str, sf_dir: str, build, partition_b
 
 def _build(spark, name, sf_dir, build, partition_by, key, app) -> DataFrame:
     root = ensure_checkpoint_dir(spark)
-    path = f"{root.rstrip('/')}/caseload-stages/{app}/{name}-{_fingerprint(sf_dir)}"
+    path = f"{root.rstrip('/')}/caseload-stages/{app}/{name}-{key[-1]}"
     writer = build().write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -56,4 +57,4 @@ def _build(spark, name, sf_dir, build, partition_by, key, app) -> DataFrame:
 def stage_path(spark: SparkSession, name: str, sf_dir: str) -> str:
     """A fresh path in the shared stage folder for an explicit sink."""
     root = ensure_checkpoint_dir(spark)
-    return f"{root.rstrip('/')}/caseload-sinks/{spark.sparkContext.applicationId}/{name}-{_fingerprint(sf_dir)}"
+    return f"{root.rstrip('/')}/caseload-sinks/{spark.sparkContext.applicationId}/{name}-{_fingerprint(spark, sf_dir)}"

@@ -11,11 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseload.config import CAPACITIES, DEFAULT_CALENDAR, S2Config, capacities_for
+from caseload.config import CAPACITIES, DEFAULT_CALENDAR, S2Config
 from caseload.operators.queues import attach_topk_flags
 from caseload.operators.s2 import STRATEGIES, peer_strategy_frame
 from caseload.plans import inputs as I
-from caseload.plans.stages import materialized
+from caseload.plans.stages import materialized, settings_key
 
 # The driver tables' company/division cells all exceed 5 rows at sf>=0.01, so the peer
 # strategy runs with a stricter usability threshold to exercise both fallback branches.
@@ -23,14 +23,15 @@ DRIVER_MIN_PEER_ROWS = 12
 
 
 def peer_frame(spark: SparkSession, sf_dir: str, cfg: S2Config = S2Config()) -> DataFrame:
-    caps = capacities_for(sf_dir)
+    caps = CAPACITIES
 
     def build():
         df = peer_strategy_frame(I.scored(spark, sf_dir), cfg, DRIVER_MIN_PEER_ROWS, DEFAULT_CALENDAR)
         for s in STRATEGIES:
             df = attach_topk_flags(df, f"{s}_s2_score", caps, s, eligible=F.col("eligible") & F.col("forward"))
         return df
-    return materialized(spark, "peer_frame", sf_dir, build)
+    key = settings_key(cfg, caps, DRIVER_MIN_PEER_ROWS, DEFAULT_CALENDAR)
+    return materialized(spark, f"peer_frame-{key}", sf_dir, build)
 
 
 def flag_columns(caps=CAPACITIES, strategies=STRATEGIES):
@@ -39,7 +40,7 @@ def flag_columns(caps=CAPACITIES, strategies=STRATEGIES):
 
 def peer_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lens-1 forward sidecar: keys, three scores, nine flags."""
-    caps = capacities_for(sf_dir)
+    caps = CAPACITIES
     return peer_frame(spark, sf_dir).where("forward").select(
         "customer_public_id", "transaction_month", *[f"{s}_s2_score" for s in STRATEGIES],
         *flag_columns(caps))
@@ -75,7 +76,7 @@ def hurdle_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def hurdle_queue(spark: SparkSession, sf_dir: str, pred: DataFrame | None = None) -> DataFrame:
     """Q3/Q4: monthly water-fill queues over eligible hurdle rows at every capacity."""
     from caseload.operators.queues import attach_waterfill_flags
-    caps = capacities_for(sf_dir)
+    caps = CAPACITIES
     pred = pred if pred is not None else hurdle_baseline(spark, sf_dir)
     return attach_waterfill_flags(pred, "hurdle_surprisal_score", "hurdle_direction", caps, "hurdle",
                                   eligible=F.col("hurdle_eligible"), month="target_month")
@@ -85,7 +86,7 @@ def merged_lenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q5: lens 1 forward sidecar joined one-to-one with the lens 2 queue on
     (customer, transaction_month = target_month)."""
     from caseload.operators.queues import validated_inner_join
-    caps = capacities_for(sf_dir)
+    caps = CAPACITIES
 
     def build():
         peer = peer_forward(spark, sf_dir)
@@ -111,14 +112,14 @@ def lens_flags(merged: DataFrame, cap: int) -> tuple[DataFrame, DataFrame]:
 def episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E-A1..E-A5 + Q10: episodes of both lenses at the middle capacity, stacked."""
     from caseload.operators.episodes import episode_table
-    cap = capacities_for(sf_dir)[1]
+    cap = CAPACITIES[1]
     base, hur = lens_flags(merged_lenses(spark, sf_dir), cap)
     return episode_table(base, "s2_channel").unionByName(episode_table(hur, "hurdle_cadence"))
 
 
 def pilot(spark: SparkSession, sf_dir: str) -> DataFrame:
     from caseload.operators.pilot import pilot_allocation
-    cap = capacities_for(sf_dir)[1]
+    cap = CAPACITIES[1]
     return materialized(spark, "pilot_allocation", sf_dir,
                         lambda: pilot_allocation(merged_lenses(spark, sf_dir), cap))
 
@@ -143,7 +144,9 @@ def _hurdle_models(spark, sf_dir, activity_models, boosting_params) -> dict:
     from caseload.operators import metrics as M
     from caseload.operators import models as ML
 
-    key = (spark.sparkContext.applicationId, sf_dir, id(activity_models), repr(boosting_params))
+    given = sorted((name, [(type(s).__name__, sorted((p.name, repr(v)) for p, v in s.extractParamMap().items())) for s in pipe.getStages()])
+                   for name, pipe in (activity_models or {}).items())
+    key = (spark.sparkContext.applicationId, sf_dir, settings_key(given, boosting_params))
     if key in _MODEL_CACHE:
         return _MODEL_CACHE[key]
     cal = DEFAULT_CALENDAR
@@ -190,6 +193,25 @@ def _hurdle_models(spark, sf_dir, activity_models, boosting_params) -> dict:
     return out
 
 
+def model_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forward rows with the probabilities of both candidates, the operational model and both baselines."""
+    from caseload.operators import models as ML
+    from caseload.operators.baselines import apply_baselines
+
+    def build():
+        h = hurdle_models(spark, sf_dir)
+        cad = labeled_cadence(spark, sf_dir)
+        fwd = apply_baselines(cad.where(F.col("data_split") == "forward"), cad.where(F.col("data_split") == "train"))
+        for name, model in h["models"].items():
+            fwd = ML.positive_probability(model, fwd, f"p_{name}")
+        fwd = fwd.withColumn("p_raw", F.col(f"p_{h['selected']}"))
+        fwd = ML.apply_isotonic(h["isotonic"], fwd, "p_raw", "p_isotonic")
+        fwd = fwd.withColumn("p_operational", F.col("p_isotonic" if h["use_isotonic"] else "p_raw"))
+        return fwd.select("customer_public_id", "target_month", "next_has_order", *[f"p_{n}" for n in h["models"]],
+                          "p_raw", "p_isotonic", "p_operational", "p_markov", "p_global")
+    return materialized(spark, "model_forward", sf_dir, build)
+
+
 def hurdle_model_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lens 2 forward sidecar from the fitted, gated operational model and Stage-2 models."""
     from caseload.operators import models as ML

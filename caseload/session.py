@@ -47,6 +47,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     if sc_dir.isDefined():
         current = sc_dir.get()
+    elif not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     else:
         current = tempfile.mkdtemp(prefix="caseload-ckpt-", dir=os.environ.get("CASELOAD_SCRATCH", "/tmp"))
         spark.sparkContext.setCheckpointDir(current)

@@ -102,11 +102,12 @@ def test_f8_bootstrap(spark):
 
 
 def test_f9_local_path_scan(spark):
+    from caseload.config import LOCAL_PATH_PATTERNS
     from caseload.operators.audit import pattern_findings
 
     df = spark.createDataFrame([("x", 1, "see /Users/alice/project/file.py"), ("x", 2, "see docs/readme.md")],
                                "source string, id long, text string")
-    ids = [r.id for r in pattern_findings(df).collect()]
+    ids = [r.id for r in pattern_findings(df, LOCAL_PATH_PATTERNS).collect()]
     assert ids == [1]
 
 

@@ -33,5 +33,6 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert df.count() >= 0
-    assert "episode_id" in df.columns
+    assert {"episode_id", "customer_public_id", "first_month", "last_month"} <= set(df.columns)
+    rows = df.collect()
+    assert rows and len({r.episode_id for r in rows}) == len(rows) and all(r.first_month <= r.last_month for r in rows)

@@ -8,37 +8,23 @@ from pyspark.sql import functions as F
 DIRS = ("unexpected_inactivity", "unexpected_activity", "unexpected_active_pattern")
 
 
-def iterative_waterfill(pools, k):
-    """Plain restatement of the quota loop (pools: lists ordered best-first)."""
-    selected = {g: 0 for g in DIRS}
-    remaining, active = k, list(DIRS)
-    while remaining > 0 and active:
-        quota = max(1, remaining // len(active))
-        nxt = []
-        for g in active:
-            left = pools[g] - selected[g]
-            take = min(quota, left, remaining)
-            selected[g] += take
-            remaining -= take
-            if left > take:
-                nxt.append(g)
-            if remaining == 0:
-                break
-        active = nxt
-    return selected
-
-
 def round_robin(pools, k):
     order = sorted(((r, i) for i, g in enumerate(DIRS) for r in range(1, pools[g] + 1)))
     taken = order[:k]
     return {g: sum(1 for _, i in taken if i == j) for j, g in enumerate(DIRS)}
 
 
-def test_waterfill_closed_form_matches_loop():
+def test_waterfill_meets_its_specification():
+    """All places filled while rows remain; directions with rows left over differ by at most one, earlier ones ahead."""
     for a, b, c in itertools.product(range(12), repeat=3):
         pools = dict(zip(DIRS, (a, b, c)))
         for k in range(0, 38):
-            assert iterative_waterfill(pools, k) == round_robin(pools, k), (pools, k)
+            got = round_robin(pools, k)
+            assert sum(got.values()) == min(k, a + b + c) and all(got[g] <= pools[g] for g in DIRS)
+            unfilled = [got[g] for g in DIRS if got[g] < pools[g]]
+            if unfilled:
+                assert max(unfilled) - min(unfilled) <= 1 and unfilled == sorted(unfilled, reverse=True)
+                assert all(got[g] <= min(unfilled) + 1 for g in DIRS)
 
 
 def test_topk_count_is_min_k_eligible(spark):
