@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -187,28 +188,41 @@ class Search:
     def candidates(self, tokens: list[list[str]]) -> Iterator[tuple[int, int, int, float]]:
         """(document, first word, item, cosine) of windows above the limit."""
         get, other = self.index.rows.get, len(self.index.rows)
-        blocks = [-(-len(t) // STRIDE) for t in tokens]
+        lengths = np.array([len(t) for t in tokens], np.int64)
+        blocks = -(-lengths // STRIDE)
         first = np.r_[0, np.cumsum(blocks)]
         n = int(first[-1])
         if not n or not len(self.items):
             return
-        at = np.fromiter((get(w, other) for t in tokens for w in t), np.int64)
-        block = np.concatenate([first[d] + np.arange(len(t)) // STRIDE for d, t in enumerate(tokens)])
-        mass = np.bincount(block, self.squares[at], n)
-        sums = np.zeros((n + 1, self.space.shape[1]), np.float32)
-        known = np.flatnonzero(at < other)
-        if not len(known):
-            return
-        starts = np.flatnonzero(np.r_[True, np.diff(block[known]) > 0])
-        sums[block[known][starts]] = np.add.reduceat(self.space[at[known]], starts)
+        at = np.fromiter(map(get, chain.from_iterable(tokens), repeat(other)), np.int64, int(lengths.sum()))
+        place = np.arange(len(at)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        block = np.repeat(first[:-1], lengths) + place // STRIDE
         joined = np.ones(n, bool)  # a document's last block has no next one
-        joined[first[1:][np.array(blocks) > 0] - 1] = False
-        window = sums[:n] + sums[1:] * joined[:, None]
-        norm = np.sqrt(mass + np.r_[mass[1:], 0.0] * joined)
-        cosine = (window @ self.items.T) / np.maximum(norm, 1e-9)[:, None]
-        for b, i in np.argwhere(cosine >= self.limits["cosine"]):
+        joined[first[1:][blocks > 0] - 1] = False
+        both = lambda x: x + np.r_[x[1:], 0.0] * joined
+        squares = self.squares[at]
+        mass, known = both(np.bincount(block, squares, n)), both(np.bincount(block, squares * (at < other), n))
+        # a window's cosine with any item is at most the share of its norm that lies on the items' terms
+        hopeful = np.flatnonzero(known >= self.limits["cosine"] ** 2 * mass * (1 - 1e-6))
+        hopeful = hopeful[mass[hopeful] > 0]
+        if not len(hopeful):
+            return
+        needed = np.zeros(n + 1, bool)
+        needed[hopeful] = True
+        needed[hopeful + 1] |= joined[hopeful]
+        take = np.flatnonzero((at < other) & needed[block])
+        rank_of = np.cumsum(needed) - 1
+        sums = np.zeros((int(needed.sum()) + 1, self.space.shape[1]), np.float32)
+        if len(take):
+            starts = np.flatnonzero(np.r_[True, np.diff(block[take]) > 0])
+            sums[rank_of[block[take][starts]]] = np.add.reduceat(self.space[at[take]], starts)
+        after = np.where(joined[hopeful], rank_of[np.minimum(hopeful + 1, n)], len(sums) - 1)
+        window = sums[rank_of[hopeful]] + sums[after]
+        cosine = (window @ self.items.T) / np.sqrt(mass[hopeful])[:, None]
+        for k, i in np.argwhere(cosine >= self.limits["cosine"]):
+            b = int(hopeful[k])
             d = int(np.searchsorted(first, b, side="right")) - 1
-            yield d, int(b - first[d]) * STRIDE, int(i), float(cosine[b, i])
+            yield d, int(b - first[d]) * STRIDE, int(i), float(cosine[k, i])
 
     def confirm(self, tokens: list[str], start: int, item: int) -> tuple[float, float, float] | None:
         words, weights = self.words[item], self.weights[item]
