@@ -6,7 +6,6 @@ sources    table scans, column contracts, sinks
 functions  column-expression helpers (pure ``Column -> Column``)
 operators  DataFrame -> DataFrame operators (cleaning, cadence, S2, queues, ...)
 plans      composed workflows, stage materialization, query registry, oracle SQL
-streaming  (empty by design: the workflow is batch only)
 """
 
 __version__ = "0.1.0"

@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-__all__ = [
-    "month_number", "clip", "nan_to_null", "safe_div", "realized_prob_surprisal", "hash16",
-    "md5_uniform_int", "md5_order_key", "round6", "month_start", "clip_prob",
-]
+__all__ = ["month_number", "clip", "safe_div", "realized_prob_surprisal", "md5_order_key", "month_start", "clip_prob"]
 
 
 def month_start(c) -> Column:
@@ -32,11 +27,6 @@ def clip(c, lo: float | None, hi: float | None) -> Column:
     return c
 
 
-def nan_to_null(c) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return F.nanvl(c, F.lit(None).cast("double"))
-
-
 def safe_div(num, den, eps: float = 0.0) -> Column:
     """num/den, NULL unless den > eps (no ANSI error, no infinities)."""
     num = F.col(num) if isinstance(num, str) else num
@@ -57,26 +47,6 @@ def realized_prob_surprisal(y, p) -> Column:
     return -F.ln(F.least(F.greatest(realized, F.lit(1e-8)), F.lit(1.0)))
 
 
-def hash16(*parts) -> Column:
-    """First 16 hex chars of SHA-256 over ``'|'``-joined parts."""
-    cols = [F.col(p) if isinstance(p, str) and not p.startswith("'") else p for p in parts]
-    return F.substring(F.sha2(F.concat_ws("|", *cols), 256), 1, 16)
-
-
 def md5_order_key(*parts) -> Column:
     """Deterministic pseudo-random 60-bit key from md5 of the joined parts."""
     return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 15), 16, 10).cast("bigint")
-
-
-def md5_uniform_int(n, *parts) -> Column:
-    """Deterministic draw in [0, n) from md5 of the joined parts."""
-    n = F.col(n) if isinstance(n, str) else n
-    return F.pmod(md5_order_key(*parts), n.cast("bigint"))
-
-
-def round6(c) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return F.round(c.cast("double"), 6)
-
-
-TWO_PI = 2 * math.pi

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql.types import (BooleanType, DateType, DoubleType, LongType, StringType, StructField,
+from pyspark.sql.types import (DateType, DoubleType, LongType, StringType, StructField,
                                StructType)
 
 KEYS = ("customer_public_id", "transaction_month")
@@ -51,17 +51,6 @@ PEER_INPUT_COLUMNS = (
     "baseline_anomaly_score",
 )
 
-_BOOL = {"sparse_history_flag", "sparse_peer_group_flag", "sparse_company_division_peer_group_flag",
-         "zero_order_month_flag"}
-SCORED_SCHEMA = StructType(
-    [StructField("customer_public_id", StringType(), False),
-     StructField("transaction_month", DateType(), False)]
-    + [StructField(c, BooleanType(), True) for c in PEER_INPUT_COLUMNS[2:5]]
-    + [StructField("company_division_peer_public_id", StringType(), True),
-       StructField("company_division_peer_customer_count", LongType(), True),
-       StructField("zero_order_month_flag", BooleanType(), True)]
-    + [StructField(c, DoubleType(), True) for c in PEER_INPUT_COLUMNS[8:]]
-)
 
 
 def require_columns(df: DataFrame, contract, what: str = "Prepared peer input") -> DataFrame:
