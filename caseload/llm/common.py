@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import sys
-import types
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,16 +48,6 @@ def inline(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     return spark.sql(f"SELECT {cols} FROM VALUES {body} AS v({', '.join(names)})" + ("" if rows else " WHERE false"))
 
 
-def worker_object(name: str, make):
-    """The object that ``make`` gives, one for each Python worker process and kept from task to task.
-
-    Functions of this package travel by value, so their own globals are new in every task."""
-    kept = sys.modules.setdefault("caseload_worker_objects", types.ModuleType("caseload_worker_objects")).__dict__
-    if name not in kept:
-        kept[name] = make()
-    return kept[name]
-
-
 def text_or_empty(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 

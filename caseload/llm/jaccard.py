@@ -39,7 +39,7 @@ GROWTH = 1.5  # of the size classes
 SPARE = 1.4  # slices for each difference that may spoil one
 PAIR_CLASS = 6  # classes with at most so many differences use pairs of shingles
 SENT_ROWS = 1_000_000  # rows of 16 bytes that are sent to every task; beyond, a shuffle join
-CACHED_WORDS = 400_000
+CACHED_WORDS = 250_000
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 

@@ -69,7 +69,7 @@ def _pass1(bits: int, least: int):
         for batch in batches:
             for text in batch["text"]:
                 held.extend(_long_keys(text, least))
-                if len(held) > 100_000:
+                if len(held) > 30_000:
                     add()
         add()
         part = TaskContext.get().partitionId()

@@ -33,7 +33,7 @@ FACTORS = 8
 EPOCHS = 30
 SENT_LABELS = 2_000_000  # labels are sent to every task up to this number of rows, else joined by shuffle
 THRESHOLD = 0.7
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -119,7 +119,7 @@ def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             n.update(found)
             if toxic:
                 t.update(found)
-        if len(n) > 300_000:
+        if len(n) > 150_000:
             yield _count_frame(n, t)
             n, t = Counter(), Counter()
     if n:
