@@ -47,6 +47,44 @@ def json_cells(events: DataFrame) -> DataFrame:
         F.min("p.k").alias("min_k"), F.max("p.k").alias("max_k"), F.sum("p.k").alias("sum_k"))
 
 
+CELLS = ("struct<cells:array<struct<cell_type:string,source:string,source_lines:array<string>,outputs:array<struct<output_type:string,"
+         "ename:string,text:array<string>,data:map<string,string>>>>>>")
+
+
+def notebooks(turns: DataFrame, tokens) -> DataFrame:
+    """conv_id, notebook (JSON text): one cell per turn; sources of assistants are lists of lines, others one
+    string. The md5 of a turn adds a saved error (0), an image that holds a token (1), printed text with a
+    token (2) or a token in the source (3)."""
+    h = F.substring(F.md5(F.concat_ws("|", "conv_id", "turn")), 1, 1)
+    token = F.get(F.array(*[F.lit(t) for t in tokens]), F.pmod(F.col("turn"), F.lit(len(tokens))).cast("int"))
+    text = F.concat(F.coalesce("text", F.lit("")), F.when(h == "3", F.concat(F.lit("\n"), F.upper(token))).otherwise(""))
+    listed = F.col("role") == "assistant"
+    none = lambda kind: F.lit(None).cast(kind)
+    output = lambda kind, ename, shown, data: F.struct(F.lit(kind).alias("output_type"), ename.alias("ename"), shown.alias("text"), data.alias("data"))
+    lines, payload = "array<string>", "map<string,string>"
+    outputs = (F.when(h == "0", F.array(output("error", F.lit("ValueError"), none(lines), none(payload))))
+                .when(h == "1", F.array(output("display_data", none("string"), none(lines), F.create_map(F.lit("image/png"), token))))
+                .when(h == "2", F.array(output("stream", none("string"), F.array(F.lit("out:"), token), none(payload)))))
+    cell = F.struct(F.lit("code").alias("cell_type"), F.when(~listed, text).alias("source"), F.when(listed, F.split(text, "\n")).alias("source_lines"), outputs.alias("outputs"))
+    texts = F.transform(F.sort_array(F.collect_list(F.struct("turn", F.to_json(cell).alias("json")))), lambda x: x["json"])
+    return turns.groupBy("conv_id").agg(F.concat(F.lit('{"cells":['), F.array_join(texts, ","), F.lit("]}")).alias("notebook"))
+
+
+def scan_cells(books: DataFrame, tokens) -> DataFrame:
+    """A3: per notebook its cells, cells with a forbidden token in source or text output, saved errors and
+    images (whose payloads are not scanned). The JSON is parsed with a fixed schema."""
+    cells = books.select("conv_id", F.explode_outer(F.from_json("notebook", CELLS)["cells"]).alias("cell"))
+    outputs = F.coalesce(F.col("cell.outputs"), F.array())
+    shown = F.flatten(F.transform(outputs, lambda o: F.concat(F.coalesce(o["text"], F.array().cast("array<string>")), F.map_values(F.map_filter(
+        F.coalesce(o["data"], F.create_map().cast("map<string,string>")), lambda k, v: ~k.startswith("image/"))))))
+    whole = F.lower(F.concat_ws("\n", F.col("cell.source"), F.array_join(F.col("cell.source_lines"), "\n"), F.array_join(shown, "\n")))
+    hit = F.exists(F.array(*[F.lit(t) for t in tokens]), lambda t: F.instr(whole, t) > 0)
+    count = lambda c: F.sum(F.when(c, 1).otherwise(0)).cast("bigint")
+    return cells.groupBy("conv_id").agg(F.count("cell").alias("cells"), count(hit).alias("token_findings"),
+                                        count(F.exists(outputs, lambda o: o["output_type"] == "error")).alias("saved_errors"),
+                                        count(F.exists(outputs, lambda o: F.coalesce(F.map_contains_key(o["data"], "image/png"), F.lit(False)))).alias("images_skipped"))
+
+
 def path_parts(paths: DataFrame, col: str = "path") -> DataFrame:
     p = F.col(col)
     name = F.element_at(F.split(p, "/"), -1)

@@ -94,6 +94,23 @@ def pilot_allocation(merged: DataFrame, cap: int, targets=PILOT_TARGETS, prefix:
     return alloc.withColumn("case_id", token)
 
 
+def exact_inclusion(merged: DataFrame, alloc: DataFrame, cap: int, targets=PILOT_TARGETS) -> DataFrame:
+    """P5, exact variant: per stratum the pool that was left when it was drawn, cases drawn, drawn / pool.
+
+    ``alloc`` has at most the pilot's size of rows; a row is out of a pool if an earlier stratum took its customer."""
+    order = {name: i for i, (name, _) in enumerate(targets)}
+    place = F.coalesce(*[F.when(F.col("sampling_stratum") == n, F.lit(i)) for n, i in order.items()], F.lit(len(order)))
+    rows = latest_month(merged).join(F.broadcast(alloc.select(CUR, place.alias("place"))), CUR, "left")
+    masks = {**{n: m for n, m in strata_masks(rows, cap).items() if n in order}, "capacity_fill": F.lit(True)}
+    order["capacity_fill"] = len(order)
+    open_at = lambda n: F.coalesce(F.col("place") >= order[n], F.lit(True))
+    sums = rows.agg(*[F.sum(F.when(m & open_at(n), 1).otherwise(0)).alias(f"pool_{n}") for n, m in masks.items()],
+                    *[F.sum(F.when(F.col("place") == order[n], 1).otherwise(0)).alias(f"drawn_{n}") for n in masks])
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("sampling_stratum"), F.col(f"pool_{n}").alias("pool"), F.col(f"drawn_{n}").alias("drawn")) for n in masks]))
+    share = F.when(F.col("pool") > 0, F.col("drawn") / F.col("pool")).otherwise(0.0)
+    return sums.select(each.alias("x")).select("x.*").withColumn("exact_inclusion_probability", share)
+
+
 def allocation_key(alloc: DataFrame, cap: int) -> DataFrame:
     """P6 (private side): case key with stratum, probability and the four lens flags."""
     return alloc.select("case_id", CUR, MONTH, "sampling_stratum", "inclusion_probability",
