@@ -7,7 +7,8 @@ that differ most from the base rate, if they differ by ``LEAST_Z`` standard erro
 factor vector each; the machine adds to the linear weights the inner products of the factors of every two
 terms of a document, so a term can count for more (or less) beside another.
 
-The machine is fitted on a bounded sample: at most ``SAMPLE`` training texts of each label, chosen by hash.
+The machine is fitted on a bounded sample: about ``SAMPLE`` training texts of each label (all, if there are
+fewer), chosen by hash.
 The intercept is then moved to the label's share among all training texts.
 """
 
@@ -159,10 +160,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, least_z: flo
         for batch in batches:
             yield pd.DataFrame({"toxic": batch["toxic"], "rows": [sorted(terms.set_of(x)) for x in batch["text"]]})
 
-    chosen = None
-    for label in (0, 1):  # the sample: the first by hash order of each label
-        part = texts.where(F.col("toxic") == label).orderBy("order").limit(sample)
-        chosen = part if chosen is None else chosen.unionByName(part)
+    # the sample: hashes are uniform, so a bound on them keeps about ``sample`` texts of each label, wherever they are
+    bound = lambda size: min((1 << 63) - 1, int(-(1 << 63) + min(1.0, sample / size) * (1 << 64)))
+    chosen = texts.where(F.col("order") <= F.when(F.col("toxic") == 1, F.lit(bound(t))).otherwise(F.lit(bound(n - t))))
     got = chosen.mapInPandas(rows_of, "toxic int, rows array<int>").collect()
     y = np.array([r.toxic for r in got], float)
     intercept, weights, factors = fit([np.array(r.rows, np.int64) for r in got], y, len(index))
