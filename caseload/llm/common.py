@@ -23,7 +23,17 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     executor recomputes from the written table."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stash_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stashed tables that no later step reads, through the file system layer of Spark."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table._stash_path)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def rereadable(df: DataFrame, name: str) -> DataFrame:

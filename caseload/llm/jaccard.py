@@ -32,10 +32,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseload.llm.common import stash
+from caseload.llm.common import discard, stash
 from caseload.llm.graph import components
 
-GROWTH = 1.5  # of the size classes
+GROWTH = 2.0  # of the size classes
 SPARE = 1.4  # slices for each difference that may spoil one
 PAIR_CLASS = 6  # classes with at most so many differences use pairs of shingles
 SENT_ROWS = 1_000_000  # rows of 16 bytes that are sent to every task; beyond, a shuffle join
@@ -244,12 +244,15 @@ def pair_of(x: str, y: str) -> tuple:
 
 def link_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100) -> tuple[DataFrame, DataFrame]:
     """(id, code, n, sid of every row of ``docs`` (id, text); sid, label of every set that may link to another)."""
-    table = stash(sketches(docs, words, num, den), "jaccard-sketches")
-    reps = table.where(F.size("keys") > 0).groupBy("sid").agg(
+    keyed = stash(sketches(docs, words, num, den), "jaccard-sketches")
+    table = stash(keyed.select("id", "code", "n", "sid"), "jaccard-rows")
+    reps = keyed.where(F.size("keys") > 0).groupBy("sid").agg(
         F.min(F.struct("id", "code")).alias("rep"), F.first("keys").alias("keys"))
     entered = reps.select("sid", F.explode("keys").alias("key"))
     shared = entered.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > 1)
     members = stash(entered.join(shared, "key").select("key", "sid", "size"), "jaccard-regions")
+    discard(keyed)
+    del reps, entered, shared  # lets Spark clean their shuffle files
 
     degrees = stash(members.groupBy("sid").agg(F.sum(F.col("size") - 1).alias("degree")), "jaccard-degrees")
     named = table.where(F.col("sid").isNotNull()).groupBy("sid").agg(F.min(F.struct("id", "code")).alias("rep"))
@@ -283,7 +286,8 @@ def link_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 1
     near, rest = _cell_pairs(_differences(cells.select("p", "sid"), sets).join(inside, ["p", "sid"]), num, den)
     pairs = stash(near.unionByName(rest).distinct(), "jaccard-pairs")
     labels = _relabel(labels, linked(_compare(pairs, sets)))
-    return table.select("id", "code", "n", "sid"), labels
+    discard(members, degrees, sets, tested, cells, pairs)
+    return table, labels
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -30,7 +30,7 @@ MIN_BITS, MAX_BITS = 1 << 20, 1 << 28
 BYTES_PER_BIT = 32  # text bytes; a line of 160 bytes sets two bits of five
 CHUNK = 1 << 16  # bytes of a filter that one merge task takes
 FAN_IN = 64
-SENT_KEYS = 1_000_000  # 24 bytes each
+SENT_KEYS = 250_000  # 24 bytes each
 
 
 def line_key(line: str, least: int) -> bytes | None:
@@ -165,19 +165,18 @@ def dedup_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, sen
     if losing.count() <= sent_keys:
         keepers = {bytes(r.key): r.keeper for r in losing.collect()}
         sent = docs.sparkSession.sparkContext.broadcast(keepers)
-        extra: list = [F.col(f"`{id_col}`").cast("long").alias("__id")]
-        source = docs.select(*own, *extra)
+        source = docs.select(*own, F.col(f"`{id_col}`").cast("long").alias("__given"))  # given: the row's id
 
-        def test(row_id, _):
+        def loses(given):
             table = sent.value
-            return lambda k: k in table and not (table[k] == row_id or (table[k] is None and row_id is None))
+            return lambda k: k in table and table[k] != given
     else:
         drops = held.join(losing, "key").where(~F.col("id").eqNullSafe(F.col("keeper"))).groupBy("id").agg(
-            F.collect_set("key").alias("__id")).withColumnRenamed("id", "__doc")
+            F.collect_set("key").alias("__given")).withColumnRenamed("id", "__doc")  # given: the keys it loses
         source = docs.select(*own).join(drops, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__doc")), "left").drop("__doc")
 
-        def test(keys, _):
-            lost = {bytes(k) for k in keys} if keys is not None else ()
+        def loses(given):
+            lost = {bytes(k) for k in given or ()}
             return lambda k: k in lost
 
     def run(batches):
@@ -185,7 +184,7 @@ def dedup_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, sen
 
         for batch in batches:
             given, texts = batch.column(len(names)).to_pylist(), batch.column(names.index(text_col)).to_pylist()
-            done = [_cut(t, least_chars, test(g, None)) for t, g in zip(texts, given)]
+            done = [_cut(t, least_chars, loses(g)) for t, g in zip(texts, given)]
             cols = [batch.column(i) for i in range(len(names))]
             cols[names.index(text_col)] = pa.array([d[0] for d in done], pa.string())
             yield pa.RecordBatch.from_arrays([*cols, pa.array([d[1] for d in done], pa.int64()), pa.array([d[2] for d in done], pa.int64())],

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseload.llm.common import stash
+from caseload.llm.common import discard, stash
 
 TERMS = 2048
 LEAST_Z = 4.0
@@ -164,6 +164,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, least_z: flo
     bound = lambda size: min((1 << 63) - 1, int(-(1 << 63) + min(1.0, sample / size) * (1 << 64)))
     chosen = texts.where(F.col("order") <= F.when(F.col("toxic") == 1, F.lit(bound(t))).otherwise(F.lit(bound(n - t))))
     got = chosen.mapInPandas(rows_of, "toxic int, rows array<int>").collect()
+    discard(texts)
     y = np.array([r.toxic for r in got], float)
     intercept, weights, factors = fit([np.array(r.rows, np.int64) for r in got], y, len(index))
     # the sample may hold the labels in other shares than the training texts
