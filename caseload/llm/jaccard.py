@@ -19,8 +19,9 @@ first partition is made in projections of the space, in which the metric is coar
    leave only pairs that may link (``_cell_pairs``), which are compared exactly.
 
 Equal sets are one set throughout. Comparisons are exact on 64-bit shingle hashes. A pair could be missed
-only if hashing put all shingles of a set into D of its slices (under 1e-9 for the smallest sets that use
-slices) or if two hashes collide.
+only if hashing put all shingles of a set into D of its slices (under 1e-7 for the smallest sets that use
+slices, at the edge of their class; far less for others) and its differences fell into all of them, or if
+two hashes collide.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ from caseload.llm.graph import components
 
 GROWTH = 2.0  # of the size classes
 SPARE = 1.4  # slices for each difference that may spoil one
-PAIR_CLASS = 6  # classes with at most so many differences use pairs of shingles
+PAIR_CLASS = 12  # classes with at most so many differences use pairs of shingles
 SENT_ROWS = 1_000_000  # rows of 16 bytes that are sent to every task; beyond, a shuffle join
 CACHED_WORDS = 250_000
 
