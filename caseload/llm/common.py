@@ -13,8 +13,20 @@ from caseload.session import ensure_checkpoint_dir
 SPACES = " \t\n\x0b\f\r"
 
 
+#: Rows of one batch to or from a Python task. Spark's own bound of 10,000 rows is too much for whole texts.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let the session hand at most ``BATCH_ROWS`` rows at once to Python tasks."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder named by ``spark.checkpoint.dir``."""
+    small_batches(spark)
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caseload.llm.common import SPACES, stash
+from caseload.llm.common import SPACES, small_batches, stash
 
 MIN_BITS, MAX_BITS = 1 << 20, 1 << 28
 BYTES_PER_BIT = 32  # text bytes; a line of 160 bytes sets two bits of five
@@ -150,6 +150,7 @@ def dedup_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, sen
     and are treated alike; rows without an id count as one document, smaller than all others. An empty
     table gives no rows. Columns of ``docs`` named n_lines or n_dropped are replaced.
     """
+    small_batches(docs.sparkSession)
     own = [F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_dropped")]
     base = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
