@@ -37,9 +37,10 @@ GROUP_CHARS = 1_000_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-#: A chunk of lower-case Latin letters and signs after them: the tokenizer splits between the two, and neither
-#: part depends on the other. Apostrophes are left out: with letters they make tokens of their own.
-_PLAIN = re.compile("([a-zß-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
+#: Latin letters in UTF-8 (after ASCII lower-casing) and signs after them: the tokenizer splits between the two,
+#: and neither part depends on the other. Apostrophes are left out: with letters they make tokens of their own.
+_LETTERS = rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+"
+_PLAIN = re.compile(rb"(" + _LETTERS + rb")([!-&(-/:-@\[-`{-~]*)")
 
 
 #: A stop or comma that ends a chunk after a Latin letter is a chunk of its own: far fewer chunks are distinct.
@@ -79,18 +80,20 @@ class WordIds(dict):
     def add(self, chunks: set[bytes]) -> None:
         if len(self) + len(chunks) > CACHED_WORDS:
             self.clear()
-        words, parts, rest = {c for c in chunks if c.isalpha()}, [], set()
-        for chunk in chunks - words:
-            if m := _PLAIN.fullmatch(chunk.decode("utf-8")):
-                word, signs = m[1].encode("utf-8"), m[2].encode("utf-8")
-                parts.append((chunk, word, signs))
-                words.add(word)
-                rest.add(signs)
+        words, parts, rest, plain = set(), [], set(), _PLAIN.fullmatch
+        for chunk in chunks:
+            if chunk.isalpha():
+                words.add(chunk)
+            elif m := plain(chunk):
+                words.add(m[1])
+                if m[2]:
+                    parts.append((chunk, m[1], m[2]))
+                    rest.add(m[2])
             else:
                 rest.add(chunk)
         self.add_words(list(words - self.keys()))
         self.update((x, self.encode(x.decode("utf-8"))) for x in rest - self.keys())
-        self.update((chunk, self[word] + self[signs]) for chunk, word, signs in parts if signs)
+        self.update((chunk, self[word] + self[signs]) for chunk, word, signs in parts)
 
     def texts(self, texts: list[str | None]) -> Iterator[bytes]:
         """The packed ids of each text, computed in groups of about ``GROUP_CHARS``."""
@@ -108,12 +111,14 @@ class WordIds(dict):
 
     def _join(self, group: list[list[bytes]]) -> Iterator[bytes]:
         got = [list(map(self.get, chunks)) for chunks in group]
-        for _ in range(2):  # again if the cache was emptied in between
-            new = [k for k, ids in enumerate(got) if None in ids]
-            if new:
-                self.add(set(chain.from_iterable(compress(group[k], map(is_, got[k], repeat(None))) for k in new)))
-                for k in new:
-                    got[k] = list(map(self.get, group[k]))
+        lacking = [k for k, ids in enumerate(got) if None in ids]
+        if lacking:
+            self.add(set(chain.from_iterable(compress(group[k], map(is_, got[k], repeat(None))) for k in lacking)))
+            for k in lacking:
+                ids, chunks, at = got[k], group[k], -1
+                for _ in range(ids.count(None)):
+                    at = ids.index(None, at + 1)
+                    ids[at] = self[chunks[at]]
         yield from map(b"".join, got)
 
 
