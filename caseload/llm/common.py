@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,11 +42,16 @@ def stash(df: DataFrame, name: str) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Delete stashed tables that no later step reads, through the file system layer of Spark."""
+    """Delete stashed tables that no later step reads, through the file system layer of Spark.
+
+    Spark deletes the shuffle files of a plan when the driver collects the plan as garbage, which may be
+    long after its table is written; asking for a collection here keeps them from piling up."""
     for table in tables:
         spark = table.sparkSession
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table._stash_path)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    tables[0].sparkSession.sparkContext._jvm.System.gc()
 
 
 def rereadable(df: DataFrame, name: str) -> DataFrame:

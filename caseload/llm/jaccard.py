@@ -252,8 +252,8 @@ def link_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 1
     entered = reps.select("sid", F.explode("keys").alias("key"))
     shared = entered.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > 1)
     members = stash(entered.join(shared, "key").select("key", "sid", "size"), "jaccard-regions")
+    del reps, entered, shared
     discard(keyed)
-    del reps, entered, shared  # lets Spark clean their shuffle files
 
     degrees = stash(members.groupBy("sid").agg(F.sum(F.col("size") - 1).alias("degree")), "jaccard-degrees")
     named = table.where(F.col("sid").isNotNull()).groupBy("sid").agg(F.min(F.struct("id", "code")).alias("rep"))
