@@ -2,15 +2,17 @@
 
 Benchmark items are TF-IDF passages (document frequencies count all documents). A distributed randomised
 singular value decomposition of the passages gives a latent space: hashed Gaussian test vectors, one power
-step, orthonormalisation, and an eigenproblem of a small matrix. Every 32-word window of every document is
+step, orthonormalisation, and an eigenproblem of a small matrix. Items of up to
+16, 64, 256 ... words have windows of twice as many words, so that a copy lies whole in one of them. Every window of every document is
 folded into that space and compared by cosine with all items, in blocks of items. Windows above ``COSINE``
 are candidates; a candidate counts if the longest common subsequence of words covers ``LCS`` of the item,
 its shared words carry ``WEIGHT`` of the item's IDF mass, and ``ANSWER`` of the words of the item's last
 sentence occur in it. Small changes of wording, case, punctuation or line breaks thus still match.
 
-The cosine divides by the norms of the full TF-IDF vectors, so a window with little in the latent space
-scores low whatever its direction. Documents are only mapped, never shuffled: all that is sent to the tasks
-belongs to a block of at most ``ITEMS`` items.
+The cosine divides by the norms over the block's terms: words of no item, and thus the number of documents,
+have no say. A window's norm counts as at least the item's and at most ``ROOM`` times it, so a window that holds
+``COSINE`` times ``ROOM`` of an item's squared norm is a candidate, whatever else stands in it. Documents are only
+mapped, never shuffled: all that is sent to the tasks belongs to a block of at most ``ITEMS`` items.
 """
 
 from __future__ import annotations
@@ -27,10 +29,12 @@ from pyspark.sql import functions as F
 
 from caseload.llm.common import stash
 
-STRIDE = 16  # a window is two strides
+STRIDE = 16  # least stride; a window is two strides
+GROWTH = 4  # of one stride to the next
 RANK, EXTRA = 192, 16
 ITEMS = 256  # in a block; the latent space keeps nearly all of so few passages
 COSINE = 0.3
+ROOM = 2 ** 0.5
 LCS = 0.6
 WEIGHT = 0.55
 ANSWER = 0.5
@@ -60,7 +64,7 @@ def gaussian(terms: np.ndarray, columns: int) -> np.ndarray:
 
 
 class Index:
-    """Terms of a block of items (word -> row) with their IDF, and the IDF of all other words."""
+    """Terms of a block of items (word -> row) with their IDF, and the IDF of a word that no document has."""
 
     def __init__(self, rows: dict[str, int], idf: np.ndarray, other: float):
         self.rows, self.idf, self.other = rows, idf, other
@@ -178,39 +182,51 @@ class Search:
         self.ids, self.answers = [i for i, _ in items], [answer_words(t) for _, t in items]
         self.weights = [{w: index.idf[index.rows[w]] for w in set(ws)} for ws in self.words]
         self.space = np.vstack([space, np.zeros((1, space.shape[1]), np.float32)]) * np.r_[index.idf, 0.0].astype(np.float32)[:, None]
-        self.squares = np.r_[index.idf, index.other] ** 2
-        latent = []
-        for ws in self.words:
-            at, x = index.vector(ws)
-            latent.append((x / (np.linalg.norm(x) or 1.0)) @ space[at])
-        self.items = np.array(latent, np.float32)
+        self.squares = np.r_[index.idf, 0.0] ** 2
+        vectors = [index.vector(ws) for ws in self.words]
+        self.norms = np.array([np.linalg.norm(x) or 1.0 for _, x in vectors])
+        self.items = np.array([(x / n) @ space[at] for (at, x), n in zip(vectors, self.norms)], np.float32)
+        # no item is longer than its stride: two strides hold every copy whole
+        self.strides = np.array([STRIDE * GROWTH ** next(k for k in range(64) if STRIDE * GROWTH ** k >= len(ws)) for ws in self.words], np.int64)
+        self.most = {}  # by stride: the most that one token of a term adds to the product with any item
+        for stride in np.unique(self.strides):
+            most = np.zeros(len(self.squares))
+            for k in np.flatnonzero(self.strides == stride):
+                at, x = vectors[k]
+                most[at] = np.maximum(most[at], x * index.idf[at])
+            self.most[int(stride)] = most
 
     def candidates(self, tokens: list[list[str]]) -> Iterator[tuple[int, int, int, float]]:
         """(document, first word, item, cosine) of windows above the limit."""
         get, other = self.index.rows.get, len(self.index.rows)
         lengths = np.array([len(t) for t in tokens], np.int64)
-        blocks = -(-lengths // STRIDE)
+        at = np.fromiter(map(get, chain.from_iterable(tokens), repeat(other)), np.int64, int(lengths.sum()))
+        known = np.flatnonzero(at < other)
+        if len(known):
+            doc = np.repeat(np.arange(len(tokens)), lengths)[known]
+            place, at = known - (np.cumsum(lengths) - lengths)[doc], at[known]
+            for stride in self.most:
+                yield from self._windows(at, doc, place, lengths, stride)
+
+    def _windows(self, at: np.ndarray, doc: np.ndarray, place: np.ndarray, lengths: np.ndarray, stride: int) -> Iterator[tuple[int, int, int, float]]:
+        """Candidates for the items of one stride; ``at``, ``doc`` and ``place`` are of the tokens that are terms."""
+        items = np.flatnonzero(self.strides == stride)
+        blocks = -(-lengths // stride)
         first = np.r_[0, np.cumsum(blocks)]
         n = int(first[-1])
-        if not n or not len(self.items):
-            return
-        at = np.fromiter(map(get, chain.from_iterable(tokens), repeat(other)), np.int64, int(lengths.sum()))
-        place = np.arange(len(at)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        block = np.repeat(first[:-1], lengths) + place // STRIDE
+        block, most = first[doc] + place // stride, self.most[stride][at]
         joined = np.ones(n, bool)  # a document's last block has no next one
         joined[first[1:][blocks > 0] - 1] = False
         both = lambda x: x + np.r_[x[1:], 0.0] * joined
-        squares = self.squares[at]
-        mass, known = both(np.bincount(block, squares, n)), both(np.bincount(block, squares * (at < other), n))
-        # a window's cosine with any item is at most the share of its norm that lies on the items' terms
-        hopeful = np.flatnonzero(known >= self.limits["cosine"] ** 2 * mass * (1 - 1e-6))
-        hopeful = hopeful[mass[hopeful] > 0]
+        mass, reach = both(np.bincount(block, self.squares[at], n)), both(np.bincount(block, most, n))
+        # the product with an item is at most ``reach``, and a candidate's is at least the limit times the item's squared norm
+        hopeful = np.flatnonzero(reach >= self.limits["cosine"] * self.norms[items].min() ** 2 * (1 - 1e-6))
         if not len(hopeful):
             return
         needed = np.zeros(n + 1, bool)
         needed[hopeful] = True
         needed[hopeful + 1] |= joined[hopeful]
-        take = np.flatnonzero((at < other) & needed[block])
+        take = np.flatnonzero((most > 0) & needed[block])  # other terms add nothing to a product with these items
         rank_of = np.cumsum(needed) - 1
         sums = np.zeros((int(needed.sum()) + 1, self.space.shape[1]), np.float32)
         if len(take):
@@ -218,15 +234,16 @@ class Search:
             sums[rank_of[block[take][starts]]] = np.add.reduceat(self.space[at[take]], starts)
         after = np.where(joined[hopeful], rank_of[np.minimum(hopeful + 1, n)], len(sums) - 1)
         window = sums[rank_of[hopeful]] + sums[after]
-        cosine = (window @ self.items.T) / np.sqrt(mass[hopeful])[:, None]
+        norms = self.norms[items]
+        cosine = (window @ self.items[items].T) / np.clip(np.sqrt(mass[hopeful])[:, None], norms, ROOM * norms)
         for k, i in np.argwhere(cosine >= self.limits["cosine"]):
             b = int(hopeful[k])
             d = int(np.searchsorted(first, b, side="right")) - 1
-            yield d, int(b - first[d]) * STRIDE, int(i), float(cosine[k, i])
+            yield d, int(b - first[d]) * stride, int(items[i]), float(cosine[k, i])
 
     def confirm(self, tokens: list[str], start: int, item: int) -> tuple[float, float, float] | None:
         words, weights = self.words[item], self.weights[item]
-        part = tokens[max(0, start - len(words)):start + 2 * STRIDE + len(words)]
+        part = tokens[max(0, start - len(words)):start + 2 * int(self.strides[item]) + len(words)]
         there = set(part)
         weight = sum(x for w, x in weights.items() if w in there) / (sum(weights.values()) or 1.0)
         answer = len(self.answers[item] & there) / max(1, len(self.answers[item]))

@@ -99,3 +99,26 @@ def test_messy_rows(spark, messy, none, messy_list):
     assert D.contaminated(none, items).count() == 0 and D.contaminated(messy, items.where("false")).count() == 0
     kept = D.decontaminate(messy.drop("matches"), items)
     assert kept.columns == messy.drop("matches").columns and kept.where("doc_id = 1").count() == 0 and kept.where("doc_id = 6").count() == 1
+
+
+@pytest.mark.parametrize("n_words", [15, 500])
+@pytest.mark.parametrize("total", [10_000, 10_000_000])
+def test_verbatim_copies_are_candidates_at_any_size(spark, n_words, total):
+    """Items of common and rare words, whole in hosts of the same words and in hosts of words that no item has."""
+    rng = random.Random(n_words)
+    common, rare = [f"c{k}" for k in range(200)], [f"r{k}" for k in range(40_000)]
+    words = lambda n: [rng.choice(common) if rng.random() < 0.6 else rng.choice(rare) for _ in range(n)]
+    given = [(k, " ".join(words(n_words))) for k in range(D.ITEMS)]
+    given += [(1000 + k, " ".join(rng.choice(common) for _ in range(n_words))) for k in range(0 if n_words > 15 else 4)]
+    terms = sorted({w for _, t in given for w in D.words_of(t)})
+    counts = np.array([total * 0.5 / (1 + int(w[1:])) ** 0.7 if w[0] == "c" else total * 1e-5 for w in terms]).astype(int)
+    index = D.Index({w: i for i, w in enumerate(terms)}, np.log((total + 1.0) / (counts + 0.5)).clip(0.01), float(np.log(2.0 * (total + 1.0))))
+    space = D.randomised_svd(spark.createDataFrame(given, "item_id long, text string").repartition(3), index)
+    search = D.Search(index, space, given, {"cosine": D.COSINE, "lcs": D.LCS, "weight": D.WEIGHT, "answer": D.ANSWER})
+    texts = []
+    for _, t in given:
+        for host in (words(400), [f"z{rng.randrange(10 ** 6)}" for _ in range(400)]):
+            cut = rng.randrange(400)
+            texts.append(" ".join([*host[:cut], t, *host[cut:]]))
+    found = search.matches(texts)
+    assert [k for k, ms in enumerate(found) if given[k // 2][0] not in {m[0] for m in ms}] == []
