@@ -72,3 +72,21 @@ def test_junk_goes_and_clean_stays(spark):
     docs += [(2000 + i, " ".join(word() + rng.choice(["###", "$$$", "%%%"]) for _ in range(150)), "en", "a") for i in range(30)]
     out = Q.quality(spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")).toPandas()
     assert out[out.doc_id < 2000].kept.all() and not out[out.doc_id >= 2000].kept.any()
+
+
+def test_every_statistic_can_reject(spark):
+    """Duplicate short lines go, 40 % repeated words go, a single repeated line stays; no statistic's range lies under the cutoff."""
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choice("aeiou" if k % 2 else "bcdfglmnprst") for k in range(rng.randrange(2, 9)))
+    clean = lambda n: " ".join(word() for _ in range(n))
+    short = [clean(2) for _ in range(4)]
+    docs = [(i, clean(rng.randrange(60, 900)), "en", "a") for i in range(400)]
+    docs += [(1000, clean(200) + "\nOne line stands here twice in all" * 2, "en", "a"),
+             (2000, clean(200) + "\n" + "\n".join(rng.choice(short) for _ in range(40)), "en", "a")]
+    part = clean(18)
+    docs += [(2001, f"{part} {part} {clean(54)}", "en", "a")]
+    out = Q.quality(spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")).toPandas()
+    assert not out.base_failed.any()
+    assert out[out.doc_id < 2000].kept.all() and not out[out.doc_id >= 2000].kept.any()
+    for most, floor in zip((100, 100, 50), Q.FLOORS[2:]):  # percent
+        assert np.log1p(most) ** 2 / floor ** 2 > Q.CUTOFF
