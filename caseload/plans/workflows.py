@@ -8,6 +8,7 @@ Each is written once per application to the shared stage folder and reused.
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -128,15 +129,44 @@ def pilot(spark: SparkSession, sf_dir: str) -> DataFrame:
 _MODEL_CACHE: dict = {}
 
 
+GRID_PARAMS = ("learning_rate", "max_leaf_nodes", "min_info_gain")
+_GRID_SCHEMA = ("rank int, learning_rate double, max_leaf_nodes int, min_info_gain double, mean_log_loss double, "
+                "std_log_loss double, at_grid_edge string")
+
+
+def grid_results(spark: SparkSession, sf_dir: str, boosting: Pipeline | None = None) -> DataFrame:
+    """Every candidate of the boosting grid over 4 expanding folds of train, the winner at rank 1;
+    ``at_grid_edge`` names the winner's parameters that lie at an end of the grid."""
+    from caseload.operators import models as ML
+    from caseload.operators.baselines import expanding_folds
+
+    def build():
+        train = labeled_cadence(spark, sf_dir).where(F.col("data_split") == "train")
+        rows = ML.grid_search(train, expanding_folds(train, F.lit(True), 4), ML.HISTOGRAM_GRID, pipeline=boosting)
+        edge = ",".join(n for n in GRID_PARAMS if rows[0][f"{n}_at_grid_edge"])
+        return spark.createDataFrame([(i + 1, float(r["learning_rate"]), int(r["max_leaf_nodes"]), float(r["min_info_gain"]), r["mean_log_loss"],
+                                       r["std_log_loss"], edge if i == 0 else None) for i, r in enumerate(rows)], _GRID_SCHEMA)
+    given = None if boosting is None else [sorted((p.name, repr(v)) for p, v in s.extractParamMap().items()) for s in boosting.getStages()]
+    return materialized(spark, f"grid_search-{settings_key(given, sorted(ML.HISTOGRAM_GRID.items()))}", sf_dir, build)
+
+
+def grid_winner(spark: SparkSession, sf_dir: str, boosting: Pipeline | None = None) -> dict:
+    row = grid_results(spark, sf_dir, boosting).where("rank = 1").first()
+    return {n: row[n] for n in GRID_PARAMS}
+
+
 def hurdle_models(spark: SparkSession, sf_dir: str, activity_models: dict | None = None,
                   boosting_params: dict | None = None) -> dict:
     """Fit logistic and boosting on train, champion rule on calibration, isotonic gate
-    on the last calibration month, Stage-2 pattern models; returns models and scalar metrics."""
+    on the last calibration month, Stage-2 pattern models; returns models and scalar metrics.
+    Without ``boosting_params`` the boosting candidate takes the winner of the grid search."""
     from caseload.operators import metrics as M
     from caseload.operators import models as ML
 
     from caseload.plans.stages import _LOCK
     with _LOCK:
+        if boosting_params is None:
+            boosting_params = grid_winner(spark, sf_dir, (activity_models or {}).get("gradient_boosting"))
         return _hurdle_models(spark, sf_dir, activity_models, boosting_params)
 
 
@@ -188,7 +218,7 @@ def _hurdle_models(spark, sf_dir, activity_models, boosting_params) -> dict:
     use_iso = ML.isotonic_gate(chk[f"{selected}_raw"], chk[f"{selected}_isotonic"])
     out = {"models": models, "selected": selected, "isotonic": iso, "use_isotonic": use_iso,
            "operational": f"{selected}_{'isotonic' if use_iso else 'raw'}", "calibration_metrics": cal_rows,
-           "check_metrics": list(chk.values()), "pattern_models": pattern, "classes": classes, "n_train": n_train}
+           "boosting_params": boosting_params, "check_metrics": list(chk.values()), "pattern_models": pattern, "classes": classes, "n_train": n_train}
     _MODEL_CACHE[key] = out
     return out
 
