@@ -1,4 +1,4 @@
-"""Exact Jaccard join of word shingle sets by recursive metric regions.
+"""Exact Jaccard join of word shingle sets by regions of projections, stars and one pass of pivot cells.
 
 Jaccard distance is a metric, and sets link within the radius t = 1 - similarity. Distances between
 unrelated texts all lie near 1, where triangle windows around document pivots exclude nothing, so the
@@ -160,28 +160,6 @@ def _compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", common.alias("common"), (F.size("sa") + F.size("sb") - common).alias("total"))
 
 
-def _excess(cells: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """p, sid, e, room of those distinct ``cells`` (p, sid) that may link to another set of the cell of p.
-
-    With x' the symmetric difference of x and the pivot, |x ^ y| = |x'| + |y'| - 2 |x' & y'|, so x and y link
-    if and only if e(x) + e(y) <= 2 (den + num) |x' & y'| with e(x) = (den + num) |x'| - (den - num) |x|. At most the
-    elements of x' that another difference of the cell holds as well can be in x' & y'; with s(x) of them,
-    e(y) <= room(x) = 2 (den + num) s(x) - e(x), and likewise with x and y exchanged."""
-    pivot = sets.select(F.col("sid").alias("p"), F.col("shingles").alias("sp"))
-    both = cells.join(sets, "sid").join(pivot, "p")
-    change = F.concat(F.array_except("shingles", "sp"), F.array_except("sp", "shingles"))
-    moved = stash(both.select("p", "sid", F.size("shingles").alias("n"), change.alias("change")), "jaccard-changes")
-    each = moved.select("p", "sid", F.explode("change").alias("g"))
-    common = each.groupBy("p", "g").agg(F.count("*").alias("held")).where(F.col("held") > 1)
-    shared = each.join(common, ["p", "g"]).groupBy("p", "sid").agg(F.count("*").alias("s"))
-    e = (den + num) * F.size("change") - (den - num) * F.col("n")
-    got = moved.select("p", "sid", e.cast("long").alias("e")).join(shared, ["p", "sid"], "left").select(
-        "p", "sid", "e", (2 * (den + num) * F.coalesce("s", F.lit(0)) - F.col("e")).alias("room"))
-    got = stash(got, "jaccard-excess")
-    ends = got.groupBy("p").agg(F.min("e").alias("least"), F.max("room").alias("most"))
-    return got.join(ends, "p").where((F.col("e") <= F.col("most")) & (F.col("least") <= F.col("room"))).select("p", "sid", "e", "room")
-
-
 def _relabel(labels: DataFrame, edges: DataFrame) -> DataFrame:
     """``labels`` (sid, label) after merging the components that ``edges`` (a, b) join."""
     a = labels.select(F.col("sid").alias("a"), F.col("label").alias("u"))
