@@ -91,8 +91,37 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after the contract's damage."""
+    from caseload.llm.conversation import contract_damage, repair, repaired_digest
+
+    damaged = contract_damage(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    report, pieces = repair(damaged)
+    return repaired_digest(report, pieces).select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, from all vectors."""
+    from caseload.llm.hardneg import mine_hard_negatives
+
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 400-byte strings that occur again."""
+    from caseload.llm.suffixdedup import dedup_spans
+
+    out = dedup_spans(documents(spark, sf_dir).select("doc_id", "text"), 400)
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return out.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), gone.alias("n_removed"),
+                      F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sharding, op2_best_fit_packing, op3_toxicity, op4_jaccard_join, op5_secrets, op6_line_dedup, op7_lm_scoring, op8_decontamination, op9_quality_rules, op10_warc)
+    f.__name__: f for f in (op1_sharding, op2_best_fit_packing, op3_toxicity, op4_jaccard_join, op5_secrets, op6_line_dedup, op7_lm_scoring, op8_decontamination, op9_quality_rules, op10_warc,
+                               op11_conversation_repair, op12_hard_negatives, op13_suffix_dedup)
 }
 
 _SPACES = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -181,10 +210,32 @@ SELECT d.doc_id, len(d.s)::BIGINT AS n_shingles, coalesce(r.root, d.doc_id) AS c
 FROM sets d LEFT JOIN classes c ON len(d.s) > 0 AND list_sort(d.s) = c.s LEFT JOIN roots r ON c.rep = r.u
 """
 
+OP12_SQL = """
+WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256.0::DOUBLE * x::DOUBLE)) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.x, b.x)::BIGINT AS score
+  FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id
+  WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id, row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS rank,
+       s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scores s ON p.anchor_id = s.anchor_id AND NOT s.same
+ AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) <= 5
+"""
+
 #: DuckDB SQL. The others use what SQL has not: fitted models, tokenizers, CRC-32, iterative estimates.
 SQL: dict[str, str] = {
     "op4_jaccard_join": OP4_SQL,
     "op5_secrets": OP5_SQL,
     "op6_line_dedup": OP6_SQL,
     "op10_warc": OP10_SQL,
+    "op12_hard_negatives": OP12_SQL,
 }

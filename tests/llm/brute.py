@@ -112,3 +112,109 @@ def components(docs: list[tuple], n: int = 3, num: int = 90, den: int = 100) ->
         r = find(i)
         least[r] = min(least.get(r, i), i)
     return {i: (len(sets[i]), least[find(i)]) for i in sets}
+
+
+def repeated_spans(texts: list, length: int) -> list[tuple]:
+    """(maximal removed [start, stop), bytes left) of each text."""
+    data = [(t or "").encode() for t in texts]
+    counts = Counter(d[p:p + length] for d in data for p in range(len(d) - length + 1))
+    out = []
+    for d in data:
+        gone = [False] * len(d)
+        for p in range(len(d) - length + 1):
+            if counts[d[p:p + length]] > 1:
+                gone[p:p + length] = [True] * length
+        spans, start = [], None
+        for i, g in enumerate([*gone, False]):
+            if g and start is None:
+                start = i
+            if not g and start is not None:
+                spans.append((start, i))
+                start = None
+        out.append((spans, bytes(b for b, g in zip(d, gone) if not g)))
+    return out
+
+
+def hard_negatives(rows: list, is_anchor, k: int = 5) -> list[tuple]:
+    """Sorted (anchor, positive, rank, negative, positive score, negative score) of (id, vector, label) rows."""
+    import math
+
+    ok = {(i, tuple(math.floor(256.0 * x) for x in v), y) for i, v, y in rows
+          if i is not None and v is not None and y is not None and all(x is not None and math.isfinite(x) for x in v)}
+    out = []
+    for i, a, y in ok:
+        if not is_anchor(i):
+            continue
+        scored = sorted((-sum(p * q for p, q in zip(a, b)), j, z) for j, b, z in ok)
+        for p, j in [(-s, j) for s, j, z in scored if z == y and j != i][:k]:
+            for rank, (s, n) in enumerate([(-s, n) for s, n, z in scored if z != y and 80 * p <= -100 * s <= 100 * p][:k], 1):
+                out.append((i, j, rank, n, p, s))
+    return sorted(out)
+
+
+_NEXT = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+
+
+def cheapest_edits(rows: list) -> tuple[int, str]:
+    """(cost, audit) of (initial, fault) rows by a dynamic program over suffixes; faults: 1 blank, 2 duplicate, 3 truncated."""
+    best = {"": (0, ""), "a": (0, "")}
+
+    def inserts(best):
+        for _ in range(4):
+            for s in ("", "s", "u", "a"):
+                t = _NEXT.get((s, "u")) or _NEXT.get((s, "a"))
+                if t in best:
+                    best[s] = min(best.get(s, (10 ** 9, "")), (best[t][0] + 3, "I" + best[t][1]))
+        return best
+
+    best = inserts(best)
+    for initial, fault in reversed(rows):
+        now = {}
+        for s in ("", "s", "u", "a"):
+            ways = [(4, "D", s)]
+            if fault not in (1, 2):
+                more = 3 * (fault == 3)
+                if initial == "" or (s, initial) in _NEXT:
+                    ways.append((more, "K", _NEXT[s, initial] if initial else s))
+                ways += [(3 + more, "R", _NEXT[s, r]) for r in "ua" if (s, r) in _NEXT]
+            ways = [(c + best[t][0], e + best[t][1]) for c, e, t in ways if t in best]
+            if ways:
+                now[s] = min(ways)
+        best = inserts(now)
+    return best[""]
+
+
+def conversations(rows: list) -> list[tuple]:
+    """The contract's row of each conversation of (conv_id, turn, role, text) rows."""
+    import zlib
+
+    told = defaultdict(list)
+    for conv, turn, role, text in rows:
+        told[conv]
+        kind = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        told[conv] += [(turn, "user" if kind == 4 else role, text)] * (0 if kind == 0 else 2 if kind == 3 else 1)
+    out = []
+    for conv, said in told.items():
+        said.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
+        seen, faults = set(), []
+        for _, role, text in said:
+            bare = text.strip(" \t\n\x0b\f\r")
+            faults.append(1 if not bare else 2 if (role, text) in seen else 3 if bare[-1] not in ".!?" else 0)
+            seen.add((role, text))
+        cost, audit = cheapest_edits([(r[1][:1], f) for r, f in zip(said, faults)])
+        state, left, kept = "", iter(said), []
+        for edit in audit:
+            role, text = ("", "") if edit == "I" else next(left)[1:]
+            if edit == "D":
+                continue
+            if edit != "K":
+                role = "user" if (state, "u") in _NEXT else "assistant"
+            state = _NEXT[state, role[0]] if role else state
+            kept.append(f"{role}:{text}")
+        turns = {r[0] for r in said} - {None}
+        out.append((conv, max(turns) - min(turns) + 1 - len(turns) if turns else 0, *[faults.count(f) for f in (1, 2, 3)],
+                    sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(said, said[1:])), cost, audit,
+                    hashlib.sha256("\n".join(kept).encode()).hexdigest()))
+    return out

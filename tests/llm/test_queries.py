@@ -19,7 +19,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables abs
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "embeddings"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return c
 
@@ -31,9 +31,9 @@ def docs(con):
 
 def test_all_are_registered():
     names = E.queries()
-    assert [n for n in Q.QUERIES if n.startswith("op")] == list(Q.QUERIES) and len(Q.QUERIES) == 10
+    assert [n for n in Q.QUERIES if n.startswith("op")] == list(Q.QUERIES) and len(Q.QUERIES) == 13
     assert set(Q.QUERIES) | {"pipeline"} <= set(names) and set(Q.SQL) <= set(E.oracle_sql())
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(Q.SQL))
