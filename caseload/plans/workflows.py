@@ -8,7 +8,6 @@ Each is written once per application to the shared stage folder and reused.
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -128,77 +127,126 @@ def pilot(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------- lens 2 with fitted models
 _MODEL_CACHE: dict = {}
 
+GRID_PARAMS = ("learning_rate", "max_leaf_nodes", "l2_regularization")
+_GRID_SCHEMA = ("rank int, learning_rate double, max_leaf_nodes int, l2_regularization double, mean_log_loss double, "
+                "std_log_loss double, rounds int, at_grid_edge string")
 
-GRID_PARAMS = ("learning_rate", "max_leaf_nodes", "min_info_gain")
-_GRID_SCHEMA = ("rank int, learning_rate double, max_leaf_nodes int, min_info_gain double, mean_log_loss double, "
-                "std_log_loss double, at_grid_edge string")
 
+def _settings(activity_models: dict | None) -> list | None:
+    return None if activity_models is None else sorted((n, repr(m)) for n, m in activity_models.items())
 
-def grid_results(spark: SparkSession, sf_dir: str, boosting: Pipeline | None = None) -> DataFrame:
+
+def _remembered(spark, sf_dir, name: str, build):
+    """A small driver object (trees, edges), built once per application, input and settings."""
+    from caseload.plans.stages import _LOCK, _fingerprint
+
+    key = (spark.sparkContext.applicationId, sf_dir, _fingerprint(spark, sf_dir), name)
+    with _LOCK:
+        if key not in _MODEL_CACHE:
+            _MODEL_CACHE[key] = build()
+        return _MODEL_CACHE[key]
+
+
+def _split(spark, sf_dir, name: str) -> DataFrame:
+    return labeled_cadence(spark, sf_dir).where(F.col("data_split") == name)
+
+
+def activity_inputs(spark: SparkSession, sf_dir: str):
+    """(medians, bin frame, written blocks) of the training rows, shared by every fit."""
+    from caseload.operators import models as ML
+
+    train = _split(spark, sf_dir, "train")
+    fill = _remembered(spark, sf_dir, "medians", lambda: ML.feature_medians(train))
+    frame = _remembered(spark, sf_dir, "activity_frame", lambda: ML.activity_frame(train, fill))
+    return fill, frame, materialized(spark, "activity_blocks", sf_dir, lambda: ML.activity_blocks(train, frame))
+
+
+def fold_months(spark: SparkSession, sf_dir: str, n_folds: int = 4) -> list[tuple[frozenset, frozenset]]:
+    """Training and validation months of each expanding fold of train (one row a fold and month)."""
+    from caseload.operators import models as ML
+    from caseload.operators.baselines import expanding_folds
+
+    rows = expanding_folds(_split(spark, sf_dir, "train"), F.lit(True), n_folds).select("fold", "role", ML.month_number().alias("m")).collect()
+    months = lambda fold, role: frozenset(r.m for r in rows if r.fold == fold and r.role == role)
+    return [(months(f, "train"), months(f, "validation")) for f in sorted({r.fold for r in rows})]
+
+
+def grid_results(spark: SparkSession, sf_dir: str, boosting=None, grid: dict | None = None) -> DataFrame:
     """Every candidate of the boosting grid over 4 expanding folds of train, the winner at rank 1;
     ``at_grid_edge`` names the winner's parameters that lie at an end of the grid."""
     from caseload.operators import models as ML
-    from caseload.operators.baselines import expanding_folds
+
+    grid = ML.HISTOGRAM_GRID if grid is None else grid
+    base = boosting or ML.Boosting()
 
     def build():
-        train = labeled_cadence(spark, sf_dir).where(F.col("data_split") == "train")
-        rows = ML.grid_search(train, expanding_folds(train, F.lit(True), 4), ML.HISTOGRAM_GRID, pipeline=boosting)
-        edge = ",".join(n for n in GRID_PARAMS if rows[0][f"{n}_at_grid_edge"])
-        return spark.createDataFrame([(i + 1, float(r["learning_rate"]), int(r["max_leaf_nodes"]), float(r["min_info_gain"]), r["mean_log_loss"],
-                                       r["std_log_loss"], edge if i == 0 else None) for i, r in enumerate(rows)], _GRID_SCHEMA)
-    given = None if boosting is None else [sorted((p.name, repr(v)) for p, v in s.extractParamMap().items()) for s in boosting.getStages()]
-    return materialized(spark, f"grid_search-{settings_key(given, sorted(ML.HISTOGRAM_GRID.items()))}", sf_dir, build)
+        _, frame, blocks = activity_inputs(spark, sf_dir)
+        rows = ML.grid_search(blocks, frame, fold_months(spark, sf_dir), grid, base)
+        edge = ",".join(n for n in grid if rows[0][f"{n}_at_grid_edge"])
+        of = lambda r, n: r.get(n, getattr(base, n))
+        return spark.createDataFrame([(i + 1, float(of(r, "learning_rate")), int(of(r, "max_leaf_nodes")), float(of(r, "l2_regularization")), r["mean_log_loss"],
+                                       r["std_log_loss"], r["rounds"], edge if i == 0 else None) for i, r in enumerate(rows)], _GRID_SCHEMA)
+    return materialized(spark, f"grid_search-{settings_key(repr(base), sorted(grid.items()))}", sf_dir, build)
 
 
-def grid_winner(spark: SparkSession, sf_dir: str, boosting: Pipeline | None = None) -> dict:
-    row = grid_results(spark, sf_dir, boosting).where("rank = 1").first()
+def grid_winner(spark: SparkSession, sf_dir: str, boosting=None, grid: dict | None = None) -> dict:
+    row = grid_results(spark, sf_dir, boosting, grid).where("rank = 1").first()
     return {n: row[n] for n in GRID_PARAMS}
 
 
+def logistic_model(spark: SparkSession, sf_dir: str, settings=None):
+    """M7: the fitted logistic candidate; needs no grid search."""
+    from caseload.operators import models as ML
+
+    settings = settings or ML.Logistic()
+
+    def build():
+        fill, _, _ = activity_inputs(spark, sf_dir)
+        return ML.fit_logistic(_split(spark, sf_dir, "train"), settings, fill)
+    return _remembered(spark, sf_dir, f"logistic-{settings!r}", build)
+
+
+def pattern_model(spark: SparkSession, sf_dir: str):
+    """The Stage-2 multiclass booster on the active training rows."""
+    from caseload.operators import models as ML
+
+    def build():
+        active = _split(spark, sf_dir, "train").where("next_has_order = 1")
+        classes = sorted(r.next_active_pattern for r in active.select("next_active_pattern").distinct().collect())
+        fill = ML.feature_medians(active)
+        frame = ML.bin_frame(active, ML.FEATURES, fill, classes)
+        blocks = materialized(spark, "pattern_blocks", sf_dir, lambda: ML.pattern_blocks(active, frame))
+        return ML.fit_many(blocks, frame, [ML.Fit("pattern", ML.PATTERN_SETTINGS)])["pattern"][0]
+    return _remembered(spark, sf_dir, "pattern_model", build)
+
+
 def hurdle_models(spark: SparkSession, sf_dir: str, activity_models: dict | None = None,
-                  boosting_params: dict | None = None) -> dict:
+                  boosting_params: dict | None = None, histogram_grid: dict | None = None) -> dict:
     """Fit logistic and boosting on train, champion rule on calibration, isotonic gate
-    on the last calibration month, Stage-2 pattern models; returns models and scalar metrics.
-    Without ``boosting_params`` the boosting candidate takes the winner of the grid search."""
-    from caseload.operators import metrics as M
+    on the last calibration month, Stage-2 pattern model; returns models and scalar metrics.
+    Without ``boosting_params`` the boosting candidate takes the winner of the grid search over ``histogram_grid``."""
     from caseload.operators import models as ML
 
-    from caseload.plans.stages import _LOCK
-    with _LOCK:
-        if boosting_params is None:
-            boosting_params = grid_winner(spark, sf_dir, (activity_models or {}).get("gradient_boosting"))
-        return _hurdle_models(spark, sf_dir, activity_models, boosting_params)
+    ML.prepare_activity_models(activity_models)  # the caller's candidates are checked before anything is fitted
+    if boosting_params is None:
+        boosting_params = grid_winner(spark, sf_dir, (activity_models or {}).get("gradient_boosting"), histogram_grid)
+    key = settings_key(_settings(activity_models), sorted(boosting_params.items()))
+    return _remembered(spark, sf_dir, f"hurdle-{key}", lambda: _hurdle_models(spark, sf_dir, activity_models, boosting_params, key))
 
 
-def _hurdle_models(spark, sf_dir, activity_models, boosting_params) -> dict:
+def _hurdle_models(spark, sf_dir, activity_models, boosting_params, key) -> dict:
+    from caseload.operators import isotonic as ISO
     from caseload.operators import metrics as M
     from caseload.operators import models as ML
 
-    given = sorted((name, [(type(s).__name__, sorted((p.name, repr(v)) for p, v in s.extractParamMap().items())) for s in pipe.getStages()])
-                   for name, pipe in (activity_models or {}).items())
-    key = (spark.sparkContext.applicationId, sf_dir, settings_key(given, boosting_params))
-    if key in _MODEL_CACHE:
-        return _MODEL_CACHE[key]
     cal = DEFAULT_CALENDAR
-    cad = labeled_cadence(spark, sf_dir)
-    train = cad.where(F.col("data_split") == "train")
-    calib = cad.where(F.col("data_split") == "calibration")
-    if train.limit(1).count() == 0 or calib.limit(1).count() == 0:
+    calib = _split(spark, sf_dir, "calibration")
+    if _split(spark, sf_dir, "train").limit(1).count() == 0 or calib.limit(1).count() == 0:
         raise ValueError("The train/calibration/forward split is incomplete")
-    train = train.persist()
-    n_train = train.count()
-    from concurrent.futures import ThreadPoolExecutor
-    candidates = ML.prepare_activity_models(activity_models, n_train=n_train, boosting_params=boosting_params)
-    classes = sorted(r.next_active_pattern for r in train.where("next_has_order = 1")
-                     .select("next_active_pattern").distinct().collect())
-    active = train.where("next_has_order = 1")
-    # all fits are independent Spark jobs; one pool lets their many small boosting stages overlap
-    with ThreadPoolExecutor(max_workers=len(candidates) + len(classes)) as pool:
-        futures = {name: pool.submit(ML.fit, pipe, train) for name, pipe in candidates.items()}
-        pattern_futures = {c: pool.submit(ML.pattern_model, active, c) for c in classes}
-        models = {name: f.result() for name, f in futures.items()}
-        pattern = {c: f.result() for c, f in pattern_futures.items()}
-    train.unpersist()
+    candidates = ML.prepare_activity_models(activity_models, boosting_params=boosting_params)
+    _, frame, blocks = activity_inputs(spark, sf_dir)
+    models = {"logistic": logistic_model(spark, sf_dir, candidates["logistic"]),
+              "gradient_boosting": ML.fit_many(blocks, frame, [ML.Fit("final", candidates["gradient_boosting"])])["final"][0]}
 
     def metrics(df, cols, window):
         long = M.long_probabilities(df, "next_has_order", cols)
@@ -207,56 +255,53 @@ def _hurdle_models(spark, sf_dir, activity_models, boosting_params) -> dict:
     scored_cal = calib
     for name, m in models.items():
         scored_cal = ML.positive_probability(m, scored_cal, f"p_{name}")
+    scored_cal = materialized(spark, f"model_calibration-{key}", sf_dir,
+                              lambda: scored_cal.select("customer_public_id", "target_month", "next_has_order", *[f"p_{n}" for n in models]))
     cal_rows = metrics(scored_cal, {n: f"p_{n}" for n in models}, "calibration")
     selected = ML.champion({r["model"]: r["log_loss"] for r in cal_rows})
     fit_rows = scored_cal.where(F.col("target_month") < F.lit(cal.calib_end))
     check = scored_cal.where(F.col("target_month") == F.lit(cal.calib_end))
-    iso = ML.isotonic_calibrator(fit_rows, f"p_{selected}")
-    check = ML.apply_isotonic(iso, check, f"p_{selected}", "p_isotonic")
+    iso = ISO.fit_isotonic(fit_rows, f"p_{selected}", "next_has_order")
+    check = iso.apply(check, f"p_{selected}", "p_isotonic")
     chk = {r["model"]: r for r in metrics(check, {f"{selected}_raw": f"p_{selected}",
                                                   f"{selected}_isotonic": "p_isotonic"}, "calibration_check")}
     use_iso = ML.isotonic_gate(chk[f"{selected}_raw"], chk[f"{selected}_isotonic"])
-    out = {"models": models, "selected": selected, "isotonic": iso, "use_isotonic": use_iso,
-           "operational": f"{selected}_{'isotonic' if use_iso else 'raw'}", "calibration_metrics": cal_rows,
-           "boosting_params": boosting_params, "check_metrics": list(chk.values()), "pattern_models": pattern, "classes": classes, "n_train": n_train}
-    _MODEL_CACHE[key] = out
-    return out
+    return {"models": models, "selected": selected, "isotonic": iso, "use_isotonic": use_iso, "key": key,
+            "operational": f"{selected}_{'isotonic' if use_iso else 'raw'}", "calibration_metrics": cal_rows,
+            "boosting_params": boosting_params, "check_metrics": list(chk.values()), "pattern_model": pattern_model(spark, sf_dir)}
 
 
-def model_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Forward rows with the probabilities of both candidates, the operational model and both baselines."""
+def model_forward(spark: SparkSession, sf_dir: str, **given) -> DataFrame:
+    """Forward rows with the probabilities of both candidates, the operational model and both baselines.
+    ``given``: the arguments of ``hurdle_models``."""
     from caseload.operators import models as ML
     from caseload.operators.baselines import apply_baselines
 
+    h = hurdle_models(spark, sf_dir, **given)
+
     def build():
-        h = hurdle_models(spark, sf_dir)
-        cad = labeled_cadence(spark, sf_dir)
-        fwd = apply_baselines(cad.where(F.col("data_split") == "forward"), cad.where(F.col("data_split") == "train"))
+        fwd = apply_baselines(_split(spark, sf_dir, "forward"), _split(spark, sf_dir, "train"))
         for name, model in h["models"].items():
             fwd = ML.positive_probability(model, fwd, f"p_{name}")
         fwd = fwd.withColumn("p_raw", F.col(f"p_{h['selected']}"))
-        fwd = ML.apply_isotonic(h["isotonic"], fwd, "p_raw", "p_isotonic")
+        fwd = h["isotonic"].apply(fwd, "p_raw", "p_isotonic")
         fwd = fwd.withColumn("p_operational", F.col("p_isotonic" if h["use_isotonic"] else "p_raw"))
         return fwd.select("customer_public_id", "target_month", "next_has_order", *[f"p_{n}" for n in h["models"]],
                           "p_raw", "p_isotonic", "p_operational", "p_markov", "p_global")
-    return materialized(spark, "model_forward", sf_dir, build)
+    return materialized(spark, f"model_forward-{h['key']}", sf_dir, build)
 
 
-def hurdle_model_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lens 2 forward sidecar from the fitted, gated operational model and Stage-2 models."""
+def hurdle_model_predictions(spark: SparkSession, sf_dir: str, **given) -> DataFrame:
+    """Lens 2 forward sidecar from the fitted, gated operational model and the Stage-2 model."""
     from caseload.operators import models as ML
     from caseload.operators.hurdle import hurdle_predictions
 
+    h = hurdle_models(spark, sf_dir, **given)
+
     def build():
-        h = hurdle_models(spark, sf_dir)
-        fwd = labeled_cadence(spark, sf_dir).where(F.col("data_split") == "forward")
-        sel = h["selected"]
-        fwd = ML.positive_probability(h["models"][sel], fwd, "p_raw")
-        if h["use_isotonic"]:
-            fwd = ML.apply_isotonic(h["isotonic"], fwd, "p_raw", "p_operational")
-        else:
-            fwd = fwd.withColumn("p_operational", F.col("p_raw"))
-        fwd = ML.pattern_probabilities(h["pattern_models"], fwd)
+        p = model_forward(spark, sf_dir, **given).select("customer_public_id", "target_month", "p_raw", "p_operational")
+        fwd = _split(spark, sf_dir, "forward").join(p, ["customer_public_id", "target_month"])
+        fwd = ML.pattern_probabilities(h["pattern_model"], fwd).drop("pattern_probabilities")
         return hurdle_predictions(fwd, p_col="p_operational", pattern_pred_col="predicted_pattern",
                                   pattern_p_actual_col="p_pattern_actual", threshold=0.5)
-    return materialized(spark, "hurdle_model_predictions", sf_dir, build)
+    return materialized(spark, f"hurdle_model_predictions-{h['key']}", sf_dir, build)
