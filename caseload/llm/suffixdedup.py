@@ -35,8 +35,8 @@ RUN_BYTES = 64 << 20
 MERGE_BYTES = 24 << 20
 #: Sampled suffixes for each merging task.
 SAMPLES = 24
-#: Rows of a table that is sent to all tasks; beyond it, a shuffle join.
-SENT_ROWS = 500_000
+#: Rows, spans or anchors of a table that is sent to all tasks (a few MB); beyond it, a shuffle join.
+SENT_ROWS = 100_000
 
 _BASE = 0xD6E8FEB86659FD93
 
@@ -366,7 +366,8 @@ def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
     of texts (row, data). Spans may overlap. ``texts`` must give the same rows whenever it is read."""
     tool = Hasher(length)
     anchors = stash(anchor_table(texts, length), "suffix-anchors")
-    again = anchors.groupBy("context").agg(F.count("*").alias("n")).where("n > 1").select("context")
+    # written first: its join then has plain exchanges on both sides, and a context of very many anchors is split
+    again = stash(anchors.groupBy("context").agg(F.count("*").alias("n")).where("n > 1").select("context"), "suffix-again")
     kept = stash(anchors.join(again, "context").groupBy("row").agg(F.collect_list(F.struct("at", "low", "high", "context")).alias("anchors")), "suffix-kept")
     places = kept.agg(F.sum(F.size("anchors"))).first()[0] or 0
     held = stash(_joined(texts, kept, "row", "inner", places)
@@ -414,13 +415,14 @@ def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
                         [pa.array(np.repeat(np.array([a[0] for a in own], np.int64), counts)), pa.array(tool.strings(starts - at, length)),
                          pa.array(np.full(len(starts), row, np.int64)), pa.array(starts.astype(np.int64)), pa.array(ask)], ["context", "string", "row", "start", "ask"])
 
-    n = wanted.count()
+    n = wanted.agg(F.coalesce(F.sum(1 + F.size("asked")), F.lit(0))).first()[0]
     strings = stash(_joined(held.select("row", "data"), wanted, "row", "inner", n).mapInArrow(
         probe, "context long, string long, row long, start long, ask boolean"), "suffix-strings")
-    twice = strings.groupBy("context", "string").agg(F.count("*").alias("n"), F.max("ask").alias("ask")).where("n > 1 and ask").select("context", "string")
+    twice = strings.groupBy("context", "string").agg(F.count("*").alias("n"), F.max("ask").alias("ask")).where("n > 1 and ask")
+    twice = stash(twice.select("context", "string"), "suffix-twice")
     hits = strings.where("ask").join(twice, ["context", "string"]).select("row", "start", (F.col("start") + length).alias("stop"))
     out = stash(settled.where("open is null").select("row", "start", "stop").unionByName(hits), "suffix-spans")
-    discard(anchors, kept, held, byrow, settled, wanted, strings)
+    discard(anchors, again, kept, held, byrow, settled, wanted, strings, twice)
     return out
 
 
@@ -467,7 +469,7 @@ def dedup_spans(docs: DataFrame, length: int = 400, text_col: str = "text") -> D
     byrow = stash(spans.groupBy("row").agg(F.collect_list(F.struct("start", "stop")).alias("spans")).mapInPandas(_joined_spans, f"row long, removed {_SPANS}")
                   .unionByName(copies.select("row", F.lit(None).cast(_SPANS).alias("removed"))), "suffix-removed")
     byrow = byrow.groupBy("row").agg(F.max(F.col("removed").isNull()).alias("whole"), F.max("removed").alias("removed"))
-    n_rows = byrow.count()
+    n_rows = byrow.agg(F.coalesce(F.sum(1 + F.coalesce(F.size("removed"), F.lit(0))), F.lit(0))).first()[0]
     done = _joined(numbered, byrow, "row", "left", n_rows)
     size = F.length("data").cast("long")
     done = done.withColumn("removed", F.when(F.col("whole"), F.array(F.struct(F.lit(0).cast("long").alias("start"), size.alias("stop"))))
