@@ -51,7 +51,7 @@ def discard(*tables: DataFrame) -> None:
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table._stash_path)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
     gc.collect()
-    tables[0].sparkSession.sparkContext._jvm.System.gc()
+    SparkSession.getActiveSession().sparkContext._jvm.System.gc()
 
 
 def rereadable(df: DataFrame, name: str) -> DataFrame:

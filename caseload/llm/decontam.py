@@ -44,8 +44,29 @@ _WORD = re.compile(r"[^\W_]+")
 MATCH = "array<struct<item_id:bigint,cosine:double,lcs:double,weight:double,answer:double>>"
 
 
+#: ASCII characters that are no letters or digits become spaces; the bytes of other characters stay.
+_TO_SPACES = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
+
+
 def words_of(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
+    """``_WORD.findall`` of the lower-cased text: split at ASCII separators first, the expression only where other
+    characters are."""
+    if not text:
+        return []
+    text = text.lower()
+    try:
+        pieces = text.encode().translate(_TO_SPACES).decode().split()
+    except UnicodeEncodeError:  # lone surrogates
+        return _WORD.findall(text)
+    if text.isascii():
+        return pieces
+    out: list[str] = []
+    for piece in pieces:
+        if piece.isascii() or piece.isalnum():
+            out.append(piece)
+        else:
+            out += _WORD.findall(piece)
+    return out
 
 
 def answer_words(text: str) -> set[str]:
@@ -264,6 +285,7 @@ class Search:
 
 
 def _item_blocks(items: DataFrame) -> list[DataFrame]:
+    """Blocks of distinct items (item_id, text), of about ``ITEMS`` rows each."""
     n = -(-items.count() // ITEMS)
     if n <= 1:
         return [items]
@@ -271,16 +293,16 @@ def _item_blocks(items: DataFrame) -> list[DataFrame]:
 
 
 def find_matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
-                 rank: int = RANK, cosine: float = COSINE, lcs: float = LCS, weight: float = WEIGHT, answer: float = ANSWER) -> DataFrame:
-    """``docs`` with a column matches (``MATCH``): the items that each whole text contains, verbatim or reworded.
+                 rank: int = RANK, cosine: float = COSINE, lcs: float = LCS, weight: float = WEIGHT, answer: float = ANSWER, out_col: str = "matches") -> DataFrame:
+    """``docs`` with a column ``out_col`` (``MATCH``): the items that each whole text contains, verbatim or reworded.
 
-    Null and empty texts and items match nothing; repeated rows and items are handled each; an empty
-    table on either side gives no matches; a column of ``docs`` named matches is replaced."""
-    names = [c for c in docs.columns if c != "matches"]
+    Null and empty texts and items match nothing; repeated rows are handled each, rows of ``benchmark`` equal in
+    id and text are one item; an empty table on either side gives no matches; a column of ``docs`` named ``out_col`` is replaced."""
+    names = [c for c in docs.columns if c != out_col]
     source = docs.select(*[F.col(f"`{c}`") for c in names])
-    out = source.withColumn("matches", F.array().cast(MATCH))
+    out = source.withColumn(out_col, F.array().cast(MATCH))
     items = stash(benchmark.select(F.col(f"`{item_col}`").cast("long").alias("item_id"), F.col(f"`{item_text}`").alias("text"))
-                  .where(F.length(F.trim("text")) > 0), "benchmark")
+                  .where(F.length(F.trim("text")) > 0).distinct(), "benchmark")
     limits = {"cosine": cosine, "lcs": lcs, "weight": weight, "answer": answer}
     for block in _item_blocks(items):
         given = sorted(((r.item_id, r.text) for r in block.collect()), key=lambda x: (x[0] is None, x))  # at most about ITEMS rows
@@ -311,20 +333,20 @@ def _searcher(sent, names: list[str], text_col: str, limits: dict[str, float]):
                     found += search.matches(part)
                     part, size = [], 0
             found += search.matches(part)
-            kind = batch.schema.field("matches").type
+            kind = batch.schema.field(len(names)).type
             keys = ("item_id", "cosine", "lcs", "weight", "answer")
             new = [(old or []) + [dict(zip(keys, m)) for m in ms] for old, ms in zip(batch.column(len(names)).to_pylist(), found)]
-            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(names))], pa.array(new, kind)], [*names, "matches"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(names))], pa.array(new, kind)], batch.schema.names)
 
     return run
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """One row per (row of ``docs``, item) found: id, item_id, cosine, lcs, weight, answer."""
-    found = find_matches(docs, benchmark, **options).where(F.size("matches") > 0)
-    return found.select(F.col(f"`{id_col}`").alias(id_col), F.explode("matches").alias("m")).select(id_col, "m.*")
+    found = find_matches(docs, benchmark, out_col="__matches", **options).where(F.size("__matches") > 0)
+    return found.select(F.col(f"`{id_col}`").alias(id_col), F.explode("__matches").alias("m")).select(id_col, "m.*")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` in which no item was found, unchanged."""
-    return find_matches(docs, benchmark, **options).where(F.size("matches") == 0).drop("matches")
+    return find_matches(docs, benchmark, out_col="__matches", **options).where(F.size("__matches") == 0).drop("__matches")

@@ -119,18 +119,22 @@ class Classes:
 
 
 def sketches(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """id, code (hash of the text), n, sid (hash of the set, null for empty sets), keys of ``docs`` (id, text)."""
+    """id, code (hash of the text), n, sid (hash of the set, null for empty sets), keys of ``docs`` (id, text). A task
+    gives the keys of equal sets once (as long as it remembers them)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
 
-        hashes, classes = WordHashes(), Classes(num, den)
+        hashes, classes, seen = WordHashes(), Classes(num, den), set()
         for batch in batches:
             n, sid, keys = [], [], []
             for text in batch["text"]:
                 s = shingle_set(text, words, hashes)
                 n.append(len(s))
                 sid.append(np.array([xxhash.xxh3_64_intdigest(s.tobytes())], np.uint64).astype(np.int64)[0] if len(s) else None)
-                keys.append(classes.regions(s).astype(np.int64))
+                keys.append(np.zeros(0, np.int64) if sid[-1] in seen else classes.regions(s).astype(np.int64))
+                if len(seen) >= CACHED_WORDS:
+                    seen.clear()
+                seen.add(sid[-1])
             yield pd.DataFrame({"id": batch["id"].astype("Int64"), "code": batch["code"], "n": n, "sid": pd.array(sid, "Int64"), "keys": keys})
 
     source = docs.select("id", F.xxhash64("text").alias("code"), "text")
@@ -177,10 +181,10 @@ def _differences(cells: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("p", "sid", F.size("shingles").cast("long").alias("n"), change.alias("change")).withColumn("m", F.size("change").cast("long"))
 
 
-def _cell_pairs(cells: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+def _cell_pairs(cells: DataFrame, changes: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b) that may link inside Voronoi cells: with the set nearest to linking anything, and all others.
 
-    ``cells``: p, sid, n, m, change, label, inner (the set is in its pivot's component). Symmetric difference
+    ``cells``: p, sid, n, m, label, inner (the set is in its pivot's component); ``changes``: p, sid, change. Symmetric difference
     is translation invariant: with x' the difference of x and p, |x ^ y| = |x'| + |y'| - 2 |x' & y'|. So x and y
     link if and only if e(x) + e(y) <= 2 (den + num) |x' & y'|, where e(x) = (den + num) |x'| - (den - num) |x|. If
     e(x) + e(y) <= 0 no common difference is needed; then x links to the cell's set of least e as well, and that
@@ -201,13 +205,17 @@ def _cell_pairs(cells: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFr
         F.lit(1), F.ceil((F.col("e") + F.col(other)) / (2.0 * (den + num)) - 1e-9))))
     # outer sets meet outer and inner ones, inner sets meet outer ones alone
     rows = rows.withColumn("to_out", length("least_out")).withColumn("to_in", F.when(F.col("inner") | F.col("least_in").isNull(), 0).otherwise(length("least_in")))
-    rows = stash(rows.where(F.greatest("to_out", "to_in") > 0).select("p", "sid", "n", "m", "label", "inner", "to_out", "to_in", "change"), "jaccard-changes")
-    each = rows.select("p", "sid", F.explode("change").alias("g"))
-    held = each.groupBy("p", "g").agg(F.count("*").alias("held"))
+    rows = stash(rows.where(F.greatest("to_out", "to_in") > 0).select("p", "sid", "n", "m", "label", "inner", "to_out", "to_in"), "jaccard-prefixes")
+    each = changes.join(rows.select("p", "sid"), ["p", "sid"]).select("p", "sid", F.explode("change").alias("g"))
+    held = stash(each.groupBy("p", "g").agg(F.count("*").alias("held")).where("held > 1"), "jaccard-held")
+    # differences that no other set of the cell has come first, and need no row: their number is where the others begin
     order = each.join(held, ["p", "g"]).groupBy("p", "sid").agg(F.sort_array(F.collect_list(F.struct("held", "g"))).alias("order"))
-    ahead = rows.drop("change").join(order, ["p", "sid"]).withColumn("order", F.slice("order", 1, F.greatest("to_out", "to_in").cast("int")))
-    entry = stash(ahead.select("p", "sid", "n", "m", "label", "inner", "to_out", "to_in", F.posexplode("order").alias("at", "x")).where(
-        F.col("x.held") > 1).select("p", F.col("x.g").alias("g"), "sid", "n", "m", "label", "inner", "to_out", "to_in", "at"), "jaccard-entries")
+    ahead = rows.join(order, ["p", "sid"]).withColumn("alone", F.col("m") - F.size("order")).withColumn(
+        "order", F.slice("order", 1, F.greatest(F.lit(0), F.greatest("to_out", "to_in") - F.col("alone")).cast("int")))
+    entry = stash(ahead.select("p", "sid", "n", "m", "label", "inner", "to_out", "to_in", "alone", F.posexplode("order").alias("nth", "x")).select(
+        "p", F.col("x.g").alias("g"), "sid", "n", "m", "label", "inner", "to_out", "to_in", (F.col("alone") + F.col("nth")).alias("at")), "jaccard-entries")
+    del each, order, ahead
+    discard(held)
     one = entry.where(~F.col("inner")).select("p", "g", *[F.col(c).alias(c + "1") for c in ("sid", "n", "m", "label", "to_out", "to_in", "at")])
     two = entry.select("p", "g", *[F.col(c).alias(c + "2") for c in ("sid", "n", "m", "label", "inner", "to_out", "at")])
     window = F.expr(f"{den + num} * abs(m1 - m2) <= {den - num} * (n1 + n2)")
@@ -225,13 +233,16 @@ def link_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 1
     """(id, code, n, sid of every row of ``docs`` (id, text); sid, label of every set that may link to another)."""
     keyed = stash(sketches(docs, words, num, den), "jaccard-sketches")
     table = stash(keyed.select("id", "code", "n", "sid"), "jaccard-rows")
-    reps = keyed.where(F.size("keys") > 0).groupBy("sid").agg(
-        F.min(F.struct("id", "code")).alias("rep"), F.first("keys").alias("keys"))
-    entered = reps.select("sid", F.explode("keys").alias("key"))
-    shared = entered.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > 1)
-    members = stash(entered.join(shared, "key").select("key", "sid", "size"), "jaccard-regions")
-    del reps, entered, shared
+    # one exchange of (key, sid) serves both: which keys two sets have, and the rows of these
+    entered = keyed.select("sid", F.explode("keys").alias("key")).where(F.col("key").isNotNull()).repartition("key")
+    shared = entered.groupBy("key").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).where("low != high").select("key")
+    both = stash(entered.join(shared.hint("merge"), "key").select("key", "sid"), "jaccard-shared")
+    del entered, shared
     discard(keyed)
+    both_once = both.distinct()
+    sizes = both_once.groupBy("key").agg(F.count("*").alias("size"))
+    members = stash(both_once.join(sizes, "key").select("key", "sid", "size"), "jaccard-regions")
+    discard(both)
 
     degrees = stash(members.groupBy("sid").agg(F.sum(F.col("size") - 1).alias("degree")), "jaccard-degrees")
     named = table.where(F.col("sid").isNotNull()).groupBy("sid").agg(F.min(F.struct("id", "code")).alias("rep"))
@@ -257,15 +268,21 @@ def link_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 1
             "p", "sid", "label").distinct(), "jaccard-cells")
         if nth:
             break
+        discard()
         known = tested.select(*pair_of("a", "b"))
         fresh = cells.select(*pair_of("p", "sid")).distinct().join(known, ["a", "b"], "left_anti")
         labels = _relabel(labels, linked(_compare(fresh, sets)))
     own = labels.select(F.col("sid").alias("p"), F.col("label").alias("p_label"))
     inside = cells.join(own, "p").withColumn("inner", F.col("label") == F.col("p_label")).drop("p_label")
-    near, rest = _cell_pairs(_differences(cells.select("p", "sid"), sets).join(inside, ["p", "sid"]), num, den)
+    changes = stash(_differences(cells.select("p", "sid"), sets), "jaccard-changes")
+    slim = stash(changes.drop("change").join(inside, ["p", "sid"]), "jaccard-members")
+    discard(degrees)  # and the shuffle files of the steps so far
+    near, rest = _cell_pairs(slim, changes.select("p", "sid", "change"), num, den)
     pairs = stash(near.unionByName(rest).distinct(), "jaccard-pairs")
+    del near, rest
+    discard(changes, slim)
     labels = _relabel(labels, linked(_compare(pairs, sets)))
-    discard(members, degrees, sets, tested, cells, pairs)
+    discard(members, sets, tested, cells, pairs)
     return table, labels
 
 

@@ -122,3 +122,21 @@ def test_verbatim_copies_are_candidates_at_any_size(spark, n_words, total):
             texts.append(" ".join([*host[:cut], t, *host[cut:]]))
     found = search.matches(texts)
     assert [k for k, ms in enumerate(found) if given[k // 2][0] not in {m[0] for m in ms}] == []
+
+
+def test_words_are_those_of_the_expression():
+    rng = random.Random(1)
+    for _ in range(3000):
+        text = "".join(chr(rng.choice([rng.randrange(128), rng.randrange(128, 0x500), rng.randrange(0x2000, 0x3100), rng.randrange(0x10000, 0x10500), 0x130, 0xB2, 0x660, 0x5F, 0xD800]))
+                       for _ in range(12))
+        assert D.words_of(text) == D._WORD.findall(text.lower())
+
+
+def test_a_column_named_matches_stays(spark):
+    docs = spark.createDataFrame([(1, "nothing here", "mine"), (2, ITEM_TEXT, "yours")], "doc_id long, text string, matches string")
+    bench = spark.createDataFrame([(7, ITEM_TEXT)] * 3, "item_id long, text string")
+    assert [tuple(r) for r in D.decontaminate(docs, bench).collect()] == [(1, "nothing here", "mine")]
+    assert [(r.doc_id, r.item_id) for r in D.contaminated(docs, bench).collect()] == [(2, 7)]
+
+
+ITEM_TEXT = "Which river passes the old mill of the northern province before it reaches the wide eastern bay and the harbour town? The answer is the Alder."

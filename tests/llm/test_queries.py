@@ -96,3 +96,15 @@ def test_empty_documents_through_the_pipeline(spark, tmp_path):
     for t in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{SF}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert C.run(spark, str(tmp_path)).count() == 0
+
+
+def test_pipeline_keeps_columns_of_any_name(spark):
+    """Columns of documents that are named like an operator's stay as they are; n_chars may be absent."""
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    mine = table.drop("n_chars").selectExpr("*", "42.0D AS score", "'p' AS predicted", "-1 AS held_out", "-7 AS n_lines", "'d' AS n_dropped", "'m' AS matches", "'s' AS sid", "1 AS code")
+    docs = mine
+    for name, stage in C.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+        assert docs.columns == mine.columns, name
+    kept = docs.collect()
+    assert kept and all((r.score, r.predicted, r.held_out, r.n_lines, r.n_dropped, r.matches, r.sid, r.code) == (42.0, "p", -1, -7, "d", "m", "s", 1) for r in kept)
