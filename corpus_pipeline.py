@@ -13,20 +13,25 @@ from pyspark.sql import functions as F
 from caseload.llm.common import documents, stash
 
 
+def _bare(docs: DataFrame) -> DataFrame:
+    """doc_id, text and all columns in one (``__row``), so that no column's name meets one of an operator."""
+    return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"))
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents predicted toxic go; the model learns from the labelled training rows among ``docs``."""
     from caseload.llm.toxicity import toxicity as scored
 
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return scored(docs, labels).where(F.col("predicted") == 0).select(*docs.columns)
+    return scored(_bare(docs), labels).where(F.col("predicted") == 0).select("__row.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go; every document stays, with its shorter text and its new length."""
     from caseload.llm.linededup import dedup_lines
 
-    out = dedup_lines(docs).withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    new = {"text": F.col("text"), "n_chars": F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("__row.`n_chars`"))}
+    return dedup_lines(_bare(docs)).select(*[(new[c] if c in new else F.col(f"__row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
