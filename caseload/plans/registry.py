@@ -43,5 +43,5 @@ def B(expr: str, alias: str | None = None) -> str:
 
 def load_all():
     # import for side effects: each module registers its queries
-    from caseload.plans import q_panel, q_s2, q_hurdle, q_ops, q_eval, q_audit, q_outcomes, q_models, q_explore, q_contracts  # noqa: F401
+    from caseload.plans import q_panel, q_s2, q_hurdle, q_ops, q_eval, q_audit, q_outcomes, q_models, q_explore, q_contracts, q_sidecars  # noqa: F401
     return REGISTRY

@@ -124,6 +124,25 @@ def pilot(spark: SparkSession, sf_dir: str) -> DataFrame:
                         lambda: pilot_allocation(merged_lenses(spark, sf_dir), cap))
 
 
+def committed_sidecars(spark: SparkSession, sf_dir: str):
+    """SNK1: (root, manifest) of the row-level outputs of both lenses and the operational layer, committed together once
+    per application. The lens-1 forward rows are split by month, episodes by lens."""
+    from caseload.operators.pilot import allocation_key
+    from caseload.plans.stages import stage_path
+    from caseload.sources import sidecars as SC
+
+    root = stage_path(spark, "sidecars", sf_dir)
+
+    def build():
+        return SC.commit(spark, root, {
+            "peer_forward": SC.Sidecar(peer_forward(spark, sf_dir), ("customer_public_id", "transaction_month"), ("transaction_month",)),
+            "hurdle_predictions": SC.Sidecar(hurdle_baseline(spark, sf_dir), ("customer_public_id", "target_month")),
+            "episodes": SC.Sidecar(episodes(spark, sf_dir), ("episode_id",), ("lens",)),
+            "pilot_allocation": SC.Sidecar(allocation_key(pilot(spark, sf_dir), CAPACITIES[1]), ("case_id",)),
+        })
+    return root, _remembered(spark, sf_dir, "sidecars", build)
+
+
 # --------------------------------------------------------------------------- lens 2 with fitted models
 _MODEL_CACHE: dict = {}
 
