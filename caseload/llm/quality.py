@@ -126,7 +126,8 @@ def mcd(rows: DataFrame) -> DataFrame:
     now = stash(_inverse(start), "quality-mcd")
     for step in range(STEPS):
         far = rows.join(now, "grp").select("grp", *FEATURES, *[f"o{i}" for i in range(p)], _distance().alias("d2"))
-        edge = far.groupBy("grp").agg(F.percentile_approx("d2", CORE).alias("edge"))
+        # written, so that its size is known and the rows need not be shuffled by group
+        edge = stash(far.groupBy("grp").agg(F.percentile_approx("d2", CORE).alias("edge")), "quality-edge")
         core = far.join(edge, "grp").where(F.col("d2") <= F.col("edge"))
         new = stash(_inverse(_moments(core)), "quality-mcd")
         moved = new.join(now.select("grp", F.col("log_det").alias("was")), "grp").agg(F.max(F.abs(F.col("log_det") - F.col("was")))).first()[0]
