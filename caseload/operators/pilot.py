@@ -1,8 +1,8 @@
 """Stratified blinded pilot (P1-P7) on the latest month of the merged lenses.
 
-Every step is a filter, a seeded md5 order with ``row_number() <= n`` and a ``left_anti`` join
-against the customers already used (at most the pilot size, 250 rows: a proven broadcast
-bound). The fill size is computed lazily from a one-row count, so nothing visits the driver.
+The draw is one pass over the latest month. Each stratum keeps the rows of smallest seeded md5, as many as
+its target and all earlier targets together (so many can be taken before its turn), by partial top-k windows.
+The few hundred rows kept are then chosen serially, stratum by stratum, in one expression.
 """
 
 from __future__ import annotations
@@ -11,24 +11,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseload.config import CASE_TOKEN_PREFIX, PILOT_TARGETS, RANDOM_STATE
-from caseload.session import ensure_checkpoint_dir
 
 CUR = "customer_public_id"
 MONTH = "transaction_month"
 
 
-def deterministic_sample(pool: DataFrame, n, seed: int, partition_cols=(), max_n: int | None = None) -> DataFrame:
-    """N rows without replacement (whole pool when smaller), ordered by md5(seed|customer|month).
-    ``n`` is an int or a column (e.g. from a one-row count); with a column, ``max_n`` is a literal
-    upper bound so the draw still plans as a distributed top-n."""
-    key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(CUR), F.date_format(MONTH, "yyyy-MM-dd")))
-    w = Window.partitionBy(*partition_cols).orderBy(key, F.col(CUR)) if partition_cols else Window.orderBy(key, F.col(CUR))
-    drawn = pool.withColumn("_draw", F.row_number().over(w))
-    if isinstance(n, int):
-        return drawn.where(F.col("_draw") <= n).drop("_draw")
-    if max_n is not None:
-        drawn = drawn.where(F.col("_draw") <= max_n)
-    return drawn.where(F.col("_draw") <= n).drop("_draw")
+def deterministic_sample(pool: DataFrame, n: int, seed: int, partition_cols=()) -> DataFrame:
+    """N rows without replacement (whole pool when smaller), ordered by md5(seed|customer|month)."""
+    order = Window.partitionBy(*partition_cols).orderBy(_draw_key(seed), F.col(CUR))
+    return pool.withColumn("_draw", F.row_number().over(order)).where(F.col("_draw") <= n).drop("_draw")
 
 
 def strata_masks(latest: DataFrame, cap: int) -> dict:
@@ -49,49 +40,57 @@ def latest_month(merged: DataFrame) -> DataFrame:
     return merged.join(F.broadcast(mx), F.col(MONTH) == F.col("_latest")).drop("_latest")
 
 
+def _draw_key(seed: int):
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(CUR), F.date_format(MONTH, "yyyy-MM-dd")))
+
+
+def stratified_draw(pool: DataFrame, masks: dict, targets, fill: str = "capacity_fill") -> DataFrame:
+    """``pool`` (one row a customer) cut to the drawn rows, with ``sampling_stratum``.
+
+    Stratum after stratum takes the rows of smallest seeded md5 among its own whose customer no earlier one took,
+    up to its target; the fill takes from all rows until the targets' sum is reached. Stratum i can lose at most
+    the sum of the earlier targets, so its first ``target + earlier targets`` rows decide it; the fill's first
+    ``sum of targets`` rows decide the fill. Those rows, a number fixed by the targets, are chosen in one task."""
+    names, sizes = [n for n, _ in targets] + [fill], [t for _, t in targets]
+    total = sum(sizes)
+    depths = [sum(sizes[:i + 1]) for i in range(len(sizes))] + [total]
+    entry = lambda i, seed: F.struct(F.lit(i).alias("place"), _draw_key(seed).alias("key"))
+    entries = [F.when(masks[n], entry(i, RANDOM_STATE + i)) for i, n in enumerate(names[:-1])] + [entry(len(sizes), RANDOM_STATE + 99)]
+    rows = pool.select(F.struct(*pool.columns).alias("row"), F.explode(F.array_compact(F.array(*entries))).alias("entry"))
+    nth = F.row_number().over(Window.partitionBy("entry.place").orderBy("entry.key", f"row.{CUR}"))
+    kept = rows.withColumn("nth", nth).where((F.col("nth") <= max(depths)) & (F.col("nth") <= F.get(F.array(*map(F.lit, depths)), F.col("entry.place"))))
+    listed = kept.agg(F.sort_array(F.collect_list(F.struct(F.col("entry.place").alias("place"), "nth", "row"))).alias("listed"))
+
+    def choose(taken, x):
+        used = F.coalesce(F.exists(taken, lambda y: y["row"][CUR] == x["row"][CUR]), F.lit(False))
+        own = F.size(F.filter(taken, lambda y: y["place"] == x["place"]))
+        room = F.when(x["place"] < len(sizes), own < F.get(F.array(*map(F.lit, [*sizes, 0])), x["place"])).otherwise(F.size(taken) < total)
+        return F.when(room & ~used, F.concat(taken, F.array(x))).otherwise(taken)
+
+    drawn = listed.select(F.explode(F.aggregate("listed", F.slice("listed", 1, 0), choose)).alias("x"))
+    return drawn.select("x.row.*", F.get(F.array(*map(F.lit, names)), F.col("x.place")).alias("sampling_stratum"))
+
+
 def pilot_allocation(merged: DataFrame, cap: int, targets=PILOT_TARGETS, prefix: str = CASE_TOKEN_PREFIX) -> DataFrame:
     """Sequential strata without customer reuse, capacity fill, case tokens, inclusion
-    probabilities (pool sizes before cross-stratum exclusion, as specified)."""
-    ensure_checkpoint_dir(merged.sparkSession)
-    latest = latest_month(merged)
-    masks = strata_masks(latest, cap)
-    parts, used = [], None
-    for offset, (name, target) in enumerate(targets):
-        pool = latest.where(masks[name])
-        if used is not None:
-            pool = pool.join(F.broadcast(used), CUR, "left_anti")
-        s = deterministic_sample(pool, target, RANDOM_STATE + offset).withColumn("sampling_stratum", F.lit(name))
-        # at most `target` rows: a reliable checkpoint keeps the next step's plan linear instead of
-        # re-deriving every earlier stratum inside each later exclusion
-        s = s.checkpoint(eager=True)
-        parts.append(s)
-        ids = s.select(CUR)
-        used = ids if used is None else used.unionByName(ids)
-    alloc = parts[0]
-    for p in parts[1:]:
-        alloc = alloc.unionByName(p)
+    probabilities (pool sizes before cross-stratum exclusion, as specified).
+
+    Two scans: the month and the flags for the latest month and its pool sizes (a row a month, the last one is
+    broadcast), then the draw. ``merged`` holds one row a customer and month."""
+    pools = {n: f"_pool_{n}" for n, _ in targets}
+    masks = strata_masks(merged, cap)
+    months = merged.groupBy(F.col(MONTH).alias("_latest")).agg(
+        *[F.sum(F.when(masks[n], 1).otherwise(0)).alias(c) for n, c in pools.items()], F.count(F.lit(1)).alias("_latest_rows"))
+    latest = merged.join(F.broadcast(months.orderBy(F.desc_nulls_last("_latest")).limit(1)), F.col(MONTH) == F.col("_latest"))
+    alloc = stratified_draw(latest, masks, targets)
+    filled = sum(F.least(F.col(pools[n]), F.lit(t)) for n, t in targets)
     total = sum(t for _, t in targets)
-    have = alloc.agg(F.count(F.lit(1)).alias("_have"))
-    remaining = latest.join(F.broadcast(alloc.select(CUR)), CUR, "left_anti").crossJoin(F.broadcast(have))
-    fill = deterministic_sample(remaining, F.greatest(F.lit(total) - F.col("_have"), F.lit(0)), RANDOM_STATE + 99,
-                                max_n=total) \
-        .drop("_have").withColumn("sampling_stratum", F.lit("capacity_fill"))
-    alloc = alloc.unionByName(fill)
-    # P5 inclusion probabilities from the pool sizes before exclusion
-    sizes = latest.agg(*[F.sum(F.when(m, 1).otherwise(0)).alias(n) for n, m in masks.items()],
-                       F.count(F.lit(1)).alias("_latest_rows"))
-    tgt = dict(targets)
-    filled = sum(F.least(F.col(n), F.lit(t)) for n, t in targets)
-    probs = [F.struct(F.lit(n).alias("sampling_stratum"),
-                      F.least(F.lit(1.0), F.lit(float(tgt[n])) / F.greatest(F.lit(1), F.col(n))).alias("inclusion_probability"))
-             for n, _ in targets]
-    probs.append(F.struct(F.lit("capacity_fill").alias("sampling_stratum"),
-                          F.least(F.lit(1.0), F.greatest(F.lit(0), F.lit(total) - filled)
-                                  / F.greatest(F.lit(1), F.col("_latest_rows") - filled)).alias("inclusion_probability")))
-    ptab = sizes.select(F.explode(F.array(*probs)).alias("p")).select("p.*")
-    alloc = alloc.join(F.broadcast(ptab), "sampling_stratum", "left")
+    at_most_one = lambda part, whole: F.least(F.lit(1.0), part / F.greatest(F.lit(1), whole))
+    probability = at_most_one(F.greatest(F.lit(0), F.lit(total) - filled), F.col("_latest_rows") - filled)
+    for n, t in targets:
+        probability = F.when(F.col("sampling_stratum") == n, at_most_one(F.lit(float(t)), F.col(pools[n]))).otherwise(probability)
     token = F.substring(F.sha2(F.concat_ws("|", F.lit(prefix), F.col(CUR), F.date_format(MONTH, "yyyy-MM")), 256), 1, 16)
-    return alloc.withColumn("case_id", token)
+    return alloc.withColumn("inclusion_probability", probability).withColumn("case_id", token).drop("_latest", "_latest_rows", *pools.values())
 
 
 def exact_inclusion(merged: DataFrame, alloc: DataFrame, cap: int, targets=PILOT_TARGETS) -> DataFrame:

@@ -4,12 +4,15 @@
 cumulative weights of all strictly smaller values. It range-buckets the distinct values with
 approximate quantile bounds (one-row aggregate, broadcast), computes per-bucket totals (at most
 ``n_buckets`` rows, so their running offsets are a tiny window), and finishes with a window
-partitioned by bucket. The result is exact; only the bucket boundaries are approximate.
+partitioned by bucket. The result is exact; only the bucket boundaries are approximate. There are as
+many buckets as shuffle partitions, and a value's bucket is found in two steps of about the root of that.
 AUC, average precision, Spearman and ROC points are sums over this table.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,15 +20,21 @@ from caseload.operators.joins import null_safe_join
 
 
 def value_prefix(df: DataFrame, value: str, weights: dict[str, Column], *, by: list[str] | None = None,
-                 n_buckets: int = 256) -> DataFrame:
+                 n_buckets: int | None = None) -> DataFrame:
     by = bb = list(by or [])
+    n_buckets = max(2, n_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    run = math.isqrt(n_buckets - 2) + 1  # bounds in a run; a value meets the runs' heads, then one run
     d = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(
         *[F.sum(w).alias(n) for n, w in weights.items()])
     qs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = d.groupBy(*bb).agg(F.percentile_approx(value, qs, 10000).alias("_bounds"))
+    bounds = d.groupBy(*bb).agg(F.percentile_approx(value, qs, max(10000, 10 * n_buckets)).alias("_bounds"))
+    starts = F.array(*[F.lit(i) for i in range(1, n_buckets, run)])
+    bounds = bounds.select(*bb, F.transform(starts, lambda i: F.slice("_bounds", i, F.lit(run))).alias("_runs"),
+                           F.transform(starts, lambda i: F.get("_bounds", i - 1)).alias("_heads"))
     d = (null_safe_join(d, bounds, bb, "left", broadcast_right=True) if bb else d.crossJoin(F.broadcast(bounds)))
-    d = d.withColumn("_bucket", F.size(F.filter(F.coalesce("_bounds", F.array().cast("array<double>")),
-                                               lambda b: b < F.col(value)))).drop("_bounds")
+    below = lambda xs: F.size(F.filter(xs, lambda b: b < F.col(value)))
+    at = below(F.col("_heads"))
+    d = d.withColumn("_bucket", F.when(at > 0, (at - 1) * run + below(F.get("_runs", at - 1))).otherwise(0)).drop("_runs", "_heads")
     tot = d.groupBy(*by, "_bucket").agg(*[F.sum(n).alias(n) for n in weights])
     wo = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1) if by else \
         Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -103,31 +112,28 @@ def exact_percentiles(df: DataFrame, col: str, qs: dict[str, float], by: list[st
     target table. No group's values are buffered in one task. One row per group (NULLs when a
     group has no values); one column per name in ``qs``."""
     by = list(by or [])
-    d = value_prefix(df, col, {"_n": F.lit(1)}, by=by)
-    tot = d.groupBy(*by).agg(F.sum("_n").alias("_N"))
+    wide = prefix_percentiles(value_prefix(df, col, {"_n": F.lit(1)}, by=by), col, qs, by)
+    if by:
+        return null_safe_join(df.select(*by).distinct(), wide, by, "left", broadcast_right=True).select(*by, *qs)
+    return df.sparkSession.range(1).join(wide, F.lit(True), "left").select(*qs)
+
+
+def prefix_percentiles(prefix: DataFrame, col: str, qs: dict[str, float], by: list[str] | None = None) -> DataFrame:
+    """``exact_percentiles`` out of a ``value_prefix`` table with the weight ``_n`` (rows); groups without values have no row."""
+    by = list(by or [])
+    tot = prefix.groupBy(*by).agg(F.sum("_n").alias("_N"))
     tgt = tot.select(*[F.col(b).alias(f"_t_{b}") for b in by], F.explode(F.array(*[
         F.struct(F.lit(n).alias("_q"), ((F.col("_N") - 1) * F.lit(float(q))).alias("_h")) for n, q in qs.items()])).alias("_t")) \
         .select(*[f"_t_{b}" for b in by], "_t._q", "_t._h", F.floor("_t._h").alias("_lo"), F.ceil("_t._h").alias("_hi"))
-    tgt = F.broadcast(tgt)
-    keys = [F.col(b).eqNullSafe(F.col(f"_t_{b}")) for b in by]
-
     in_lo = (F.col("_n_below") <= F.col("_lo")) & (F.col("_lo") < F.col("_n_below") + F.col("_n"))
     in_hi = (F.col("_n_below") <= F.col("_hi")) & (F.col("_hi") < F.col("_n_below") + F.col("_n"))
     cond = in_lo | in_hi
-    for k in keys:
-        cond = cond & k
+    for b in by:
+        cond = cond & F.col(b).eqNullSafe(F.col(f"_t_{b}"))
     tk = [f"_t_{b}" for b in by]
-    j = d.select(*by, col, "_n", "_n_below").join(tgt, cond).select(
+    j = prefix.select(*by, col, "_n", "_n_below").join(F.broadcast(tgt), cond).select(
         *tk, "_q", "_h", "_lo", F.when(in_lo, F.col(col)).alias("_xl"), F.when(in_hi, F.col(col)).alias("_xh"))
     parts = j.groupBy(*tk, "_q", "_h", "_lo").agg(F.max("_xl").alias("_xlo"), F.max("_xh").alias("_xhi"))
     val = F.col("_xlo") + (F.col("_h") - F.col("_lo")) * (F.col("_xhi") - F.col("_xlo"))
     wide = parts.groupBy(*tk).agg(*[F.max(F.when(F.col("_q") == n, val)).alias(n) for n in qs])
-    if by:
-        groups = df.select(*by).distinct()
-        cond = None
-        for b in by:
-            c = F.col(b).eqNullSafe(F.col(f"_t_{b}"))
-            cond = c if cond is None else cond & c
-        return groups.join(F.broadcast(wide), cond, "left").select(*by, *qs)
-    one = df.sparkSession.range(1)
-    return one.join(wide, F.lit(True), "left").select(*qs)
+    return wide.select(*[F.col(f"_t_{b}").alias(b) for b in by], *qs)

@@ -214,11 +214,13 @@ def e13_strategy_metrics(spark, sf_dir):
     return wide.select(rows.alias("r")).select("r.*")
 
 
-@query("e11_e12_baseline_reproduction", with_ctes(
-    f"SELECT (SELECT {R('corr(channel_s2_score, baseline_anomaly_score)', 'x')} FROM {PF} WHERE forward) "
+_E11_SQL = (f"SELECT (SELECT {R('corr(channel_s2_score, baseline_anomaly_score)', 'x')} FROM {PF} WHERE forward) "
     f"AS pearson_recomputed_channel_vs_current_s2, "
     f"round({_spearman_sql('channel_s2_score', 'round(baseline_anomaly_score, 9)', 'forward')}, 6) + 0.0 "
-    f"AS spearman_recomputed_channel_vs_current_s2", PF))
+    f"AS spearman_recomputed_channel_vs_current_s2")
+
+
+@query("e11_e12_baseline_reproduction", with_ctes(_E11_SQL, PF))
 def e11_e12_baseline_reproduction(spark, sf_dir):
     """Pearson and Spearman of the channel score vs the panel's baseline anomaly score."""
     f = pf(spark, sf_dir).where("forward")
@@ -238,19 +240,14 @@ _E14_SQL = " UNION ALL ".join(
 @query("e14_score_distribution", with_ctes(_E14_SQL, PF))
 def e14_score_distribution(spark, sf_dir):
     """Mean, median, p95, p99, max of each strategy score over the forward window."""
-    f = pf(spark, sf_dir).where("forward")
-    out = None
-    for s in STRATEGIES:
-        c = F.col(f"{s}_s2_score")
-        from caseload.operators.ranking import exact_percentiles
-        row = f.agg(F.lit(s).alias("strategy"), F.avg(c).alias("mean"), F.max(c).alias("max")).crossJoin(
-            exact_percentiles(f, f"{s}_s2_score", {"median": .5, "p95": .95, "p99": .99})).select(
-            "strategy", "mean", "median", "p95", "p99", "max")
-        out = row if out is None else out.unionByName(row)
-    return out
+    from caseload.operators.ranking import exact_percentiles
+    long = pf(spark, sf_dir).where("forward").select(F.explode(F.array(*[
+        F.struct(F.lit(s).alias("strategy"), F.col(f"{s}_s2_score").alias("score")) for s in STRATEGIES])).alias("x")).select("x.*")
+    moments = long.groupBy("strategy").agg(F.avg("score").alias("mean"), F.max("score").alias("max"))
+    return moments.join(exact_percentiles(long, "score", {"median": .5, "p95": .95, "p99": .99}, by=["strategy"]), "strategy")
 
 
-@query("e15_tail_diagnostic", with_ctes(f"""
+_E15_SQL = (f"""
 SELECT {R('m.company_division_s2_score', 'max_score')},
        NOT m.cd_usable AS max_score_uses_sparse_company_division_peer_cell,
        m.company_division_peer_customer_count AS max_score_company_division_peer_customer_count,
@@ -261,7 +258,10 @@ SELECT {R('m.company_division_s2_score', 'max_score')},
           (SELECT quantile_cont(company_division_s2_score, 0.99) FROM {PF} WHERE forward))
          AS top_one_percent_sparse_company_division_peer_cell_rate
 FROM (SELECT * FROM {PF} WHERE forward
-      ORDER BY company_division_s2_score DESC NULLS LAST, customer_public_id, transaction_month LIMIT 1) m""", PF))
+      ORDER BY company_division_s2_score DESC NULLS LAST, customer_public_id, transaction_month LIMIT 1) m""")
+
+
+@query("e15_tail_diagnostic", with_ctes(_E15_SQL, PF))
 def e15_tail_diagnostic(spark, sf_dir):
     """The max company/division row (key tie-break) and the top-1 % rows' sparse rate."""
     f = pf(spark, sf_dir).where("forward")
@@ -279,16 +279,18 @@ def e15_tail_diagnostic(spark, sf_dir):
     return top.crossJoin(tail)
 
 
-@query("e17_usable_peer_rate", with_ctes(
-    f"SELECT {R('avg(CAST(cd_usable AS DOUBLE))', 'company_division_usable_non_sparse_peer_rate')} "
-    f"FROM {PF} WHERE forward", PF))
+_E17_SQL = (f"SELECT {R('avg(CAST(cd_usable AS DOUBLE))', 'company_division_usable_non_sparse_peer_rate')} "
+    f"FROM {PF} WHERE forward")
+
+
+@query("e17_usable_peer_rate", with_ctes(_E17_SQL, PF))
 def e17_usable_peer_rate(spark, sf_dir):
     """Share of forward rows in a usable company/division peer cell."""
     return pf(spark, sf_dir).where("forward").agg(
         F.avg(F.col("cd_usable").cast("double")).alias("company_division_usable_non_sparse_peer_rate"))
 
 
-@query("c10_panel_quality", with_ctes(f"""
+_C10_SQL = (f"""
 SELECT count(*) AS customer_month_rows, count(DISTINCT customer_public_id) AS distinct_customers,
        count(DISTINCT transaction_month) AS months, min(transaction_month) AS month_start,
        max(transaction_month) AS month_end,
@@ -299,16 +301,21 @@ SELECT count(*) AS customer_month_rows, count(DISTINCT customer_public_id) AS di
        {B('sum(CASE WHEN channel_s2_score IS NULL THEN 1 ELSE 0 END)', 'channel_null_scores')},
        {B('sum(CASE WHEN company_division_s2_score IS NULL THEN 1 ELSE 0 END)', 'company_division_null_scores')},
        {B('sum(CASE WHEN hybrid_s2_score IS NULL THEN 1 ELSE 0 END)', 'hybrid_null_scores')}
-FROM {PF}""", PF))
+FROM {PF}""")
+
+
+@query("c10_panel_quality", with_ctes(_C10_SQL, PF))
 def c10_panel_quality(spark, sf_dir):
     """Rows, customers, months, range, duplicates, zero-order and sparse rates, NULL scores."""
     from caseload.operators.clean import panel_quality
     return panel_quality(pf(spark, sf_dir), _SC)
 
 
-@query("e16_monthly_activity", with_ctes(
-    f"SELECT transaction_month, count(*) AS customer_month_rows, "
-    f"{R('1 - avg(CAST(zero_order_month_flag AS DOUBLE))', 'activity_rate')} FROM {PF} GROUP BY transaction_month", PF))
+_E16_SQL = (f"SELECT transaction_month, count(*) AS customer_month_rows, "
+    f"{R('1 - avg(CAST(zero_order_month_flag AS DOUBLE))', 'activity_rate')} FROM {PF} GROUP BY transaction_month")
+
+
+@query("e16_monthly_activity", with_ctes(_E16_SQL, PF))
 def e16_monthly_activity(spark, sf_dir):
     """Monthly rows and activity rate (1 - zero-order mean)."""
     from caseload.operators.clean import monthly_activity
@@ -354,3 +361,49 @@ _X3_SQL = " UNION ALL ".join(
 def x03_describe_scores(spark, sf_dir):
     """Exact describe of the three forward scores."""
     return M.describe(pf(spark, sf_dir).where("forward"), _SC)
+
+
+# --------------------------------------------------------------------------- S13: the whole record
+def _cells(section: str, key: str, metrics: dict[str, str], source: str) -> str:
+    """One row of ``source`` as rows (section, key, metric, value)."""
+    names, values = ", ".join(f"'{m}'" for m in metrics), ", ".join(f"CAST({c} AS DOUBLE)" for c in metrics.values())
+    return f"SELECT '{section}' AS section, CAST({key} AS VARCHAR) AS key, unnest([{names}]) AS metric, unnest([{values}]) AS value FROM ({source}) t"
+
+
+def _same(*names: str) -> dict[str, str]:
+    return {n: n for n in names}
+
+
+def _number(c: str) -> str:
+    return f"year({c}) * 100 + month({c})"
+
+
+_TAIL = ("max_score", "max_score_uses_sparse_company_division_peer_cell", "max_score_company_division_peer_customer_count",
+         "max_score_peer_residual_rows", "top_one_percent_rows", "top_one_percent_sparse_company_division_peer_cell_rate")
+_QUALITY = ("customer_month_rows", "distinct_customers", "months", "duplicate_customer_month_rows", "zero_order_month_rate",
+            "sparse_history_rate", *[f"{s}_null_scores" for s in STRATEGIES])
+_COUNTS = f"SELECT count(*) AS n, count(*) FILTER (WHERE forward) AS f FROM {PF}"
+_RECORD_SQL = " UNION ALL ".join([
+    _cells("forward_months", "'window'", {"start": _number(W.DEFAULT_CALENDAR.sql_date("forward_start")), "end": _number(W.DEFAULT_CALENDAR.sql_date("forward_end"))}, "SELECT 1"),
+    _cells("capacities_per_month", "k", {"capacity": "k"}, f"SELECT unnest({list(CAPACITIES)}) AS k"),
+    _cells("strategy_metrics", "strategy", _same("forward_rows", "sparse_peer_rate", "spearman_vs_channel", "pearson_vs_channel"), _E13_SQL),
+    _cells("score_distribution", "strategy", _same("mean", "median", "p95", "p99", "max"), _E14_SQL),
+    _cells("capacity_overlap", "capacity_per_month || '|' || comparison", _same("pooled_jaccard", "changed_customer_months", "mean_monthly_jaccard"), _q7_sql()),
+    _cells("baseline_reproduction", "'channel_vs_current_s2'", {"pearson": "pearson_recomputed_channel_vs_current_s2", "spearman": "spearman_recomputed_channel_vs_current_s2"}, _E11_SQL),
+    _cells("company_division_usable_non_sparse_peer_rate", "'forward'", {"rate": "company_division_usable_non_sparse_peer_rate"}, _E17_SQL),
+    _cells("data_quality", "'panel'", {**_same(*_QUALITY), "month_start": _number("month_start"), "month_end": _number("month_end")}, _C10_SQL),
+    _cells("company_division_tail_diagnostic", "'forward'", _same(*_TAIL), _E15_SQL),
+    _cells("yoy_calibration", "ratio", _same("scale", "observations"), _YOY_SQL),
+    f"SELECT 'yoy_calibration', ratio, 'method=' || method, 1.0 FROM ({_YOY_SQL}) t",
+    _cells("s2_score_config", "'workflow_defaults'", {"aggregation=maximum_absolute_signal": "1", "zero_order_bonus": "0.75", "sparse_history_multiplier": "0.75"}, "SELECT 1"),
+    _cells("peer_input", "'workflow_panel'", {"rows": "n"}, _COUNTS),
+    _cells("output", "'peer_forward'", {"rows": "f", "columns": str(2 + len(_SC) + len(FLAGS))}, _COUNTS),
+    _cells("monthly_activity_rate", "strftime(transaction_month, '%Y-%m')", _same("customer_month_rows", "activity_rate"), _E16_SQL),
+])
+
+
+@query("s13_peer_record", with_ctes(_RECORD_SQL, PF, f"s2_{W.DRIVER_MIN_PEER_ROWS}_yoy"))
+def s13_peer_record(spark, sf_dir):
+    """The whole metric record of lens 1 in one pass over months and one over ranks."""
+    from caseload.plans.entrypoints import run_peer_strategy_evaluation
+    return run_peer_strategy_evaluation(spark, sf_dir)[0]

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseload.config import CAPACITIES, DEFAULT_CALENDAR, S2Config
+from caseload.config import CAPACITIES, DEFAULT_CALENDAR, S2Config, SplitCalendar
 from caseload.operators.queues import attach_topk_flags
 from caseload.operators.s2 import STRATEGIES, peer_strategy_frame
 from caseload.plans import inputs as I
@@ -22,28 +22,31 @@ from caseload.plans.stages import materialized, settings_key
 DRIVER_MIN_PEER_ROWS = 12
 
 
-def peer_frame(spark: SparkSession, sf_dir: str, cfg: S2Config = S2Config()) -> DataFrame:
-    caps = CAPACITIES
+def flagged_strategies(scored: DataFrame, cfg: S2Config, min_peer_rows: int, cal: SplitCalendar) -> DataFrame:
+    """S1-S11 and the monthly top-K flags of every strategy."""
+    df = peer_strategy_frame(scored, cfg, min_peer_rows, cal)
+    for s in STRATEGIES:
+        df = attach_topk_flags(df, f"{s}_s2_score", CAPACITIES, s, eligible=F.col("eligible") & F.col("forward"))
+    return df
 
-    def build():
-        df = peer_strategy_frame(I.scored(spark, sf_dir), cfg, DRIVER_MIN_PEER_ROWS, DEFAULT_CALENDAR)
-        for s in STRATEGIES:
-            df = attach_topk_flags(df, f"{s}_s2_score", caps, s, eligible=F.col("eligible") & F.col("forward"))
-        return df
-    key = settings_key(cfg, caps, DRIVER_MIN_PEER_ROWS, DEFAULT_CALENDAR)
-    return materialized(spark, f"peer_frame-{key}", sf_dir, build)
+
+def peer_frame(spark: SparkSession, sf_dir: str, cfg: S2Config = S2Config(), min_peer_rows: int = DRIVER_MIN_PEER_ROWS,
+               cal: SplitCalendar = DEFAULT_CALENDAR) -> DataFrame:
+    key = settings_key(cfg, CAPACITIES, min_peer_rows, cal)
+    return materialized(spark, f"peer_frame-{key}", sf_dir, lambda: flagged_strategies(I.scored(spark, sf_dir), cfg, min_peer_rows, cal))
 
 
 def flag_columns(caps=CAPACITIES, strategies=STRATEGIES):
     return [f"{s}_top_{k}" for s in strategies for k in caps]
 
 
-def peer_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
+def forward_sidecar(frame: DataFrame) -> DataFrame:
     """The lens-1 forward sidecar: keys, three scores, nine flags."""
-    caps = CAPACITIES
-    return peer_frame(spark, sf_dir).where("forward").select(
-        "customer_public_id", "transaction_month", *[f"{s}_s2_score" for s in STRATEGIES],
-        *flag_columns(caps))
+    return frame.where("forward").select("customer_public_id", "transaction_month", *[f"{s}_s2_score" for s in STRATEGIES], *flag_columns())
+
+
+def peer_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forward_sidecar(peer_frame(spark, sf_dir))
 
 
 # --------------------------------------------------------------------------- lens 2
