@@ -1,11 +1,12 @@
 """Toxicity by a factorization machine over hashed terms.
 
-A document's terms are the 64-bit hashes of its distinct lower-cased letter runs and of their first four
-and five letters (so an inflected or compounded insult counts as its stem does). Every labelled training
-document is counted: each term's documents and toxic documents, equal texts once. The ``TERMS`` terms
-that differ most from the base rate, if they differ by ``LEAST_Z`` standard errors, get a weight and a
-factor vector each; the machine adds to the linear weights the inner products of the factors of every two
-terms of a document, so a term can count for more (or less) beside another.
+A document's terms are its distinct lower-cased letter runs and their first four and five letters (so an
+inflected or compounded insult counts as its stem does), hashed into ``SPACE`` places; words of one place are
+one term. Every labelled training document is counted: each term's documents and toxic documents, equal texts
+once. Every term that differs from the base rate by ``LEAST_Z`` standard errors gets a weight and a
+factor vector; the machine adds to the linear weights the inner products of the factors of every two
+terms of a document, so a term can count for more (or less) beside another. However many words the texts
+hold, there are at most ``SPACE`` counts and weights.
 
 The machine is fitted on a bounded sample: about ``SAMPLE`` training texts of each label (all, if there are
 fewer), chosen by hash.
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from caseload.llm.common import discard, stash
 
-TERMS = 2048
+SPACE = 1 << 20
 LEAST_Z = 4.0
 LEAST_DOCS = 3
 SAMPLE = 10_000
@@ -43,7 +44,7 @@ def term_hashes(word: str) -> tuple[int, ...]:
     import xxhash
 
     names = ["w" + word] + [f"{n}{word[:n]}" for n in (4, 5) if len(word) >= n]
-    return tuple(xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) - (1 << 63) for x in names)
+    return tuple(xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) % SPACE for x in names)
 
 
 class Terms(dict):
@@ -152,7 +153,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, least_z: flo
     counted = texts.mapInPandas(_counts, "term long, n long, t long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
     z = F.abs(F.col("t") - F.col("n") * base) / F.sqrt(F.col("n") * (base * (1 - base)) + 0.5)
     best = counted.where(F.col("n") >= LEAST_DOCS).withColumn("z", z).where(F.col("z") >= least_z)
-    index = {r.term: i for i, r in enumerate(best.orderBy(F.desc("z"), "term").limit(TERMS).collect())}
+    index = {r.term: i for i, r in enumerate(best.orderBy(F.desc("z"), "term").collect())}
     machine = Machine(0.0, np.zeros(len(index)), np.zeros((len(index), FACTORS)), index)
 
     def rows_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -79,6 +79,26 @@ def test_held_out_labels_and_other_columns_do_not_matter(spark):
     assert scores[0].keys() == scores[1].keys() and all(abs(scores[0][k] - scores[1][k]) < 1e-9 for k in scores[0])
 
 
+def test_every_term_that_passes_has_a_weight_and_scores_are_the_pair_sums(spark):
+    """3,000 terms, each in toxic texts only; scores are recomputed pair by pair."""
+    names = [f"{'abcdefghij'[i // 100 % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyzabcd'[i % 10]}{'efg'[i // 1000]}qx" for i in range(3000)]
+    docs = [(i, " ".join(names[k] for k in range(i % 60, 3000, 60))) for i in range(2400)] + [(i, f"calm day number {i}") for i in range(2400, 12000)]
+    texts = spark.createDataFrame([(i, f"{t} no{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}") for i, t in docs], "id long, text string")
+    machine = X.train(texts, spark.createDataFrame([(i, int(i < 2400)) for i, _ in docs], "id long, toxic int"), sample=300)
+    places = {n: X.term_hashes(n)[0] for n in names}
+    assert all(p in machine.index for p in places.values()) and len(set(places.values())) > 2900
+    assert all(0 <= p < X.SPACE for p in machine.index)
+
+    sample = [t for _, t in docs[:40:7]] + ["", "no terms here", names[0], f"{names[0]} {names[1].upper()}, {names[0]}!"]
+    got = [r.score for r in X.score(spark.createDataFrame(list(enumerate(sample)), "id long, text string"), machine).orderBy("id").collect()]
+    for text, score in zip(sample, got):
+        words = {"".join(c for c in w if c.isalpha()).lower() for w in text.split()} - {""}
+        rows = sorted({machine.index[h] for w in words for h in X.term_hashes(w) if h in machine.index})
+        logit = machine.intercept + sum(machine.weights[i] for i in rows)
+        logit += sum(float(machine.factors[a] @ machine.factors[b]) for n, a in enumerate(rows) for b in rows[:n])
+        assert abs(score - 1 / (1 + np.exp(-np.clip(logit, -35, 35)))) < 1e-9
+
+
 def test_messy_rows(spark, messy, none, messy_list):
     labels = spark.createDataFrame([(1, 1), (1, 0), (2, None), (None, 1), (999, 1), (20, 0), (21, 1), (22, 0), (23, 1)], "doc_id long, toxic int")
     out = X.toxicity(messy, labels)
