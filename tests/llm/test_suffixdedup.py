@@ -85,3 +85,15 @@ def test_anchors_of_copies_agree():
 def test_length_is_checked(spark, none):
     with pytest.raises(ValueError):
         S.dedup_spans(none, 1)
+
+
+def test_anchors_hold_few_bytes_for_each_byte_of_text():
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    texts = [(i, bytes(rng.integers(97, 123, 40_000, np.uint8))) for i in range(100)]
+    tracemalloc.start()
+    starts = sum(int((high - low + 1).sum()) for _, _, low, high, _ in S._anchor_rows(iter(texts), 400))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert starts == 100 * (40_000 - 399) and peak < 80 << 20  # 250 MB with pieces of 2 MB
