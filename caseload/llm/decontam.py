@@ -195,17 +195,32 @@ def lcs_length(a: list[str], b: list[str]) -> int:
 
 
 def block_sums(rows: np.ndarray, at: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Sums of ``rows[at]`` from each start to the next, added in order: first rows, second rows ... of all blocks at once (as
-    ``np.add.reduceat`` does, which takes some twenty times as long over the first axis)."""
+    """``np.add.reduceat(rows[at], starts)`` to the last bit, in a tenth of its time: the same additions in the same order (the
+    first row, and to it the sum of the others, in eight strands and a tail), but of all blocks at once."""
     sizes = np.diff(np.r_[starts, len(at)])
     order = np.argsort(-sizes, kind="stable")
     begin, sizes = starts[order], sizes[order]
-    sums = rows[at[begin]]
-    for k in range(1, int(sizes[0]) if len(sizes) else 0):
-        n = int(np.searchsorted(-sizes, -k, side="left"))  # blocks of more than k rows
-        sums[:n] += rows[at[begin[:n] + k]]
-    out = np.empty_like(sums)
-    out[order] = sums
+    out = np.empty((len(starts), rows.shape[1]), rows.dtype)
+    long = int(np.searchsorted(-sizes, -129, side="left"))  # of more than 129 rows: numpy halves them
+    for i, first, size in zip(order[:long], begin[:long], sizes[:long]):
+        out[i] = np.add.reduceat(rows[at[first:first + size]], [0])[0]
+    order, begin, rest = order[long:], begin[long:], sizes[long:] - 1
+    if not len(order):
+        return out
+    longer = lambda k: int(np.searchsorted(-rest, -k, side="left"))  # noqa: E731  blocks with more than k rows after the first
+    row = lambda n, k: rows[at[begin[:n] + 1 + k]]
+    total = np.zeros((len(order), rows.shape[1]), rows.dtype)
+    if n := longer(7):
+        s = [row(n, j) for j in range(8)]
+        for k in range(8, int(rest[0]) - 7, 8):
+            m = longer(k + 7)
+            for j in range(8):
+                s[j][:m] += row(m, k + j)
+        total[:n] = ((s[0] + s[1]) + (s[2] + s[3])) + ((s[4] + s[5]) + (s[6] + s[7]))
+    for j in range(7):
+        has = np.flatnonzero(rest % 8 > j)
+        total[has] += rows[at[begin[has] + 1 + rest[has] // 8 * 8 + j]]
+    out[order] = rows[at[begin]] + total
     return out
 
 
