@@ -1,17 +1,17 @@
 """Language-model scoring by a hierarchical Pitman-Yor model.
 
-Tokens are words; the context of a token is the class of the word before it (a hash of its last two bytes
-to ``CLASSES`` restaurants, and one for the start). Every context restaurant draws its dishes from one
-parent, the restaurant of all words, which draws from a base measure over the known words and one unknown
-word. Seating is sampled by Gibbs: in each sweep the customers of every (context, word) are seated anew
-given the parent's probability, tables send customers to the parent, and the parent is seated in turn.
-Scores use the seating averaged over the last sweeps, so they come from averaged predictive probabilities
-and sum to one over all words and the unknown word.
+Tokens are words; the context of a token is the word before it, one of ``PLACES`` restaurants by its hash, or the
+start of a text. The restaurants of words of one class (a hash of their last two bytes, ``CLASSES`` of them) share a
+parent, the restaurant of their class; all classes share the restaurant of all words, which draws from a base measure
+over the known words and one unknown word. Seating is sampled by Gibbs: in each sweep the customers of every
+(context, word) are seated anew given the parent's probability, tables send customers to the class, its tables
+to the restaurant of all words. Scores use the seating averaged over the last sweeps, so they come from averaged
+predictive probabilities and sum to one over all words and the unknown word.
 
 Layout. A part is a split of the input (about ``PART_BYTES`` of text). A part sends, for each bucket of the
 word space, one block with its distinct words, contexts and training counts. A bucket merges the blocks
 of all parts, so it has all counts of its words; sweeps run bucket by bucket, and only the restaurants'
-totals (a few numbers per context) meet in between. The answers (a count for each word, a log probability
+totals (two numbers a place, so ``PLACES`` bounds them) meet in between, added up by range of places. The answers (a count for each word, a log probability
 for each context of it) go back as one block per part and bucket, and each part scores its texts. Blocks
 instead of rows keep the traffic at some ten bytes for each distinct word of a part.
 """
@@ -21,16 +21,21 @@ from __future__ import annotations
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from copy import copy
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseload.llm.common import rereadable, stash
+from caseload.llm.common import discard, rereadable, stash
 
 CLASSES = 32
-CONTEXTS = CLASSES + 1  # the last: start of a text
+CONTEXTS = CLASSES + 1  # restaurants of classes; the last: start of a text
+OF_CLASS = 1 << 15  # places of a class
+PLACES = CLASSES * OF_CLASS  # restaurants of words; one more, of the last class, is the start of a text
+SHARE = 1 << 14  # places whose totals are added up together
+GRID = 2.0 ** 20  # totals are added up in whole multiples of 1 / GRID, so in any order
 PART_BYTES = 18 << 20
 STRENGTH = 1.0  # of every restaurant
 PASSES = 3  # over all buckets, exchanging totals
@@ -60,17 +65,18 @@ class Digest:
         self.lengths = np.array(lengths, np.int64)
         self.starts = np.r_[0, np.cumsum(self.lengths)[:-1]].astype(np.int64) if lengths else np.zeros(0, np.int64)
         hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in index), np.uint64, len(index))
-        classes = np.fromiter((zlib.crc32(w[-2:]) % CLASSES for w in index), np.int64, len(index))
+        places = np.fromiter((zlib.crc32(w[-2:]) % CLASSES for w in index), np.int64, len(index)) * OF_CLASS
+        places += (hashes >> np.uint64(40)).astype(np.int64) % OF_CLASS
         bucket = (hashes % np.uint64(buckets)).astype(np.int64)
         order = np.lexsort((hashes, bucket))
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
         context = np.empty(len(token), np.int64)
-        context[1:] = classes[token[:-1]]
-        context[self.starts] = CLASSES
-        entries, self.entry = np.unique(rank[token] * 64 + context, return_inverse=True)
+        context[1:] = places[token[:-1]]
+        context[self.starts] = PLACES
+        entries, self.entry = np.unique(rank[token] * (2 * PLACES) + context, return_inverse=True)
         self.hashes, self.bucket = hashes[order], bucket[order]
-        self.word, self.context = entries >> 6, entries & 63
+        self.word, self.context = np.divmod(entries, 2 * PLACES)
 
     def blocks(self, counts: np.ndarray) -> Iterator[tuple[int, bytes]]:
         """(bucket, block of its words, contexts and counts)."""
@@ -83,10 +89,15 @@ class Digest:
 def pack(hashes: np.ndarray, word: np.ndarray, context: np.ndarray, *values: np.ndarray) -> bytes:
     """Words (sorted by hash), entries sorted by word, and a value for each entry (arrays of 4 or 8 bytes an item).
 
-    Hashes are stored as differences, numbers byte by byte of equal weight: what is mostly zero compresses."""
+    Hashes and a word's contexts are stored as differences, numbers byte by byte of equal weight: what is mostly zero compresses."""
     head = np.array([len(hashes), len(word), len(values)], "<i8").tobytes()
     steps = np.diff(hashes.astype("<u8"), prepend=np.zeros(1, "<u8"))
-    body = [steps.view("u1").reshape(len(steps), 8).T.tobytes(), np.bincount(word, minlength=len(hashes)).astype("<u4").tobytes(), context.astype("u1").tobytes()]
+    apart = np.diff(context, prepend=0)
+    if len(word):
+        first = np.flatnonzero(np.r_[True, np.diff(word) != 0])
+        apart[first] = context[first]
+    body = [steps.view("u1").reshape(len(steps), 8).T.tobytes(), np.bincount(word, minlength=len(hashes)).astype("<u4").tobytes(),
+            apart.astype("<i4").view("u1").reshape(len(apart), 4).T.tobytes()]
     for v in values:
         body.append(v.astype("<f4" if v.dtype.kind == "f" else "<i8").reshape(-1).view("u1").reshape(len(v), -1).T.tobytes())
         head += b"f" if v.dtype.kind == "f" else b"i"
@@ -98,10 +109,14 @@ def unpack(data: bytes) -> tuple[np.ndarray, ...]:
     words, entries, values = (int(x) for x in np.frombuffer(raw, "<i8", 3))
     kinds, at = raw[24:24 + values], 24 + values
     out = []
-    for size, kind in ((words * 8, "<u8"), (words * 4, "<u4"), (entries, "u1")):
+    for size, kind in ((words * 8, "<u8"), (words * 4, "<u4"), (entries * 4, "u1")):
         out.append(np.frombuffer(raw, kind, size // np.dtype(kind).itemsize, at))
         at += size
-    hashes, counts, context = out
+    hashes, counts, apart = out
+    apart = np.ascontiguousarray(apart.reshape(4, entries).T).reshape(-1).view("<i4")
+    context, some = np.cumsum(apart, dtype=np.int64), counts[counts > 0]
+    first = np.cumsum(some, dtype=np.int64) - some
+    context -= np.repeat(context[first] - apart[first], some)
     hashes = np.cumsum(np.ascontiguousarray(hashes.view("u1").reshape(8, words).T).reshape(-1).view("<u8"), dtype=np.uint64)
     more = []
     for k in kinds:
@@ -110,7 +125,14 @@ def unpack(data: bytes) -> tuple[np.ndarray, ...]:
         flat = np.frombuffer(raw, "u1", entries * size, at).reshape(size, entries).T
         more.append(np.ascontiguousarray(flat).reshape(-1).view(kind))
         at += entries * size
-    return hashes, np.repeat(np.arange(words), counts), context.astype(np.int64), *more
+    return hashes, np.repeat(np.arange(words), counts), context, *more
+
+
+def by_class(word: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word and class of every (word, class) of entries sorted by word and place, and the one of each entry."""
+    key = word * 64 + place // OF_CLASS
+    new = np.r_[True, np.diff(key) != 0] if len(key) else np.zeros(0, bool)
+    return key[new] >> 6, key[new] & 63, np.cumsum(new) - 1
 
 
 def in_parts(docs: DataFrame, buckets_of_split: int) -> DataFrame:
@@ -140,7 +162,8 @@ def requests(parts: DataFrame, buckets: int) -> DataFrame:
 
 # --- counts of a bucket -------------------------------------------------------------------------------
 
-#: Statistics of a bucket: words, tokens, words seen once and twice, entries seen once and twice, then by context customers and tables.
+#: Statistics of a bucket: words, tokens, words seen once and twice, (word, class) with one and two places, then by class customers and
+#: tables, if one table stands for each entry; then entries seen once and twice.
 HEAD = 6
 
 
@@ -160,8 +183,10 @@ def _merge(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
     h, u = h[new], u[new]
     words, word = np.unique(h, return_inverse=True)
     total = np.bincount(word, c, len(words))
-    stats = np.r_[len(words), c.sum(), (total == 1).sum(), (total == 2).sum(), (c == 1).sum(), (c == 2).sum(),
-                  np.bincount(u, c, CONTEXTS), np.bincount(u, minlength=CONTEXTS)]
+    _, k, at = by_class(word, u)
+    g = np.bincount(at, minlength=len(k))
+    stats = np.r_[len(words), c.sum(), (total == 1).sum(), (total == 2).sum(), (g == 1).sum(), (g == 2).sum(),
+                  np.bincount(k, g, CONTEXTS), np.bincount(k, minlength=CONTEXTS), (c == 1).sum(), (c == 2).sum()]
     return pd.DataFrame({"bucket": [key[0]], "data": [pack(words, word, u, c)], "stats": [stats.astype(float)]})
 
 
@@ -174,12 +199,43 @@ def _totals(stats: DataFrame, length: int) -> np.ndarray:
     return out
 
 
+def _shares(total: np.ndarray) -> pd.DataFrame:
+    """``total`` by ranges of ``SHARE`` numbers, those that hold one."""
+    parts = [(i, total[i * SHARE:(i + 1) * SHARE]) for i in range(-(-len(total) // SHARE))]
+    return pd.DataFrame([(i, zlib.compress(np.rint(x * GRID).astype("<i8").tobytes(), 1)) for i, x in parts if x.any()], columns=["share", "sums"])
+
+
+def _gathered(shares: DataFrame, length: int) -> np.ndarray:
+    """Sum of the arrays of ``length`` whose ranges are the rows (share, sums); a range is added up in one task."""
+    def add(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(zlib.decompress(x), "<i8") for x in frame["sums"])
+        return pd.DataFrame({"share": [key[0]], "sums": [zlib.compress(total.tobytes(), 1)]})
+
+    out = np.zeros(length)
+    for r in shares.where("share IS NOT NULL").groupBy("share").applyInPandas(add, "share int, sums binary").collect():
+        x = np.frombuffer(zlib.decompress(r.sums), "<i8")
+        out[r.share * SHARE:r.share * SHARE + len(x)] = x / GRID
+    return out
+
+
+def _first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Customers, then entries of every place over a task's buckets."""
+    total = np.zeros(2 * (PLACES + 1))
+    for batch in batches:
+        for data in batch["data"]:
+            _, _, u, c = unpack(data)
+            total += np.r_[np.bincount(u, c, PLACES + 1), np.bincount(u, minlength=PLACES + 1)]
+    yield _shares(total)
+
+
 # --- seating ------------------------------------------------------------------------------------------
 
 class Model:
-    """Discounts, base measure and the restaurants' totals."""
+    """Discounts, base measure and the restaurants' totals: of classes, and of words by place."""
 
-    def __init__(self, stats: np.ndarray):
+    def __init__(self, stats: np.ndarray, places: np.ndarray | None = None, seen: tuple = (0.0, 0.0)):
+        self.place_customers, self.place_tables = np.zeros((2, PLACES + 1)) if places is None else places.reshape(2, -1)
+        self.place_discount = float(np.clip(seen[0] / max(1.0, seen[0] + 2 * seen[1]), 0.1, 0.95))
         self.words, self.tokens, once, twice, e1, e2 = stats[:HEAD]
         self.customers = stats[HEAD:HEAD + CONTEXTS]
         self.tables = stats[HEAD + CONTEXTS:HEAD + 2 * CONTEXTS].copy()
@@ -191,13 +247,29 @@ class Model:
 
     def settle(self) -> None:
         """What follows from the totals: weights of the parent and the base measure of the unknown word."""
+        self.place_back_off = (STRENGTH + self.place_discount * self.place_tables) / (STRENGTH + self.place_customers)
         self.back_off = (STRENGTH + self.discount * self.tables) / (STRENGTH + self.customers)
         self.parent_customers = float(self.tables.sum())
         self.parent_new = (STRENGTH + self.parent_discount * self.parent_tables) / (STRENGTH + self.parent_customers)
-        mean = float((self.back_off * self.customers).sum() / max(1.0, self.tokens)) if self.tokens else 1.0
+        beyond = np.bincount(np.arange(PLACES + 1) // OF_CLASS, self.place_back_off * self.place_customers, CONTEXTS)  # leave the words of a class
+        mean = float((self.back_off * beyond).sum() / max(1.0, self.tokens)) if self.tokens else 1.0
         self.unknown = float(np.clip(self.new_words / max(1e-12, mean * self.parent_new), 1.0 / (self.words + 1.0), 0.99)) if self.words else 1.0
         self.known = (1.0 - self.unknown) / max(1.0, self.words)
 
+    def without(self, *names: str) -> Model:
+        """A copy for tasks that need no such arrays."""
+        out = copy(self)
+        for n in names:
+            setattr(out, n, None)
+        return out
+
+    def update(self, totals: np.ndarray) -> None:
+        """Totals of a pass: tables of places, tables of classes, tables of all words."""
+        self.place_tables, self.tables = totals[:PLACES + 1], totals[PLACES + 1:-1]
+        self.customers = np.bincount(np.arange(PLACES + 1) // OF_CLASS, self.place_tables, CONTEXTS)
+        self.parent_tables = float(totals[-1])
+        self.settle()
+
     def parent(self, customers: np.ndarray, tables: np.ndarray) -> np.ndarray:
         """The parent's probability of words with so many customers and tables."""
         return (customers - self.parent_discount * tables) / (STRENGTH + self.parent_customers) + self.parent_new * self.known
@@ -207,7 +279,8 @@ def seat(customers: np.ndarray, weight: np.ndarray, discount: float, rng: np.ran
     """Tables at which ``customers`` of one dish sit, seated in turn: a new table with probability
     weight / (weight + seated - discount * tables). After ``EXACT`` customers, steps of up to 2 % are binomial."""
     tables = np.minimum(customers, 1).astype(float)
-    order = np.argsort(-customers, kind="stable")
+    order = np.flatnonzero(customers > 1)  # one customer has one table
+    order = order[np.argsort(-customers[order], kind="stable")]
     c, w, t = customers[order], weight[order], tables[order]
     for i in range(1, EXACT):
         n = int(np.searchsorted(-c, -i, side="left"))  # those with more than i customers
@@ -224,34 +297,55 @@ def seat(customers: np.ndarray, weight: np.ndarray, discount: float, rng: np.ran
     return tables
 
 
-def sweeps(data: bytes, model: Model, seed: int, burn: int, keep: int) -> tuple[tuple, np.ndarray, np.ndarray, np.ndarray]:
-    """Gibbs sweeps of a bucket: its arrays, and mean tables of entries, customers and tables of the parent."""
-    hashes, word, context, c = arrays = unpack(data)
+def sweeps(data: bytes, model: Model, seed: int, burn: int, keep: int) -> tuple[tuple, tuple, list]:
+    """Gibbs sweeps of a bucket: its arrays, word and class of every (word, class), and means of the tables of entries, of
+    customers and tables of each (word, class), and of customers and tables of the parent."""
+    hashes, word, place, c = arrays = unpack(data)
     rng = np.random.default_rng(seed)
-    tables = np.ones(len(c))
-    guests = np.bincount(word, tables, len(hashes))
-    above = np.minimum(guests, 1)
-    sums = [np.zeros(len(c)), np.zeros(len(hashes)), np.zeros(len(hashes))]
+    of, k, at = by_class(word, place)
+    many = np.flatnonzero(c > 1)
+    seats, to, room = c[many], at[many], (STRENGTH + model.place_discount * model.place_tables)[place[many]]
+    entries = guests = np.bincount(at, minlength=len(k)).astype(float)
+    tables = np.minimum(guests, 1)
+    up = np.bincount(of, tables, len(hashes))
+    above = np.minimum(up, 1)
+    sums = [np.zeros(len(x)) for x in (many, k, k, hashes, hashes)]
     for sweep in range(burn + keep):
-        weight = (STRENGTH + model.discount * model.tables)[context] * model.parent(guests, above)[word]
-        tables = seat(c, weight, model.discount, rng)
-        guests = np.bincount(word, tables, len(hashes))
-        base = np.full(len(hashes), (STRENGTH + model.parent_discount * model.parent_tables) * model.known)
-        above = seat(guests.astype(np.int64), base, model.parent_discount, rng)
+        base = model.parent(up, above)[of]
+        p = (guests - model.discount * tables) / (STRENGTH + model.customers[k]) + model.back_off[k] * base
+        low = seat(seats, room * p[to], model.place_discount, rng)
+        guests = entries + np.bincount(to, low - 1, len(k))
+        tables = seat(guests.astype(np.int64), (STRENGTH + model.discount * model.tables)[k] * base, model.discount, rng)
+        up = np.bincount(of, tables, len(hashes))
+        above = seat(up.astype(np.int64), np.full(len(hashes), (STRENGTH + model.parent_discount * model.parent_tables) * model.known), model.parent_discount, rng)
         if sweep >= burn:
-            for s, x in zip(sums, (tables, guests, above)):
+            for s, x in zip(sums, (low, guests, tables, up, above)):
                 s += x / keep
-    return arrays, *sums
+    low = np.ones(len(c))
+    low[many] = sums[0]
+    return arrays, (of, k), [low, *sums[1:]]
+
+
+SEATED = "bucket int, data binary, low binary, share int, sums binary"
 
 
 def _sweep(model: Model, turn: int, last: bool):
+    model = model.without("place_customers", "place_back_off")
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(PLACES + 1 + CONTEXTS + 1)
         for batch in batches:
             for bucket, data in zip(batch["bucket"], batch["data"]):
-                (h, word, u, c), tables, guests, above = sweeps(data, model, bucket * 1009 + turn, INNER - 1 if not last else INNER, 1 if not last else SAMPLES)
-                stats = np.r_[np.bincount(u, tables, CONTEXTS), above.sum()]
-                kept = pack(h, word, u, c, tables.astype("f4"), guests[word].astype("f4"), above[word].astype("f4")) if last else b""
-                yield pd.DataFrame({"bucket": [bucket], "data": [kept], "stats": [stats]})
+                (h, word, u, c), (of, k), (low, guests, tables, up, above) = sweeps(data, model, bucket * 1009 + turn, INNER - 1 if not last else INNER, 1 if not last else SAMPLES)
+                total += np.r_[np.bincount(u, low, PLACES + 1), np.bincount(k, tables, CONTEXTS), above.sum()]
+                if last:
+                    count = np.bincount(word, c, len(h)).astype(np.int64)
+                    own = pack(np.zeros(len(h), np.uint64), word, u, (c - model.place_discount * low).astype("f4"), count[word])
+                    kept = pack(h, of, k, *(x.astype("f4") for x in (guests, tables, up[of], above[of])))
+                    yield pd.DataFrame({"bucket": [bucket], "data": [kept], "low": [own], "share": pd.array([None], "Int32"), "sums": [None]})
+        shares = _shares(total)
+        none = [None] * len(shares)
+        yield pd.DataFrame({"bucket": pd.array(none, "Int32"), "data": pd.Series(none, dtype=object), "low": pd.Series(none, dtype=object), "share": shares["share"], "sums": shares["sums"]})
 
     return run
 
@@ -263,27 +357,31 @@ def _checksum(hashes: np.ndarray) -> np.ndarray:
 
 
 def _answers(model: Model):
+    model = model.without("place_tables")
+
     def run(key: tuple, asked: pd.DataFrame, bucket: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(bucket):
-            h, word, u, c, t, guests, above = unpack(bucket["data"].iloc[0])
-            first = np.searchsorted(word, np.arange(len(h)))
-            count = np.bincount(word, c, len(h)).astype(np.int64)
-            parent = model.parent(guests[first].astype(float), above[first].astype(float)) if len(h) else np.zeros(0)
-            place = word * 64 + u
+            h, of, k, g, t, up, above = unpack(bucket["data"].iloc[0])
+            first = np.searchsorted(of, np.arange(len(h)))
+            parent = model.parent(up[first].astype(float), above[first].astype(float)) if len(h) else np.zeros(0)
+            kinds, inside = of * 64 + k, (g - model.discount * t) / (STRENGTH + model.customers[k])
+            _, word, u, low, counts = unpack(bucket["low"].iloc[0])
+            count = counts[np.searchsorted(word, np.arange(len(h)))] if len(h) else counts
+            places, below = word * (2 * PLACES) + u, low / (STRENGTH + model.place_customers[u])
         for part, data in zip(asked["part"], asked["data"]):
             ah, aw, au, _ = unpack(data)
             n, p = np.zeros(len(ah), np.int64), np.full(len(ah), model.parent_new * model.unknown)
-            own = np.zeros(len(aw))
+            kind, own, shared = au // OF_CLASS, np.zeros(len(aw)), np.zeros(len(aw))
             if len(bucket) and len(h):
                 at = np.minimum(np.searchsorted(h, ah), len(h) - 1)
                 hit = h[at] == ah
                 n[hit], p[hit] = count[at[hit]], parent[at[hit]]
-                want = at[aw] * 64 + au
-                e = np.minimum(np.searchsorted(place, want), len(place) - 1)
-                met = hit[aw] & (place[e] == want)
-                own[met] = (c[e[met]] - model.discount * t[e[met]]) / (STRENGTH + model.customers[au[met]])
-            log_p = np.log10(own + model.back_off[au] * p[aw])
+                for to, keys, values, want in ((own, places, below, at[aw] * (2 * PLACES) + au), (shared, kinds, inside, at[aw] * 64 + kind)):
+                    e = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
+                    met = hit[aw] & (keys[e] == want)
+                    to[met] = values[e[met]]
+            log_p = np.log10(own + model.place_back_off[au] * (shared + model.back_off[kind] * p[aw]))
             # the part knows its words; a checksum of them and the two values of each entry are enough
             nothing = np.zeros(len(aw), np.int64)
             out.append((part, key[0], pack(_checksum(ah), nothing, nothing, n[aw], log_p.astype("f4"))))
@@ -321,17 +419,16 @@ def learns(id_col: str, folds: int = 5, fold: int = 1) -> Column:
 def fit(blocks: DataFrame) -> tuple[Model, DataFrame]:
     """The model and the seated buckets (bucket, data) from all parts' blocks."""
     merged = stash(blocks.groupBy("bucket").applyInPandas(_merge, "bucket int, data binary, stats array<double>"), "hpy-counts")
-    model = Model(_totals(merged, HEAD + 2 * CONTEXTS))
-    schema = "bucket int, data binary, stats array<double>"
+    stats = _totals(merged, HEAD + 2 * CONTEXTS + 2)
+    model = Model(stats[:-2], _gathered(merged.select("data").mapInPandas(_first, "share int, sums binary"), 2 * (PLACES + 1)), tuple(stats[-2:]))
     for turn in range(PASSES + 1):
         last = turn == PASSES
-        seated = merged.select("bucket", "data").mapInPandas(_sweep(model, turn, last), schema)
+        seated = merged.select("bucket", "data").mapInPandas(_sweep(model, turn, last), SEATED)
         if last:
             seated = stash(seated, "hpy-seated")
-        totals = _totals(seated, CONTEXTS + 1)
-        model.tables, model.parent_tables = totals[:CONTEXTS], float(totals[CONTEXTS])
-        model.settle()
-    return model, seated.select("bucket", "data")
+        model.update(_gathered(seated.select("share", "sums"), PLACES + 1 + CONTEXTS + 1))
+    discard(merged)
+    return model, seated.where("data IS NOT NULL").select("bucket", "data", "low")
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, fold: int = 1) -> DataFrame:

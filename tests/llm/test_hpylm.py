@@ -96,3 +96,37 @@ def test_a_changed_part_is_noticed():
     assert len(score((0,), pd.DataFrame({"id": [1], "text": ["one two"]}), answers)) == 1
     with pytest.raises(ValueError):
         score((0,), pd.DataFrame({"id": [1], "text": ["one three"]}), answers)
+
+
+def test_the_word_before_is_a_context(spark):
+    """All words end alike, so they are of one class; the word before alone tells the next one."""
+    rng = np.random.default_rng(5)
+    docs = []
+    for i in range(300):
+        at, out = int(rng.integers(0, 40)), []
+        for _ in range(50):
+            out.append(f"w{at}zz")
+            at = (at * 7 + 3) % 40
+        docs.append((i, " ".join(out)))
+    out = H.score(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).toPandas()
+    held = out[out.held_out]
+    assert len(held) > 30 and held.score.sum() > 0.2 * held.base_score.sum()  # both negative
+
+
+def test_word_contexts_sum_to_one(spark):
+    """Over all known words and the unknown word, after every word that was seen and after others."""
+    rng = np.random.default_rng(6)
+    docs = [(i, " ".join(f"w{min(99, int(x))}" for x in rng.pareto(0.7, 50))) for i in range(120)]
+    rows = spark.createDataFrame(docs, "id long, text string").selectExpr("id", "text", "true AS learn")
+    model, seated = H.fit(H.requests(H.in_parts(rows, 1), 4))
+    assert (model.place_customers > 0).sum() > 50 and model.place_customers.sum() == 120 * 51
+    of = np.arange(H.PLACES + 1) // H.OF_CLASS
+    total = (model.place_back_off * (model.back_off * model.parent_new * model.unknown)[of])
+    for r in seated.collect():
+        h, word, k, g, t, guests, above = H.unpack(bytes(r.data))
+        first = np.searchsorted(word, np.arange(len(h)))
+        parent = model.parent(guests[first].astype(float), above[first].astype(float))
+        inside = np.bincount(k, (g - model.discount * t) / (H.STRENGTH + model.customers[k]), H.CONTEXTS) + model.back_off * parent.sum()
+        _, _, u, low, _ = H.unpack(bytes(r.low))
+        total += model.place_back_off * inside[of] + np.bincount(u, low, H.PLACES + 1) / (H.STRENGTH + model.place_customers)
+    np.testing.assert_allclose(total, 1.0, atol=1e-3)
