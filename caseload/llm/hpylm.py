@@ -428,7 +428,9 @@ def fit(blocks: DataFrame) -> tuple[Model, DataFrame]:
             seated = stash(seated, "hpy-seated")
         model.update(_gathered(seated.select("share", "sums"), PLACES + 1 + CONTEXTS + 1))
     discard(merged)
-    return model, seated.where("data IS NOT NULL").select("bucket", "data", "low")
+    kept = seated.where("data IS NOT NULL").select("bucket", "data", "low")
+    kept._stash_path = seated._stash_path
+    return model, kept
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, fold: int = 1) -> DataFrame:
@@ -447,7 +449,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     parts = in_parts(rows, max(1, round(size / splits / PART_BYTES)))
     asked = stash(requests(parts, buckets), "hpy-blocks")
     model, seated = fit(asked)
-    answers = asked.groupBy("bucket").cogroup(seated.groupBy("bucket")).applyInPandas(_answers(model), BLOCK)
+    answers = stash(asked.groupBy("bucket").cogroup(seated.groupBy("bucket")).applyInPandas(_answers(model), BLOCK), "hpy-answers")
+    discard(asked, seated)
     scored = parts.select("id", "text", "part").groupBy("part").cogroup(answers.groupBy("part")).applyInPandas(_score(model, buckets), SCORED)
     return scored.select(F.col("id").alias(id_col), (~learns("id", folds, fold)).alias("held_out"), "n_tokens", "n_known",
                          F.lit(int(model.tokens)).cast("long").alias("train_tokens"), "base_score", "score")
