@@ -15,8 +15,8 @@ first partition is made in projections of the space, in which the metric is coar
 3. Cells. The sets of the regions that still hold several components form the Voronoi cells of their
    pivots. All of a cell are compared with its pivot p, and the join is repeated inside the cell in
    coordinates that start at p: there near copies differ by their few changes alone, most of which no
-   other set of the cell shares. Triangle-inequality windows and the prefix rule on these differences
-   leave only pairs that may link (``_cell_pairs``), which are compared exactly.
+   other set of the cell shares. Triangle-inequality windows, the prefix rule and the positional rule on
+   these differences leave only pairs that may link (``_cell_pairs``), which are compared exactly.
 
 Equal sets are one set throughout. Comparisons are exact on 64-bit shingle hashes. A pair could be missed
 only if hashing put all shingles of a set into D of its slices (under 1e-7 for the smallest sets that use
@@ -174,11 +174,12 @@ def _relabel(labels: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def _differences(cells: DataFrame, sets: DataFrame) -> DataFrame:
-    """p, sid, n, m, change: for distinct ``cells`` (p, sid), the size of the set and its differences from the pivot."""
+    """p, sid, n, n_p, m, change: for distinct ``cells`` (p, sid), sizes of set and pivot, and the differences of the two."""
+    own = sets.select(F.col("sid").alias("s"), F.col("shingles").alias("ss"))  # renamed as the pivots are: one exchange serves both
     pivot = sets.select(F.col("sid").alias("p"), F.col("shingles").alias("sp"))
-    both = cells.join(sets, "sid").join(pivot, "p")
-    change = F.concat(F.array_except("shingles", "sp"), F.array_except("sp", "shingles"))
-    return both.select("p", "sid", F.size("shingles").cast("long").alias("n"), change.alias("change")).withColumn("m", F.size("change").cast("long"))
+    both = cells.withColumnRenamed("sid", "s").join(own, "s").join(pivot, "p").withColumnRenamed("s", "sid")
+    change = F.concat(F.array_except("ss", "sp"), F.array_except("sp", "ss"))
+    return both.select("p", "sid", F.size("ss").cast("long").alias("n"), F.size("sp").cast("long").alias("n_p"), change.alias("change")).withColumn("m", F.size("change").cast("long"))
 
 
 def _cell_pairs(cells: DataFrame, changes: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
@@ -190,12 +191,16 @@ def _cell_pairs(cells: DataFrame, changes: DataFrame, num: int, den: int) -> tup
     e(x) + e(y) <= 0 no common difference is needed; then x links to the cell's set of least e as well, and that
     pair is tried first. Otherwise x' and y' share differences, and by the prefix rule one of them is among the
     first |x'| - o + 1 of x (o: least overlap over all partners), rarest in the cell first. Windows by the
-    triangle inequality, ||x'| - |y'|| <= |x ^ y|, bound the partners of each set."""
+    triangle inequality, ||x'| - |y'|| <= |x ^ y|, bound the partners of each set.
+
+    Of the differences that a pair shares, the first in that order comes with all others behind it: there,
+    and so in one row at least, |x' & y'| is at most what is left of the shorter rest. Sets whose rest is too
+    short for every other one that has the difference go before the join, pairs in the join."""
     e = F.expr(f"{den + num} * m - {den - num} * n")
     rows = cells.withColumn("e", e)
     nearest = rows.groupBy("p").agg(F.min(F.struct("e", "sid", "label")).alias("near"))
     rows = rows.join(nearest, "p")
-    first = rows.where(~F.col("inner") & (F.col("label") != F.col("near.label"))).select("sid", F.col("near.sid").alias("other"))
+    first = rows.where((F.col("label") != F.col("near.label")) & (F.col("e") + F.col("near.e") <= 0)).select("sid", F.col("near.sid").alias("other"))
 
     # a set that surely links to the nearest one (which is then an inner one) is an inner one as well
     rows = rows.withColumn("inner", F.col("inner") | (F.col("e") + F.col("near.e") <= 0))
@@ -205,20 +210,27 @@ def _cell_pairs(cells: DataFrame, changes: DataFrame, num: int, den: int) -> tup
         F.lit(1), F.ceil((F.col("e") + F.col(other)) / (2.0 * (den + num)) - 1e-9))))
     # outer sets meet outer and inner ones, inner sets meet outer ones alone
     rows = rows.withColumn("to_out", length("least_out")).withColumn("to_in", F.when(F.col("inner") | F.col("least_in").isNull(), 0).otherwise(length("least_in")))
-    rows = stash(rows.where(F.greatest("to_out", "to_in") > 0).select("p", "sid", "n", "m", "label", "inner", "to_out", "to_in"), "jaccard-prefixes")
-    each = changes.join(rows.select("p", "sid"), ["p", "sid"]).select("p", "sid", F.explode("change").alias("g"))
-    held = stash(each.groupBy("p", "g").agg(F.count("*").alias("held")).where("held > 1"), "jaccard-held")
-    # differences that no other set of the cell has come first, and need no row: their number is where the others begin
-    order = each.join(held, ["p", "g"]).groupBy("p", "sid").agg(F.sort_array(F.collect_list(F.struct("held", "g"))).alias("order"))
+    rows = stash(rows.where(F.greatest("to_out", "to_in") > 0).select("p", "sid", "n", "m", "e", "label", "inner", "to_out", "to_in"), "jaccard-prefixes")
+    # one exchange of (p, g, sid) serves both: how many sets have a difference, and the rows of those that several have
+    each = changes.join(rows.select("p", "sid"), ["p", "sid"]).select("p", "sid", F.explode("change").alias("g")).repartition("p", "g")
+    held = each.groupBy("p", "g").agg(F.count("sid").alias("held")).where("held > 1")
+    # differences that no other set of the cell has come first, and need no row: their number is where the others begin.
+    # Of the others, the number of sets and 47 bits of the hash are the order, and stand for the difference from here on
+    place = F.shiftleft(F.least("held", F.lit(0xFFFF).cast("long")), 47).bitwiseOR(F.col("g").bitwiseAND((1 << 47) - 1))
+    order = each.join(held.hint("merge"), ["p", "g"]).groupBy("p", "sid").agg(F.sort_array(F.collect_list(place)).alias("order"))
     ahead = rows.join(order, ["p", "sid"]).withColumn("alone", F.col("m") - F.size("order")).withColumn(
         "order", F.slice("order", 1, F.greatest(F.lit(0), F.greatest("to_out", "to_in") - F.col("alone")).cast("int")))
-    entry = stash(ahead.select("p", "sid", "n", "m", "label", "inner", "to_out", "to_in", "alone", F.posexplode("order").alias("nth", "x")).select(
-        "p", F.col("x.g").alias("g"), "sid", "n", "m", "label", "inner", "to_out", "to_in", (F.col("alone") + F.col("nth")).alias("at")), "jaccard-entries")
-    del each, order, ahead
-    discard(held)
-    one = entry.where(~F.col("inner")).select("p", "g", *[F.col(c).alias(c + "1") for c in ("sid", "n", "m", "label", "to_out", "to_in", "at")])
-    two = entry.select("p", "g", *[F.col(c).alias(c + "2") for c in ("sid", "n", "m", "label", "inner", "to_out", "at")])
-    window = F.expr(f"{den + num} * abs(m1 - m2) <= {den - num} * (n1 + n2)")
+    every = stash(ahead.select("p", "sid", "n", "m", "e", "label", "inner", "to_out", "to_in", "alone", F.posexplode("order").alias("nth", "g")).select(
+        "p", "g", "sid", "n", "m", "e", "label", "inner", "to_out", "to_in", (F.col("alone") + F.col("nth")).alias("at")), "jaccard-every")
+    del each, held, order, ahead
+    # an outer set needs another one, an inner set an outer one
+    having = every.groupBy("p", "g").agg(F.min("e").alias("any_e"), F.min(F.when(~F.col("inner"), F.col("e"))).alias("out_e"), F.count("*").alias("having"))
+    rest = F.expr(f"{2 * (den + num)} * (m - at) >= e + if(inner, out_e, any_e)")
+    entry = stash(every.join(having.where("having > 1 and out_e is not null"), ["p", "g"]).where(rest).drop("any_e", "out_e", "having"), "jaccard-entries")
+    discard(every)
+    one = entry.where(~F.col("inner")).select("p", "g", *[F.col(c).alias(c + "1") for c in ("sid", "n", "m", "e", "label", "to_out", "to_in", "at")])
+    two = entry.select("p", "g", *[F.col(c).alias(c + "2") for c in ("sid", "n", "m", "e", "label", "inner", "to_out", "at")])
+    window = F.expr(f"{den + num} * abs(m1 - m2) <= {den - num} * (n1 + n2)") & F.expr(f"{2 * (den + num)} * least(m1 - at1, m2 - at2) >= e1 + e2")
     reach = (F.col("at2") < F.col("to_out2")) & F.when(F.col("inner2"), F.col("at1") < F.col("to_in1")).otherwise(
         (F.col("at1") < F.col("to_out1")) & (F.col("sid1") < F.col("sid2")))
     found = one.join(two, ["p", "g"]).where((F.col("label1") != F.col("label2")) & window & reach)
@@ -269,19 +281,21 @@ def link_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 1
         if nth:
             break
         discard()
-        known = tested.select(*pair_of("a", "b"))
-        fresh = cells.select(*pair_of("p", "sid")).distinct().join(known, ["a", "b"], "left_anti")
-        labels = _relabel(labels, linked(_compare(fresh, sets)))
+        # the differences from the pivots tell which sets link to them, and serve the pairs inside cells
+        changes = stash(_differences(cells.select("p", "sid"), sets), "jaccard-changes")
+        to_pivot = changes.where(F.expr(f"{den + num} * m <= {den - num} * (n + n_p)"))
+        labels = _relabel(labels, to_pivot.select(F.col("p").alias("a"), F.col("sid").alias("b")))
+        discard(cells)
     own = labels.select(F.col("sid").alias("p"), F.col("label").alias("p_label"))
     inside = cells.join(own, "p").withColumn("inner", F.col("label") == F.col("p_label")).drop("p_label")
-    changes = stash(_differences(cells.select("p", "sid"), sets), "jaccard-changes")
-    slim = stash(changes.drop("change").join(inside, ["p", "sid"]), "jaccard-members")
+    slim = stash(changes.select("p", "sid", "n", "m").join(inside, ["p", "sid"]), "jaccard-members")
     discard(degrees)  # and the shuffle files of the steps so far
     near, rest = _cell_pairs(slim, changes.select("p", "sid", "change"), num, den)
     pairs = stash(near.unionByName(rest).distinct(), "jaccard-pairs")
     del near, rest
     discard(changes, slim)
-    labels = _relabel(labels, linked(_compare(pairs, sets)))
+    named = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
+    labels = _relabel(labels, linked(_compare(pairs, sets.join(named, "sid", "left_semi"))))
     discard(members, sets, tested, cells, pairs)
     return table, labels
 

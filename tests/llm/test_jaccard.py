@@ -102,3 +102,19 @@ def test_components(spark):
         up[hi] = lo
     out = {r.v: r.root for r in graph.components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert out == {x: find(x) for x in up if find(x) != x}
+
+
+def test_cell_pairs_of_sets_that_share_too_little(spark):
+    """Unlinked sets of a cell that share many differences give no pairs; the linked two of them are found."""
+    cells, changes = [], []
+    for i in range(60):
+        cells.append((0, i, 24, 30, i, False))
+        changes.append((0, i, [1000 * (i + 1) + k for k in range(14)] + list(range(1, 17))))
+    cells.append((0, 60, 24, 30, 60, False))
+    changes.append((0, 60, [1000 + k for k in range(13)] + [99_000] + list(range(1, 17))))  # links to the set 0
+    cells.append((0, 61, 24, 4, 61, False))  # near the pivot: it makes the prefixes of all others long
+    changes.append((0, 61, [98_000 + k for k in range(4)]))
+    near, rest = J._cell_pairs(spark.createDataFrame(cells, "p long, sid long, n long, m long, label long, inner boolean"),
+                               spark.createDataFrame(changes, "p long, sid long, change array<long>"), 80, 100)
+    assert near.count() == 0
+    assert [tuple(r) for r in rest.collect()] == [(0, 60)]
