@@ -97,3 +97,24 @@ def test_anchors_hold_few_bytes_for_each_byte_of_text():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert starts == 100 * (40_000 - 399) and peak < 80 << 20  # 250 MB with pieces of 2 MB
+
+
+def test_tables_go_when_they_were_read_for_the_last_time(spark, monkeypatch):
+    """Of the scratch tables, only those that a later step reads are there when the strings have been counted."""
+    from pathlib import Path
+
+    paths, there = {}, []
+    real = S.stash
+
+    def watched(df, name):
+        out = real(df, name)
+        paths[name] = Path(out._stash_path.removeprefix("file:"))
+        if name == "suffix-twice":
+            there.extend(sorted(n for n, p in paths.items() if p.exists()))
+        return out
+
+    monkeypatch.setattr(S, "stash", watched)
+    docs = _texts(random.Random(2), 30, "abcdefgh")
+    assert S.dedup_spans(spark.createDataFrame(docs, "doc_id long, text string"), 16).count() == len(docs)
+    assert {"suffix-settled", "suffix-strings", "suffix-twice"} <= set(there)
+    assert not {"suffix-anchors", "suffix-again", "suffix-kept", "suffix-texts", "suffix-matches", "suffix-asked"} & set(there)
