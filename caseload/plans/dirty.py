@@ -30,6 +30,8 @@ def dirty_panel(scored: DataFrame) -> DataFrame:
         *[F.when(F.substring("_k", i, 1) == "4", F.lit("NaN")).when(F.substring("_k", i, 1) == "5", F.lit("n/a"))
            .otherwise(F.col(c).cast("string")).alias(c) for i, c in zip(DIGITS, NUMERIC)],
         (F.substring("_k", 8, 1) == "e").alias("_dup"))
-    dup = base.where("_dup").withColumn("ingest_seq", F.col("ingest_seq") + 1).withColumn(
-        "order_count_vs_history_z", F.lit("n/a"))
-    return base.unionByName(dup).drop("_dup")
+    # a duplicate is made beside its row, so the panel is read once
+    rows = base.withColumn("_copy", F.explode(F.when(F.col("_dup"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    rows = rows.withColumn("ingest_seq", F.col("ingest_seq") + F.col("_copy")).withColumn(
+        "order_count_vs_history_z", F.when(F.col("_copy") == 1, F.lit("n/a")).otherwise(F.col("order_count_vs_history_z")))
+    return rows.drop("_dup", "_copy")
